@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +71,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFram
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a context, so that they need no path of the driver's machine."""
+    context = spark.sparkContext
+    if getattr(context, "_curatrix_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="curatrix-"), "curatrix.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("curatrix", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._curatrix_shipped = True
