@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm import leakage
+from curatrix.llm import leakage, packing, spam
 from curatrix.sources.tables import table
 
 
+def p7_pack(spark: SparkSession, d: str) -> DataFrame:
+    """The assignment of all documents to containers of every capacity."""
+    return packing.pack_documents(table(spark, d, "documents"), table(spark, d, "pack_capacity"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     found = leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
     return found.where("kind = 'exact'").select("doc_id", "item_id")
 
 
-QUERIES = {"p8_found": p8_found}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.find_spam(table(spark, d, "documents")).select("doc_id")
+
+
+QUERIES = {"p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
