@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm import leakage, packing, spam
+from curatrix.llm import leakage, packing, residue, spam
 from curatrix.sources.tables import table
 
 
+def content_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(record_table, record_id, slot, text) of the captions and answers that must be content."""
+    raw, kept, pairs = table(spark, d, "case_raw"), table(spark, d, "case_filtered"), table(spark, d, "qa_pair")
+    return (
+        raw.select("case_id", F.explode("images").alias("slot", "v"))
+        .select(F.lit("case_raw").alias("record_table"), F.col("case_id").alias("record_id"), "slot", F.col("v.caption").alias("text"))
+        .unionByName(kept.select(F.lit("case_filtered").alias("record_table"), F.col("case_id").alias("record_id"), F.lit("images").alias("slot"), F.col("images.caption").alias("text")))
+        .unionByName(pairs.select(F.lit("qa_pair").alias("record_table"), F.col("pair_id").alias("record_id"), F.lit("ground_truth").alias("slot"), F.col("ground_truth").alias("text")))
+        .where("trim(text) not in ('', 'Caption not available')")
+    )
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.find_residue(content_texts(spark, d), ["record_table", "record_id", "slot"]).select("record_table", "record_id", "slot")
+
+
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     """The assignment of all documents to containers of every capacity."""
     return packing.pack_documents(table(spark, d, "documents"), table(spark, d, "pack_capacity"))
@@ -23,5 +39,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.find_spam(table(spark, d, "documents")).select("doc_id")
 
 
-QUERIES = {"p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
