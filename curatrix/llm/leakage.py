@@ -146,7 +146,7 @@ def longest_run(stream: str, words: list[str], start: int) -> int:
     return best
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors: int = 6, agree: int = 2, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors: int = 3, agree: int = 2, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, run_words, near_terms, kind): kind 'exact' for a run of min_words or more, else 'proximity'.
 
     One row for each document and item with at least ``agree`` anchors in agreement. run_words is the longest exact run,
