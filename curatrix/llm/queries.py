@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm import leakage, packing, residue, spam
+from curatrix.llm import defects, leakage, packing, residue, spam
 from curatrix.sources.tables import table
 
 
+def answers(spark: SparkSession, d: str) -> DataFrame:
+    """(record_table, pair_id, answer_pos, question, answer) of qa_pair and of every response_history entry."""
+    pairs, results = table(spark, d, "qa_pair"), table(spark, d, "qra_result")
+    entries = results.select("result_id", "question", F.posexplode("response_history").alias("answer_pos", "answer"))
+    return pairs.select(F.lit("qa_pair").alias("record_table"), "pair_id", F.lit(0).alias("answer_pos"), "question", F.col("ground_truth").alias("answer")).unionByName(
+        entries.select(F.lit("qra_result").alias("record_table"), F.col("result_id").alias("pair_id"), "answer_pos", "question", "answer")
+    )
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return defects.find_defects(answers(spark, d))
+
+
 def content_texts(spark: SparkSession, d: str) -> DataFrame:
     """(record_table, record_id, slot, text) of the captions and answers that must be content."""
     raw, kept, pairs = table(spark, d, "case_raw"), table(spark, d, "case_filtered"), table(spark, d, "qa_pair")
@@ -39,5 +52,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.find_spam(table(spark, d, "documents")).select("doc_id")
 
 
-QUERIES = {"p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
