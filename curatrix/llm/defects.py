@@ -17,7 +17,6 @@ are judged. Repeated rows are judged alike.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,12 +58,13 @@ DECLINE = re.compile(
 COURTESY = re.compile(r"(?i)^(?:please (?:consult|see|ask|contact|talk)|is there anything else|a doctor can|you (?:may|should) (?:consult|see|ask)|thank you|sorry\.?$|i hope|let me know|bitte wenden|veuillez consulter|consulte a)")
 DANGLING = frozenset("the a an of and or but to in on with from by for at as is are was were be been because which that who whose whereas while although if when since than into its their this these those such not very more most between within without see over under near about upon via per der die das ein eine und oder aber im in mit des dem den von zu auf für weil dass welche bei nach le la les un une des du de et ou mais dans par sur avec que qui est sont au aux el los las una unos y o pero en con por para se su al es son porque como".split())
 _PREFIX = re.compile(r"(?i)^\s*(?:>\s*|(?:q|question|a|answer|you asked|frage|pregunta|prompt|user)\s*[:.)-]\s*)+")
+_LABELS = frozenset("question answer prompt frage antwort réponse pregunta respuesta".split())
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _TOKEN = re.compile(r"\w+|[.!?]+(?=[\s\"'”»)]|$)|\n|[^\w\s]")
 _CLOSED = re.compile(r"[.!?…。！？:][\"'”’»)\]*\s]*$|[\"”»)\]]\s*$")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+")
 _LANGUAGE = {lang: {w: 0.0 for w in words.split()} for lang, words in FUNCTION_WORDS.items()}
-for _lang, _more in {"en": "what which is does near how where given there shows show", "de": "welche welcher welches wie wo zeigt zeigen liegt befund keine kein", "fr": "quel quelle quels quelles comment montre où près présence", "es": "qué cuál cómo cuándo dónde hay muestra junto"}.items():
+for _lang, _more in {"en": "what which is does near how where given there shows show", "de": "welche welcher welches wie wo zeigt zeigen liegt befund keine kein vermutlich besteht bestehen", "fr": "quel quelle quels quelles comment montre où près présence niveau probablement observe signale qu c s", "es": "qué cuál cómo cuándo dónde hay muestra junto probablemente hace refiere observa lado"}.items():
     _LANGUAGE[_lang].update(dict.fromkeys(_more.split(), 0.0))
 for _words in _LANGUAGE.values():
     for _w in _words:
@@ -75,13 +75,13 @@ _HASHES: dict[str, int] = {}
 
 def language_of(text: str, least: float = 1.5) -> str | None:
     """The language whose function words outweigh the others' clearly, else None."""
-    words = [w.lower() for w in _WORD.findall(text)]
+    words = re.findall(r"[^\W\d_]+", text.lower())
     score = {lang: sum(own.get(w, 0.0) for w in words) for lang, own in _LANGUAGE.items()}
     low = text.lower()
     score["es"] += ("¿" in low) + ("ñ" in low) + ("¡" in low)
     score["de"] += ("ß" in low) + 0.5 * sum(c in low for c in "äü")
     best, second = sorted(score.values(), reverse=True)[:2]
-    return max(score, key=score.get) if best >= least and best >= 1.8 * second else None
+    return max(score, key=score.get) if best >= least and best >= 1.4 * second else None
 
 
 def is_stand_in(text: str | None) -> bool:
@@ -105,11 +105,9 @@ def is_refusal(text: str) -> bool:
 
 def copies(question: str, answer: str) -> bool:
     """The answer's words are the question's, most of them, and hardly another one."""
-    asked = Counter(w.lower() for w in _WORD.findall(question))
-    said = Counter(w.lower() for w in _WORD.findall(_PREFIX.sub("", answer)))
-    n, m = sum(said.values()), sum(asked.values())
-    common = sum((asked & said).values())
-    return n > 2 and common >= 0.85 * n and common >= 0.6 * m
+    asked = {w.lower() for w in _WORD.findall(question)}
+    said = [w for w in map(str.lower, _WORD.findall(_PREFIX.sub("", answer))) if w not in _LABELS]
+    return len(said) > 2 and sum(w in asked for w in said) >= 0.9 * len(said) and len(asked.intersection(said)) >= 0.7 * len(asked)
 
 
 def _hash(word: str) -> int:
