@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm import defects, leakage, packing, residue, spam
+from curatrix.llm import dedup, defects, leakage, packing, residue, spam
+from curatrix.session import scratch_path
 from curatrix.sources.tables import table
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.repeated_cases(spark, table(spark, d, "case_raw"), table(spark, d, "case_filtered"), table(spark, d, "case_sources"), scratch_path(spark, "neighbourhoods"))
+
+
 def answers(spark: SparkSession, d: str) -> DataFrame:
     """(record_table, pair_id, answer_pos, question, answer) of qa_pair and of every response_history entry."""
     pairs, results = table(spark, d, "qa_pair"), table(spark, d, "qra_result")
@@ -52,5 +57,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.find_spam(table(spark, d, "documents")).select("doc_id")
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
