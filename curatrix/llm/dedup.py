@@ -36,7 +36,7 @@ WINDOW = 10
 LEAST_WORDS = 8
 MOST_SHINGLES = 256
 SHARED = 3
-SIMILAR = 0.33
+SIMILAR = 0.37
 WEIGHT_BITS = 18
 
 _WORD = re.compile(r"[^\W_]+")
@@ -49,10 +49,10 @@ def case_page(url: Column, site: Column) -> Column:
     studies do not matter, nor parameters but one that names the record. A url without a host lies on its source's site.
     """
     raw = squeeze(url)
-    given = F.regexp_extract(raw, r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", 1)
+    given = F.regexp_extract(raw, r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*\.[^/?#]*)", 1)
     host = F.when(given != "", given).otherwise(F.coalesce(site, F.lit("")))
     host = F.regexp_replace(F.regexp_replace(F.lower(host), r":\d+$", ""), r"^(?:www|m)\.", "")
-    rest = F.regexp_replace(raw, r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//[^/?#]*", "")
+    rest = F.regexp_replace(raw, r"^(?i)(?:[a-z][a-z0-9+.-]*:)?//[^/?#]*\.[^/?#]*", "")
     record = F.regexp_extract(rest, r"(?i)[?&]((?:r?id|case|case_?id|cid)=[^&#]*)", 1)
     path = F.regexp_replace(rest, r"[?#].*$", "")
     path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
