@@ -16,6 +16,7 @@ are judged. Repeated rows are judged alike.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -53,8 +54,9 @@ DECLINE = re.compile(
             r"\bich (?:kann|darf|möchte|werde) (?:\w+ ){0,6}nicht\b.{0,60}\b(?:beantworten|helfen|beurteilen|befunden|beschreiben|kommentieren)", r"\bkann ich (?:\w+ ){0,6}(?:nicht|keine)\b", r"\bje (?:ne (?:peux|suis|puis) pas|refuse)\b", r"\bno (?:puedo|me es posible|estoy autorizad[oa])\b",
         ]
     ),
-    re.I,
 )
+#: Words of which every form of declining has one.
+_MAY_DECLINE = re.compile(r"\b(?:i|i'm|we|me|my|you|it|ai|program|model|machine|bot|assistant|automated|ich|je|no|is|are|goes)\b.{0,80}?\b(?:not|cannot|can't|won't|isn't|wouldn't|unable|unwilling|forbidden|decline|refuse|don't|doesn't|against|policies|policy|guidelines|rules|instructions|outside|limits|leave|ask|only|told|refrain|nicht|keine|pas|puedo|posible|possible|estoy|given|rather|program|model)\b", re.S)
 COURTESY = re.compile(r"(?i)^(?:please (?:consult|see|ask|contact|talk)|is there anything else|a doctor can|you (?:may|should) (?:consult|see|ask)|thank you|sorry\.?$|i hope|let me know|bitte wenden|veuillez consulter|consulte a)")
 DANGLING = frozenset("the a an of and or but to in on with from by for at as is are was were be been because which that who whose whereas while although if when since than into its their this these those such not very more most between within without see over under near about upon via per der die das ein eine und oder aber im in mit des dem den von zu auf für weil dass welche bei nach le la les un une des du de et ou mais dans par sur avec que qui est sont au aux el los las una unos y o pero en con por para se su al es son porque como".split())
 _PREFIX = re.compile(r"(?i)^\s*(?:>\s*|(?:q|question|a|answer|you asked|frage|pregunta|prompt|user)\s*[:.)-]\s*)+")
@@ -73,28 +75,46 @@ _ENDING = frozenset(".\"”»)")
 _HASHES: dict[str, int] = {}
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+_NAMES = tuple(_LANGUAGE)
+_BY_WORD: dict[str, list[tuple[int, float]]] = {}
+for _i, _lang in enumerate(_NAMES):
+    for _w, _weight in _LANGUAGE[_lang].items():
+        _BY_WORD.setdefault(_w, []).append((_i, _weight))
+
+
 def language_of(text: str, least: float = 1.5) -> str | None:
     """The language whose function words outweigh the others' clearly, else None."""
-    words = re.findall(r"[^\W\d_]+", text.lower())
-    score = {lang: sum(own.get(w, 0.0) for w in words) for lang, own in _LANGUAGE.items()}
     low = text.lower()
-    score["es"] += ("¿" in low) + ("ñ" in low) + ("¡" in low)
-    score["de"] += ("ß" in low) + 0.5 * sum(c in low for c in "äü")
-    best, second = sorted(score.values(), reverse=True)[:2]
-    return max(score, key=score.get) if best >= least and best >= 1.4 * second else None
+    score = [0.0] * len(_NAMES)
+    for w in _LETTERS.findall(low):
+        for i, weight in _BY_WORD.get(w, ()):
+            score[i] += weight
+    if not low.isascii():
+        score[_NAMES.index("es")] += ("¿" in low) + ("ñ" in low) + ("¡" in low)
+        score[_NAMES.index("de")] += ("ß" in low) + 0.5 * sum(c in low for c in "äü")
+    best, second = sorted(score, reverse=True)[:2]
+    return _NAMES[score.index(best)] if best >= least and best >= 1.4 * second else None
+
+
+_question_language = functools.lru_cache(50_000)(language_of)
 
 
 def is_stand_in(text: str | None) -> bool:
     if text is None:
         return True
+    if len(text) > 400 and not text.isspace():
+        return False
+    if len(text) > 40 and re.search(r"[^\W_]", text):
+        return False
     bare = re.sub(r"[\s​-‏⁠﻿­]+", " ", text).strip().lower()
     return not bare or bare in STAND_INS or bare.strip(" .!*_`\"'") in STAND_INS or not re.search(r"[^\W_]", bare)
 
 
 def is_refusal(text: str) -> bool:
     """At least half of the text's sentences decline or take leave, and one declines."""
-    low = text.replace("’", "'")
-    if not DECLINE.search(low):
+    low = text.replace("’", "'").lower()
+    if not _MAY_DECLINE.search(low) or not DECLINE.search(low):
         return False
     parts = [p for p in _SENTENCES.split(low) if p.strip()]
     declined = [bool(DECLINE.search(p)) for p in parts]
@@ -176,18 +196,18 @@ def end_contexts(text: str) -> list[int]:
     return out
 
 
-def classify(question: str | None, answer: str | None, ratios: np.ndarray) -> tuple[str | None, bool]:
+def classify(question: str | None, answer: str | None, is_residue: bool = False) -> tuple[str | None, bool]:
     """(defect or None, open): open answers are to be held against the others."""
     if is_stand_in(answer):
         return "empty", False
-    if residue.judge(answer, ratios)[0]:
+    if is_residue:
         return None, False
     if is_refusal(answer):
         return "refusal", False
     if question and copies(question, answer):
         return "copies_question", False
     if question and any(c.islower() for c in answer):
-        asked, said = language_of(question), language_of(answer, 2.0)
+        asked, said = _question_language(question), language_of(answer, 2.0)
         if asked and said and asked != said:
             return "other_language", False
     if _CLOSED.search(answer) and not re.search(r":\s*$", answer):
@@ -205,7 +225,8 @@ def _judged(answers: DataFrame, ratios: np.ndarray) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [classify(q, a, shared.value) for q, a in zip(frame["question"], frame["answer"])]
+            kinds = residue.judge_all(frame["answer"].tolist(), shared.value)
+            found = [classify(q, a, bool(k[0])) for q, a, k in zip(frame["question"], frame["answer"], kinds)]
             frame = frame.assign(defect=[f[0] for f in found], open=[f[1] for f in found])
             frame = frame[frame["defect"].notna() | frame["open"]]
             opened = frame["open"].to_numpy()

@@ -98,10 +98,13 @@ def seeds() -> list[str]:
 _POWERS = np.array([257**k % (1 << 61) for k in range(ORDER)], np.uint64)
 
 
-def buckets_of(text: str) -> np.ndarray:
-    """The bucket of every character n-gram; digits are alike, letters lower case, spaces and ends padded."""
-    units = np.frombuffer((" " + " ".join(text.lower().split()) + " ").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    units = np.where((units >= 48) & (units <= 57), np.uint64(48), units)
+#: Characters that are put together at once.
+_TOGETHER = 1 << 20
+
+
+def _buckets(joined: str) -> np.ndarray:
+    units = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    units[(units >= 48) & (units <= 57)] = 48
     if len(units) < ORDER:
         return np.empty(0, np.int64)
     total = np.zeros(len(units) - ORDER + 1, np.uint64)
@@ -111,17 +114,46 @@ def buckets_of(text: str) -> np.ndarray:
     return (total >> np.uint64(64 - 17)).astype(np.int64)
 
 
+def _normal(text: str) -> str:
+    return f" {' '.join(text.lower().split())} "
+
+
+def buckets_of(text: str) -> np.ndarray:
+    """The bucket of every character n-gram; digits are alike, letters lower case, spaces and ends padded."""
+    return _buckets(_normal(text))
+
+
+def buckets_many(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``buckets_of`` of all texts, one after the other, and how many each has."""
+    parts, sizes = [], np.zeros(len(texts), np.int64)
+    at = 0
+    while at < len(texts):
+        group, length, start = [], 0, at
+        while at < len(texts) and (length < _TOGETHER or not group):
+            group.append(_normal(texts[at]) if texts[at] else "")
+            length += len(group[-1])
+            at += 1
+        lengths = np.array([len(g) for g in group])
+        grams = np.maximum(lengths - ORDER + 1, 0)
+        sizes[start:at] = grams
+        flat = _buckets("".join(group))
+        begin = np.cumsum(lengths) - lengths
+        inside = np.ones(max(int(lengths.sum()), 1), bool)
+        # the last n-grams of a text reach into the next
+        for k in range(1, ORDER):
+            edge = begin + lengths - k
+            inside[edge[(edge >= begin) & (lengths >= k)]] = False
+        parts.append(flat[inside[: len(flat)]])
+    return (np.concatenate(parts) if parts else np.empty(0, np.int64)), sizes
+
+
 def count_grams(texts: DataFrame, text_col: str) -> np.ndarray:
     """Counts of all n-grams of all texts by bucket; the driver gets at most BUCKETS rows, whatever the input."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(BUCKETS, np.int64)
         for frame in frames:
-            for text in frame["text"]:
-                counts += 0 if not text else np.bincount(buckets_of(text), minlength=BUCKETS) if len(text) > 4000 else 0
-            short = [buckets_of(t) for t in frame["text"] if t and len(t) <= 4000]
-            if short:
-                counts += np.bincount(np.concatenate(short), minlength=BUCKETS)
+            counts += np.bincount(buckets_many(frame["text"].tolist())[0], minlength=BUCKETS)
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
@@ -180,6 +212,34 @@ def judge(text: str | None, table: np.ndarray) -> tuple[str | None, float]:
     return ("message", covered) if len(parts) > 1 and best >= 0.85 else (None, covered)
 
 
+#: Windows from which a text is looked at closely; below LEAST_RATIO, as furniture is not yet removed.
+_HINT_RATIO = 0.5
+
+
+def judge_all(texts: list[str | None], table: np.ndarray) -> list[tuple[str | None, float]]:
+    """``judge`` of every text. All windows of the batch are rated at once; only texts with a suspicious one are judged singly."""
+    out: list[tuple[str | None, float]] = [(None, 0.0)] * len(texts)
+    flat, sizes = buckets_many(texts)
+    if not len(flat):
+        return out
+    total = np.concatenate([[0.0], np.cumsum(table[flat], dtype=np.float64)])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    n = len(total) - 1
+    width = np.minimum(WINDOW, n)
+    means = (total[width:] - total[: n + 1 - width]) / width
+    hot = np.concatenate([[0], np.cumsum(means > _HINT_RATIO)])
+    first = np.minimum(starts, len(means))
+    last = np.maximum(np.minimum(ends - width + 1, len(means)), first)
+    suspicious = hot[last] > hot[first]
+    short = (sizes < width) & (sizes > 0)
+    suspicious |= short & ((total[ends] - total[starts]) > _HINT_RATIO * np.maximum(sizes, 1))
+    for i, text in enumerate(texts):
+        if text and (suspicious[i] or any(c in text for c in "{[<%@_(")):
+            out[i] = judge(text, table)
+    return out
+
+
 def find_residue(texts: DataFrame, keys: list[str], text_col: str = "text", natural: np.ndarray | None = None) -> DataFrame:
     """keys, kind and covered of the rows whose text is residue. natural: counts to use instead of those of texts."""
     table = ratios(count_grams(texts, text_col) if natural is None else natural)
@@ -188,7 +248,7 @@ def find_residue(texts: DataFrame, keys: list[str], text_col: str = "text", natu
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values = shared.value
         for frame in frames:
-            found = [judge(t, values) for t in frame["_text"]]
+            found = judge_all(frame["_text"].tolist(), values)
             frame = frame.drop(columns="_text").assign(kind=[k for k, _ in found], covered=[c for _, c in found])
             yield frame[frame["kind"].notna()]
 
