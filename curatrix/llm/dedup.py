@@ -254,8 +254,10 @@ class NeighbourhoodIndex:
             # of history only the batch's keys matter
             group = everything.join(mine.select(key).distinct(), key, "left_semi").groupBy(key).agg(F.min("at").alias("a"))
             found = mine.select(key, F.col("at").alias("b")).join(group, key).where("a < b").select("a", "b")
+            # written at once: links are read several times, and unions of unlike joins confuse the planner
+            found = materialize(found, f"links-{key}")
             links = found if links is None else links.unionByName(found)
-        return links.unionByName(self._near(new, fresh, old_shingles))
+        return links.unionByName(materialize(self._near(new, fresh, old_shingles), "links-near"))
 
     def _near(self, new: DataFrame, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
         tagged = fresh.withColumn("new", F.lit(True))
