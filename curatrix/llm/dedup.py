@@ -37,6 +37,8 @@ LEAST_WORDS = 8
 MOST_SHINGLES = 256
 SHARED = 3
 SIMILAR = 0.37
+#: Unweighted similarity that is enough alone: where copies of one text are many, what they share is not rare.
+PLAINLY_SIMILAR = 0.65
 WEIGHT_BITS = 18
 
 _WORD = re.compile(r"[^\W_]+")
@@ -136,13 +138,15 @@ def rarity(texts: DataFrame) -> np.ndarray:
     return np.log((total + 1) / np.maximum(counts, 1)).astype(np.float32) + np.float32(0.05)
 
 
-def similarity(a: str, b: str, weights: np.ndarray, known: dict[str, int]) -> float:
-    """Jaccard similarity of three-word shingles, each counted by its weight."""
+def similar(a: str, b: str, weights: np.ndarray, known: dict[str, int]) -> bool:
+    """By the Jaccard similarity of three-word shingles, each counted by its weight, or each as one."""
     x, y = (shingle_hashes(_word_hashes(t.split(), known), 3) for t in (a, b))
     w = lambda s: float(weights[(s >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64)].sum())
-    both = w(np.intersect1d(x, y, assume_unique=True))
-    either = w(x) + w(y) - both
-    return both / either if either > 0 else 0.0
+    shared = np.intersect1d(x, y, assume_unique=True)
+    both, either = len(shared), len(x) + len(y) - len(shared)
+    if not both or both >= PLAINLY_SIMILAR * either:
+        return bool(both)
+    return w(shared) >= SIMILAR * (w(x) + w(y) - w(shared))
 
 
 def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -278,7 +282,7 @@ class NeighbourhoodIndex:
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known: dict[str, int] = {}
             for frame in frames:
-                near = [similarity(a, b, weights.value, known) >= SIMILAR for a, b in zip(frame["words_id"], frame["words_other"])]
+                near = [similar(a, b, weights.value, known) for a, b in zip(frame["words_id"], frame["words_other"])]
                 kept = frame[np.array(near, bool)]
                 yield pd.DataFrame({"a": kept["at_other"], "b": kept["at_id"]})
 
