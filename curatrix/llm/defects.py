@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from curatrix.llm import residue
 from curatrix.llm.spam import FUNCTION_WORDS
-from curatrix.session import broadcast_if_small, materialize
+from curatrix.session import arrow_safe, broadcast_if_small, materialize
 
 #: The longest run of last words that is looked up, how often it must have been seen, and the share of ends to pass.
 CONTEXT = 6
@@ -230,8 +230,9 @@ def _judged(answers: DataFrame, ratios: np.ndarray) -> DataFrame:
             frame = frame.assign(defect=[f[0] for f in found], open=[f[1] for f in found])
             frame = frame[frame["defect"].notna() | frame["open"]]
             opened = frame["open"].to_numpy()
-            frame = frame.assign(ends=[end_contexts(a) if o else [] for a, o in zip(frame["answer"], opened)], answer=frame["answer"].where(opened, None))
-            yield frame.drop(columns="question")
+            ends = pd.Series([end_contexts(a) if o else [] for a, o in zip(frame["answer"], opened)], index=frame.index, dtype=object)
+            frame = frame.assign(ends=ends, answer=frame["answer"].where(opened, None))
+            yield arrow_safe(frame.drop(columns="question"))
 
     return answers.mapInPandas(run, "record_table string, pair_id long, answer_pos int, answer string, defect string, open boolean, ends array<long>")
 
@@ -290,7 +291,7 @@ def shortened(texts: DataFrame) -> DataFrame:
                 if waiting and longer(previous, text):
                     found.append((previous, "short"))
                 previous, waiting = text, is_open
-            yield pd.DataFrame(found, columns=["answer", "what"])
+            yield arrow_safe(pd.DataFrame(found, columns=["answer", "what"]))
         if waiting:
             yield pd.DataFrame([(previous, "tail")], columns=["answer", "what"])
 

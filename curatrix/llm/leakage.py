@@ -23,11 +23,12 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.session import broadcast_if_small, materialize
+from curatrix.session import arrow_safe, broadcast_if_small, materialize
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 _TERM = re.compile(r"[^\W_]+")
@@ -61,7 +62,7 @@ def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for term in terms:
                         rows.append((key, n, term, at))
                         at += len(term)
-            yield pd.DataFrame(rows, columns=["item_id", "word", "term", "offset"])
+            yield arrow_safe(pd.DataFrame(rows, columns=["item_id", "word", "term", "offset"]))
 
     return items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null").mapInPandas(run, "item_id long, word long, term string, offset long")
 
@@ -83,9 +84,9 @@ def term_frequencies(docs: DataFrame, text_col: str, terms: DataFrame, limit: in
                 found = set(_TERM.findall(normal(text)))
                 counts.update(found if known is None else known.intersection(found))
                 if len(counts) > limit:
-                    yield pd.DataFrame(list(counts.items()), columns=["term", "n"])
+                    yield arrow_safe(pd.DataFrame(list(counts.items()), columns=["term", "n"]))
                     counts = Counter()
-        yield pd.DataFrame(list(counts.items()), columns=["term", "n"])
+        yield arrow_safe(pd.DataFrame(list(counts.items()), columns=["term", "n"]))
 
     counted = docs.select(F.col(text_col).alias("text")).where("text is not null").mapInPandas(run, "term string, n long")
     if known is None:
@@ -108,7 +109,7 @@ def choose_anchors(terms: DataFrame, frequencies: DataFrame, min_words: int, anc
             window = range(starts[first], starts[first + min_words])
             chosen.update(sorted(window, key=lambda i: (rows[i][2], rows[i][1]))[:anchors])
         kept = [rows[i] for i in sorted(chosen)]
-        return pd.DataFrame({"item_id": [frame["item_id"].iloc[0]] * len(kept), "term": [row[3] for row in kept], "offset": [row[1] for row in kept]})
+        return arrow_safe(pd.DataFrame({"item_id": np.full(len(kept), frame["item_id"].iloc[0]), "term": [row[3] for row in kept], "offset": np.array([row[1] for row in kept], np.int64)}))
 
     return rated.groupBy("item_id").applyInPandas(run, "item_id long, term string, offset long")
 
@@ -129,7 +130,7 @@ def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame, limi
                     if known is None or term in known:
                         rows.append((term, key, at))
                     at += len(term)
-            yield pd.DataFrame(rows, columns=["term", "doc_id", "position"])
+            yield arrow_safe(pd.DataFrame(rows, columns=["term", "doc_id", "position"]))
 
     made = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null").mapInPandas(run, "term string, doc_id long, position long")
     return made if known is not None else made.join(terms.select("term").distinct(), "term", "left_semi")

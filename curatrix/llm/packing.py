@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.session import materialize
+from curatrix.session import arrow_safe, materialize
 
 #: Ranks of a public byte-level BPE of 50,256 tokens, one "base64 rank" a line.
 RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -105,7 +105,7 @@ def pack(sizes: DataFrame, capacities: DataFrame, group_size: int = GROUP, seed:
             size = np.where(piece < full[doc], capacity, rest[doc])
             box = first_fit_decreasing(size, capacity)
             parts.append(pd.DataFrame({"capacity_id": capacity_id, "container": [f"{key[0]}-{b}" for b in box], "doc_id": ids[doc], "piece": piece.astype(np.int32), "tokens": size}))
-        return pd.concat(parts) if parts else pd.DataFrame({"capacity_id": [], "container": [], "doc_id": [], "piece": [], "tokens": []})
+        return pd.concat(parts) if parts else arrow_safe(pd.DataFrame(columns=["capacity_id", "container", "doc_id", "piece", "tokens"]))
 
     dealt = sizes.withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(run, "capacity_id int, container string, doc_id long, piece int, tokens long")

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.session import arrow_safe
+
 ORDER = 5
 BUCKETS = 1 << 17
 EVEN = 0.15
@@ -25,6 +27,8 @@ WINDOW = 24
 #: Mean log likelihood ratio of a window from which it counts as residue.
 LEAST_RATIO = 1.0
 COVERED = 0.6
+#: A corpus of fewer n-grams says correspondingly less about prose; else its own residue would pass for it.
+LEAST_PROSE = 200_000.0
 
 # Things a page message speaks of, parts that fail, names of scripting, and phrases of the three kinds.
 THINGS = "page image series study case record file caption viewer resource figure document content site".split()
@@ -148,7 +152,10 @@ def buckets_many(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(texts: DataFrame, text_col: str) -> np.ndarray:
-    """Counts of all n-grams of all texts by bucket; the driver gets at most BUCKETS rows, whatever the input."""
+    """Counts of all n-grams of all distinct texts by bucket; the driver gets at most BUCKETS rows, whatever the input.
+
+    Each text counts once: a message that a third of the rows repeat must not pass for natural prose.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -157,7 +164,7 @@ def count_grams(texts: DataFrame, text_col: str) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    rows = texts.select(F.col(text_col).alias("text")).where("text is not null").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select(F.col(text_col).alias("text")).where("text is not null").distinct().mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return counts
@@ -172,9 +179,9 @@ def ratios(natural: np.ndarray) -> np.ndarray:
     for phrase in REFUSAL_PHRASES:
         np.add.at(declining, buckets_of(phrase), 1.0)
     even = EVEN / BUCKETS
-    part = lambda c: c / max(c.sum(), 1.0)
+    part = lambda c, least=1.0: c / max(c.sum(), least)
     share = lambda c: (1 - EVEN) * c + even
-    prose = 0.9 * part(natural) + 0.1 * part(declining)
+    prose = 0.9 * part(natural, LEAST_PROSE) + 0.1 * part(declining)
     return (np.log(share(part(np.sqrt(residue)))) - np.log(share(prose))).astype(np.float32)
 
 
@@ -250,7 +257,7 @@ def find_residue(texts: DataFrame, keys: list[str], text_col: str = "text", natu
         for frame in frames:
             found = judge_all(frame["_text"].tolist(), values)
             frame = frame.drop(columns="_text").assign(kind=[k for k, _ in found], covered=[c for _, c in found])
-            yield frame[frame["kind"].notna()]
+            yield arrow_safe(frame[frame["kind"].notna()])
 
     kept = texts.select(*keys, F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
     schema = ", ".join([f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys] + ["kind string", "covered double"])

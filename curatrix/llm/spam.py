@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.session import materialize
+from curatrix.session import arrow_safe, materialize
 
 # Frequent function words of each language.
 FUNCTION_WORDS = {
@@ -114,7 +114,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         names = ["doc_id", "language", *FEATURES, "covered"]
         for frame in frames:
             rows = [(key, *measured) for key, text in zip(frame["id"], frame["text"]) if (measured := measure(text))[0] is not None]
-            yield pd.DataFrame(rows, columns=names)
+            yield arrow_safe(pd.DataFrame(rows, columns=names))
 
     schema = ", ".join(["doc_id long", "language string", *(f"{f} double" for f in FEATURES), "covered double"])
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").mapInPandas(run, schema)
