@@ -58,7 +58,7 @@ def _capital_block(text: Column) -> Column:
         stops = s["on"] & ((line == "") | _contains_any(line, LINE_COMMENTS))
         ignored = ~s["on"] & ((line == "") | _contains_any(line, LINE_COMMENTS))
         takes = ~ignored & (s["on"] | (line.rlike("^[A-Z]") & (F.length(line) > 10)))
-        return F.when(s["done"] | ignored, s).when(stops, F.struct(s["on"], F.lit(True).alias("done"), s["kept"])).when(takes, F.struct(F.lit(True).alias("on"), s["done"], F.concat(s["kept"], F.array(line)))).otherwise(s)
+        return F.when(s["done"] | ignored, s).when(stops, F.struct(s["on"].alias("on"), F.lit(True).alias("done"), s["kept"].alias("kept"))).when(takes, F.struct(F.lit(True).alias("on"), s["done"].alias("done"), F.concat(s["kept"], F.array(line)).alias("kept"))).otherwise(s)
 
     return _longer(F.array_join(F.reduce(F.split(text, "\n"), state, step, lambda s: s["kept"]), "\n"), 20)
 

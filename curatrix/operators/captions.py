@@ -21,7 +21,8 @@ def clean_ocr_text(text: Column, granularity: int = 7) -> Column:
 
 def parse_captions(captions: Column) -> Column:
     """The captions of a JSON array, without null elements; null for anything else."""
-    return F.filter(F.from_json(captions, CAPTIONS), lambda c: c.isNotNull())
+    whole = captions.rlike(r"^\s*\[") & F.try_parse_json(captions).isNotNull()
+    return F.filter(F.when(whole, F.from_json(captions, CAPTIONS)), lambda c: c.isNotNull())
 
 
 def _first(captions: Column, keep) -> Column:

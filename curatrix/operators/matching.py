@@ -66,17 +66,16 @@ def tiered_lookup(keys: DataFrame, files: DataFrame, key: str, extensions: list[
 def fuzzy_lookup(ids: DataFrame, files: DataFrame, key: str) -> DataFrame:
     """ids with ``path``: the first file whose stem contains the id, else one of its parts between underscores.
 
-    Instead of comparing every id with every file, both sides meet on shared pieces: the id's parts against the runs of
-    letters and digits in the stems; containment is then checked exactly. A part inside a longer run is found by its
-    three-character pieces. Ties go to the first path.
+    Instead of comparing every id with every file, both sides meet on shared pieces: a part's first characters (three, or
+    all of a shorter part) against the pieces of that length in the stems; containment is then checked exactly. Ties go
+    to the first path. Null and empty ids find nothing.
     """
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, 3)))
-    stems = files.select("path", stem(base_name(F.col("path"))).alias("_stem")).withColumn("_gram", F.explode(grams(F.col("_stem"))))
-    parts = ids.select(key).distinct().withColumn("_part", F.explode(F.concat(F.array(key), F.filter(F.split(key, "_"), lambda p: p != "")))).distinct()
+    pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, n))
+    stems = files.select("path", stem(base_name(F.col("path"))).alias("_stem"))
+    stems = stems.withColumn("_gram", F.explode(F.array_distinct(F.concat(*[pieces(F.col("_stem"), n) for n in (1, 2, 3)]))))
+    parts = ids.where(F.length(key) > 0).select(key).distinct().withColumn("_part", F.explode(F.array_distinct(F.concat(F.array(key), F.filter(F.split(key, "_"), lambda p: p != "")))))
     probes = parts.withColumn("_gram", F.substring("_part", 1, 3)).withColumn("_tier", F.when(F.col("_part") == F.col(key), 1).otherwise(2))
-    short = F.length("_part") < 3
-    long_hits = probes.where(~short).join(stems, "_gram").where(F.contains("_stem", "_part"))
-    hits = long_hits.select(key, "_tier", "path")
+    hits = probes.join(stems, "_gram").where(F.contains("_stem", "_part")).select(key, "_tier", "path")
     return ids.join(hits.groupBy(key).agg(F.min_by("path", F.struct("_tier", "path")).alias("path")), key, "left")
 
 

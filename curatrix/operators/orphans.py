@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import bitmaps
 from curatrix.functions.text import is_blank, squeeze
-from curatrix.session import materialize
+from curatrix.session import arrow_safe, materialize
 from curatrix.sources.tables import table
 
 KEYS_A_RANGE = 16_384
@@ -86,7 +86,7 @@ def doubtful_months(refs: DataFrame, targets: DataFrame) -> DataFrame:
             found.append(pd.DataFrame({"key": dictionary[left], "month": np.full(len(left), m, np.int32), "ever": ever[left]}))
         out = pd.concat(found) if found else pd.DataFrame({"key": [], "month": [], "ever": []})
         out.insert(0, "target", frame["target"].iloc[0])
-        return out
+        return arrow_safe(out)
 
     ranged = both.withColumn("_range", F.pmod(F.xxhash64("target", "key"), F.lit(ranges)))
     out = ranged.groupBy("target", "_range").applyInPandas(surviving, "target string, key string, month int, ever boolean")

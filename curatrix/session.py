@@ -88,3 +88,8 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.join("curatrix", os.path.relpath(path, package)))
     context.addPyFile(archive)
     context._curatrix_shipped = True
+
+
+def arrow_safe(frame):
+    """frame, or an empty one with plain object columns: of no values pandas makes numbers, which Arrow won't take for text."""
+    return frame if len(frame) else frame.astype(object)
