@@ -70,20 +70,19 @@ def test_stream_resumes(spark, tmp_path):
     assert summary == {"run1": (3, 0, False), "run2": (1, 2, True)}
 
 
-class Script:
-    def __init__(self):
-        self.n = 0
-
-    def __call__(self, prompt):
-        if prompt.startswith("V"):
-            return "False"
-        if prompt.startswith("BOOM"):
-            raise RuntimeError("down")
-        self.n += 1
-        return f"answer {self.n}"
-
-
 def test_search_budget(spark):
+    class Script:
+        def __init__(self):
+            self.n = 0
+
+        def __call__(self, prompt):
+            if prompt.startswith("V"):
+                return "False"
+            if prompt.startswith("BOOM"):
+                raise RuntimeError("down")
+            self.n += 1
+            return f"answer {self.n}"
+
     prompts = {"initial": "I {question}", "verify": "V", "Backtracking": "B", "Exploring New Paths": "E", "guided": "G {truth}"}
     settings = reasoning.Search(prompts, extract=str.strip, accept=lambda v: v == "True")
     rows = spark.createDataFrame([("1", "q", "truth"), ("2", "q", None)], "process_id string, question string, ground_truth string")
