@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import conclusion
@@ -265,8 +265,9 @@ def a10_question_kinds(spark: SparkSession, d: str) -> DataFrame:
 @query("WITH r AS (SELECT modality, 100 * avg(CASE WHEN found_correct_answer THEN 1.0 ELSE 0.0 END) AS rate FROM qra_result GROUP BY modality) SELECT modality, CASE WHEN rate > 80 THEN 'excellent' WHEN rate > 60 THEN 'good' WHEN rate > 40 THEN 'moderate' ELSE 'low' END AS band, rate = (SELECT max(rate) FROM r) AS best FROM r")
 def a21_rate_bands(spark: SparkSession, d: str) -> DataFrame:
     rates = table(spark, d, "qra_result").groupBy("modality").agg((100 * F.avg(F.coalesce("found_correct_answer", F.lit(False)).cast("double"))).alias("rate"))
-    top = rates.agg(F.max("rate").alias("top"))
-    return rates.crossJoin(F.broadcast(top)).select("modality", quality.rate_band(F.col("rate")).alias("band"), (F.col("rate") == F.col("top")).alias("best"))
+    # one row a modality
+    top = F.max("rate").over(Window.partitionBy())
+    return rates.select("modality", quality.rate_band(F.col("rate")).alias("band"), (F.col("rate") == top).alias("best"))
 
 
 @query("SELECT pair_id FROM qa_pair ORDER BY md5(concat_ws('|', pair_id, '42')), pair_id LIMIT 100")
