@@ -138,15 +138,40 @@ def rarity(texts: DataFrame) -> np.ndarray:
     return np.log((total + 1) / np.maximum(counts, 1)).astype(np.float32) + np.float32(0.05)
 
 
-def similar(a: str, b: str, weights: np.ndarray, known: dict[str, int]) -> bool:
-    """By the Jaccard similarity of three-word shingles, each counted by its weight, or each as one."""
-    x, y = (shingle_hashes(_word_hashes(t.split(), known), 3) for t in (a, b))
-    w = lambda s: float(weights[(s >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64)].sum())
-    shared = np.intersect1d(x, y, assume_unique=True)
-    both, either = len(shared), len(x) + len(y) - len(shared)
-    if not both or both >= PLAINLY_SIMILAR * either:
-        return bool(both)
-    return w(shared) >= SIMILAR * (w(x) + w(y) - w(shared))
+class Comparer:
+    """Compares texts; what it computes of a text is kept while the text comes up again and again."""
+
+    def __init__(self, weights: np.ndarray, keep: int = 20_000) -> None:
+        self.weights, self.keep = weights, keep
+        self.hashes: dict[str, int] = {}
+        self.texts: dict[str, tuple[np.ndarray, np.ndarray, float]] = {}
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, float]:
+        """The three-word shingles, sorted, their weights and the sum of these."""
+        known = self.texts.get(text)
+        if known is None:
+            if len(self.texts) >= self.keep:
+                self.texts.clear()
+            if len(self.hashes) > 1_000_000:
+                self.hashes.clear()
+            grams = shingle_hashes(_word_hashes(text.split(), self.hashes), 3)
+            own = self.weights[(grams >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64)]
+            known = self.texts[text] = grams, own, float(own.sum())
+        return known
+
+    def similar(self, a: str, b: str) -> bool:
+        """By the Jaccard similarity of three-word shingles, each counted by its weight, or each as one."""
+        (x, wx, sx), (y, _, sy) = self.of(a), self.of(b)
+        if not len(x) or not len(y):
+            return False
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        hit = y[at] == x
+        both = int(hit.sum())
+        if not both or both >= PLAINLY_SIMILAR * (len(x) + len(y) - both):
+            return bool(both)
+        shared = float(wx[hit].sum())
+        return shared >= SIMILAR * (sx + sy - shared)
 
 
 def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -280,9 +305,9 @@ class NeighbourhoodIndex:
         texts = shared.select("id", "other").join(side("id"), "id").join(side("other"), "other")
 
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known: dict[str, int] = {}
+            comparer = Comparer(weights.value)
             for frame in frames:
-                near = [similar(a, b, weights.value, known) for a, b in zip(frame["words_id"], frame["words_other"])]
+                near = [comparer.similar(a, b) for a, b in zip(frame["words_id"], frame["words_other"])]
                 kept = frame[np.array(near, bool)]
                 yield pd.DataFrame({"a": kept["at_other"], "b": kept["at_id"]})
 
