@@ -5,9 +5,10 @@ position is an offset in that stream, so that 'ground-glass', 'ground glass' and
 
 1. Document frequencies of the test items' terms, over the whole corpus (one row a term and task is shuffled).
 2. Of every window of ``min_words`` running words of an item, the ``anchors`` rarest terms are kept: only their postings
-   (term, doc_id, position) are stored, so common words never make long lists.
+   (term, doc_id, position) are stored, so common words never make long lists. So is one run of letters of every window,
+   as long as the shortest window allows: it is in every document that holds the window, however its words are set there.
 3. Postings are joined with the items' anchors and adjusted by the offset in the item; the lists are intersected where
-   two or more anchors of an item agree on the start (the diagonal) in a document.
+   two or more anchors of an item agree on the start (the diagonal) in a document. A run of letters needs no other.
 4. Exact check: documents on surviving diagonals are read again, and the longest run of item words equal to the stream at
    that diagonal is measured. Runs of ``min_words`` or more are exact matches; several anchors close together without such
    a run are proximity matches.
@@ -17,6 +18,7 @@ Null and blank texts match nothing; items of fewer than ``min_words`` words matc
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import unicodedata
@@ -32,6 +34,9 @@ from curatrix.session import arrow_safe, broadcast_if_small, materialize
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 _TERM = re.compile(r"[^\W_]+")
+#: Runs of letters are kept among the terms, as this mark (which no term holds) and their hash.
+MARK = "#"
+_BASE, _PIECE = 0x9E3779B97F4A7C15, 1 << 18
 
 
 def normal(text: str) -> str:
@@ -50,6 +55,32 @@ def words_of(text: str) -> list[list[str]]:
     return [terms for w in normal(text).split() if (terms := _TERM.findall(w))]
 
 
+@functools.lru_cache(8)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
+
+
+def gram_hashes(stream: str, size: int) -> np.ndarray:
+    """The hashes of all runs of ``size`` letters of a stream, by position."""
+    parts = []
+    for first in range(0, len(stream) - size + 1, _PIECE):
+        letters = np.frombuffer(stream[first : first + _PIECE + size - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        n = 1 << int(len(letters)).bit_length()
+        total = np.zeros(len(letters) + 1, np.uint64)
+        np.cumsum(letters * _powers(_BASE, n)[: len(letters)], out=total[1:])
+        h = (total[size:] - total[:-size]) * _powers(pow(_BASE, -1, 1 << 64), n)[: len(total) - size]
+        parts.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
+def gram_size(terms: DataFrame, min_words: int) -> int:
+    """The letters that every window of the items has, four times ``min_words`` at most."""
+    words = terms.groupBy("item_id", "word").agg(F.min("offset").alias("start"), F.max(F.col("offset") + F.length("term")).alias("stop"))
+    last = words.select("item_id", (F.col("word") - (min_words - 1)).alias("word"), F.col("stop").alias("end"))
+    shortest = words.join(last, ["item_id", "word"]).agg(F.min(F.col("end") - F.col("start"))).first()[0]
+    return min(4 * min_words, shortest or min_words)
+
+
 def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item_id, word BIGINT, term, offset BIGINT) of every term of every item."""
 
@@ -94,8 +125,9 @@ def term_frequencies(docs: DataFrame, text_col: str, terms: DataFrame, limit: in
     return counted.groupBy("term").agg(F.sum("n").alias("df"))
 
 
-def choose_anchors(terms: DataFrame, frequencies: DataFrame, min_words: int, anchors: int) -> DataFrame:
-    """(item_id, term, offset) of the rarest ``anchors`` terms of every window of ``min_words`` words of an item.
+def choose_anchors(terms: DataFrame, frequencies: DataFrame, min_words: int, anchors: int, size: int) -> DataFrame:
+    """(item_id, term, offset) of the rarest ``anchors`` terms of every window of ``min_words`` words of an item, and of the
+    run of ``size`` letters with the least hash.
 
     Ties go to the earlier offset. A group is one item, which is one text long.
     """
@@ -104,25 +136,39 @@ def choose_anchors(terms: DataFrame, frequencies: DataFrame, min_words: int, anc
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rows = sorted(zip(frame["word"].tolist(), frame["offset"].tolist(), frame["df"].tolist(), frame["term"].tolist()))
         starts = [i for i, row in enumerate(rows) if i == 0 or row[0] != rows[i - 1][0]] + [len(rows)]
+        grams = gram_hashes("".join(row[3] for row in rows), size)
         chosen: set[int] = set()
+        runs: set[int] = set()
         for first in range(len(starts) - min_words):
             window = range(starts[first], starts[first + min_words])
             chosen.update(sorted(window, key=lambda i: (rows[i][2], rows[i][1]))[:anchors])
-        kept = [rows[i] for i in sorted(chosen)]
-        return arrow_safe(pd.DataFrame({"item_id": np.full(len(kept), frame["item_id"].iloc[0]), "term": [row[3] for row in kept], "offset": np.array([row[1] for row in kept], np.int64)}))
+            begin, end = rows[window[0]][1], rows[window[-1]][1] + len(rows[window[-1]][3])
+            runs.add(begin + int(grams[begin : end - size + 1].argmin()))
+        kept = [(rows[i][3], rows[i][1]) for i in sorted(chosen)] + [(f"{MARK}{grams[i]:x}", i) for i in sorted(runs)]
+        return arrow_safe(pd.DataFrame({"item_id": np.full(len(kept), frame["item_id"].iloc[0]), "term": [k[0] for k in kept], "offset": np.array([k[1] for k in kept], np.int64)}))
 
     return rated.groupBy("item_id").applyInPandas(run, "item_id long, term string, offset long")
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame, limit: int = 500_000) -> DataFrame:
-    """The positional index (term, doc_id, position) of the given terms over all documents."""
+def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame, size: int, limit: int = 500_000) -> DataFrame:
+    """The positional index (term, doc_id, position) of the given terms and runs of ``size`` letters over all documents."""
     known = _vocabulary(terms, limit)
+    runs = None if known is None else np.sort(np.array([int(t[1:], 16) for t in known if t.startswith(MARK)], np.uint64))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # most runs of a document are ruled out by the first bits of their hash
+        likely = np.zeros(1 << 22, bool)
+        if runs is not None:
+            likely[runs >> np.uint64(42)] = True
         for frame in frames:
             rows = []
             for key, text in zip(frame["id"], frame["text"]):
                 found = _TERM.findall(normal(text))
+                grams = gram_hashes("".join(found), size)
+                places = np.flatnonzero(likely[grams >> np.uint64(42)]) if runs is not None else np.arange(len(grams))
+                if runs is not None and len(places):
+                    places = places[np.isin(grams[places], runs)]
+                rows.extend((f"{MARK}{grams[i]:x}", key, i) for i in places.tolist())
                 if known is not None and known.isdisjoint(found):
                     continue
                 at = 0
@@ -147,17 +193,20 @@ def longest_run(stream: str, words: list[str], start: int) -> int:
     return best
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors: int = 3, agree: int = 2, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors: int = 6, agree: int = 2, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, run_words, near_terms, kind): kind 'exact' for a run of min_words or more, else 'proximity'.
 
-    One row for each document and item with at least ``agree`` anchors in agreement. run_words is the longest exact run,
+    One row for each document and item with an exact run or at least ``agree`` anchors in agreement. run_words is the longest exact run,
     near_terms the most anchors that agree on one place.
     """
     terms = materialize(item_terms(items, item_id, text), "leak-items")
-    chosen = materialize(choose_anchors(terms, term_frequencies(docs, text, terms), min_words, anchors), "leak-anchors")
-    index = materialize(postings(docs, doc_id, text, chosen), "leak-postings")
-    aligned = index.join(broadcast_if_small(chosen)[0], "term").select("doc_id", "item_id", "offset", (F.col("position") - F.col("offset")).alias("start"))
-    diagonals = aligned.groupBy("doc_id", "item_id", "start").agg(F.count_distinct("offset").alias("near_terms")).where(F.col("near_terms") >= agree)
+    size = gram_size(terms, min_words)
+    chosen = materialize(choose_anchors(terms, term_frequencies(docs, text, terms), min_words, anchors, size), "leak-anchors")
+    index = materialize(postings(docs, doc_id, text, chosen, size), "leak-postings")
+    is_run = F.startswith("term", F.lit(MARK))
+    aligned = index.join(broadcast_if_small(chosen)[0], "term").select("doc_id", "item_id", F.when(~is_run, F.col("offset")).alias("anchor"), is_run.alias("is_run"), (F.col("position") - F.col("offset")).alias("start"))
+    counted = aligned.groupBy("doc_id", "item_id", "start").agg(F.count_distinct("anchor").alias("near_terms"), F.max("is_run").alias("is_run"))
+    diagonals = counted.where(F.col("is_run") | (F.col("near_terms") >= agree)).drop("is_run")
     diagonals = materialize(diagonals, "leak-diagonals")
 
     wanted, _ = broadcast_if_small(diagonals.select("doc_id").distinct())
@@ -181,4 +230,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors:
 
     checked = pairs.mapInPandas(check, "doc_id long, item_id long, near_terms long, run_words long")
     best = checked.groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.max("near_terms").alias("near_terms"))
-    return best.withColumn("kind", F.when(F.col("run_words") >= min_words, "exact").otherwise("proximity"))
+    found = best.where((F.col("run_words") >= min_words) | (F.col("near_terms") >= agree))
+    return found.withColumn("kind", F.when(F.col("run_words") >= min_words, "exact").otherwise("proximity"))

@@ -93,6 +93,24 @@ def test_leaks_against_brute_force(spark):
     assert leakage.find_leaks(D.limit(0), E).count() == 0 and leakage.find_leaks(D, E.limit(0)).count() == 0
 
 
+def test_leaks_whose_rare_words_are_set_differently(spark):
+    common = "the scan of a patient shows that there is no other finding in this".split()
+    item = " ".join(common[:5] + ["hoxbolum"] + common[5:10] + ["marrowgate"] + common[10:13])
+    halves = item.replace("hoxbolum", "hox bolum").replace("marrowgate", "marrow-gate")
+    docs = [(0, halves), (1, item.replace(" ", "")), (2, "<p>" + "-".join(item.split()) + "</p>"), (3, " ".join(w[:1] + " " + w[1:] for w in item.split()))]
+    docs += [(100 + i, " ".join(common)) for i in range(20)] + [(200, item.replace("hoxbolum", "hoxbulom"))]
+    D, E = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = leakage.find_leaks(D, E)
+    assert {(r.doc_id, r.item_id) for r in found.where("kind = 'exact'").collect()} == {(d, 7) for d in range(4)}
+
+
+def test_runs_of_letters_are_hashed_alike_anywhere():
+    text = "".join(random.Random(4).choices("abcé𝒳", k=300_000))
+    h = leakage.gram_hashes(text, 20)
+    assert len(h) == len(text) - 19 and all(h[i] == leakage.gram_hashes(text[i : i + 20], 20)[0] for i in (0, 7, 262_143, 262_144, 262_150, len(h) - 1))
+    assert len(leakage.gram_hashes("abc", 4)) == 0
+
+
 def test_first_fit_decreasing_against_plain_search():
     rng = random.Random(8)
     for _ in range(40):
