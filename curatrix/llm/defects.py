@@ -33,8 +33,9 @@ from curatrix.session import arrow_safe, broadcast_if_small, materialize
 CONTEXT = 6
 SEEN = 8
 ENDS = 0.08
-#: Open answers of one length are a limit's work if there are so many, and so many times those of the lengths around.
-SPIKE, SPIKE_TIMES = 30, 8.0
+#: Open answers of one length are a limit's work if they are so many times those of the lengths around, and if chance would
+#: not put them there (the negative logarithm of its probability).
+SPIKE_TIMES, SPIKE_EVIDENCE = 8.0, 20.0
 LONG_PREFIX = 48
 
 # Stand-ins for nothing, ways to decline, courtesies after it, and words at which no sentence ends.
@@ -309,11 +310,18 @@ def shortened(texts: DataFrame) -> DataFrame:
     return (out.unionByName(texts.sparkSession.createDataFrame(across, "answer string")) if across else out).distinct()
 
 
-def limit_lengths(opened: DataFrame) -> list[int]:
-    """Lengths at which open answers pile up."""
-    counts = {r.n: r.c for r in opened.groupBy(F.length("answer").alias("n")).agg(F.count_distinct("answer").alias("c")).where(F.col("c") >= SPIKE).limit(10_000).collect()}
-    around = lambda n: sum(counts.get(n + k, 0) for k in (-3, -2, -1, 1, 2, 3)) / 6
-    return [n for n, c in counts.items() if n >= 100 and c >= SPIKE_TIMES * max(1.0, around(n))]
+def limit_lengths(opened: DataFrame) -> DataFrame:
+    """(n INT): lengths at which open answers pile up, held against the three lengths on either side.
+
+    The chance of so many at one of seven like lengths is bounded after Chernoff, whatever the number of answers.
+    """
+    counts = opened.select("answer").distinct().groupBy(F.length("answer").alias("n")).agg(F.count("*").alias("c"))
+    near = counts.select(F.explode(F.sequence(F.col("n") - 3, F.col("n") + 3)).alias("n"), "c").groupBy("n").agg(F.sum("c").alias("total"))
+    share = F.col("c") / F.col("total")
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) * 7 / 6)).otherwise(0.0)
+    evidence = F.col("total") * (share * F.log(share * 7) + rest)
+    many = F.col("c") >= SPIKE_TIMES * (F.col("total") - F.col("c")) / 6
+    return counts.join(near, "n").where((F.col("n") >= 100) & many & (evidence >= SPIKE_EVIDENCE)).select("n")
 
 
 def find_defects(answers: DataFrame, natural: np.ndarray | None = None) -> DataFrame:
@@ -328,7 +336,7 @@ def find_defects(answers: DataFrame, natural: np.ndarray | None = None) -> DataF
     closed = answers.where("answer is not null").select("answer", F.lit(False).alias("open"))
     distinct = closed.unionByName(open_texts).groupBy("answer").agg(F.max("open").alias("open"))
     short, _ = broadcast_if_small(shortened(distinct), 50_000)
-    cut = limit_lengths(opened)
+    cut, _ = broadcast_if_small(limit_lengths(opened).withColumn("at_limit", F.lit(True)))
 
     # judged once a distinct text: equal answers share their ends
     texts = opened.groupBy("answer").agg(F.first("ends").alias("ends"), F.count("*").alias("own"))
@@ -337,9 +345,9 @@ def find_defects(answers: DataFrame, natural: np.ndarray | None = None) -> DataF
     ended = F.coalesce(F.col("ended"), F.lit(0)) - F.col("own")
     longest = rated.groupBy("answer").agg(F.max(F.when(others >= SEEN, F.struct("k", others.alias("others"), ended.alias("ended")))).alias("best"))
     share = F.col("best.ended") / F.col("best.others")
-    verdict = longest.join(short.withColumn("shorter", F.lit(True)), "answer", "left").select(
+    verdict = longest.join(short.withColumn("shorter", F.lit(True)), "answer", "left").join(cut, F.length("answer") == F.col("n"), "left").select(
         "answer",
-        (F.coalesce("shorter", F.lit(False)) | F.length("answer").isin(cut or [-1]) | F.col("best").isNull() | (share < ENDS)).alias("broken"),
+        (F.coalesce("shorter", F.lit(False)) | F.coalesce("at_limit", F.lit(False)) | F.col("best").isNull() | (share < ENDS)).alias("broken"),
     )
     truncated = opened.join(verdict.where("broken"), "answer", "left_semi").select("record_table", "pair_id", "answer_pos", F.lit("truncated").alias("defect"))
     return judged.where("defect is not null").select("record_table", "pair_id", "answer_pos", "defect").unionByName(truncated)

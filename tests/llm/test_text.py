@@ -59,6 +59,13 @@ def test_defects(spark):
     assert defects.find_defects(df.limit(0)).count() == 0
 
 
+def test_limit_lengths_against_true_neighbours(spark):
+    counts = {n: 29 for n in range(140, 160)} | {150: 33, 145: 30, 200: 20, 201: 1, 300: 3, 400: 60, 398: 2, 50: 90}
+    rows = [(f"{i:03d}".ljust(n, "x"),) for n, c in counts.items() for i in range(c)]
+    flagged = lambda rows: {r.n for r in defects.limit_lengths(spark.createDataFrame(rows, "answer string")).collect()}
+    assert flagged(rows * 2) == {200, 400} and flagged(rows[:1]) == set()
+
+
 def test_contexts_agree_with_end_contexts():
     texts = ["A drain lies beside the caecum. It was 12 mm", "one", "x, y. z"]
     for t in texts:
