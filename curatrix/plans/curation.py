@@ -198,15 +198,15 @@ def x9_urls_without_query(spark: SparkSession, d: str) -> DataFrame:
     return urls.select("pair_id", F.col("pos").cast("long").alias("pos"), F.substring_index("u", "?", 1).alias("url"))
 
 
+# DuckDB's levenshtein counts bytes: the SQL covers the ASCII rows only, the query all rows
 _ASCII = "regexp_full_match(coalesce(response, '') || coalesce(ground_truth, ''), '[\\x00-\\x7F]*')"
 
 
 @query(f"""SELECT result_id, round(CASE WHEN length(t) = 0 THEN CASE WHEN length(p) = 0 THEN 1.0 ELSE 0.0 END ELSE greatest(0.0, 1 - levenshtein(p, t) / greatest(length(p), length(t))) END, 6) AS character_accuracy, lower(trim(p)) = lower(trim(t)) AS exact_match
 FROM (SELECT result_id, coalesce(response, '') AS p, coalesce(ground_truth, '') AS t FROM qra_result WHERE {_ASCII})""")
 def m1_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "qra_result").where(F.concat(F.coalesce("response", F.lit("")), F.coalesce("ground_truth", F.lit(""))).rlike(r"^[\x00-\x7F]*\z"))
     p, t = F.col("response"), F.col("ground_truth")
-    return rows.select("result_id", F.round(quality.character_accuracy(p, t), 6).alias("character_accuracy"), quality.exact_match(p, t).alias("exact_match"))
+    return table(spark, d, "qra_result").select("result_id", F.round(quality.character_accuracy(p, t), 6).alias("character_accuracy"), quality.exact_match(p, t).alias("exact_match"))
 
 
 @query()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import conclusion
 from curatrix.operators import captions, cases, matching, quality, sampling
+from curatrix.plans import curation
 
 
 def distance(a, b):
@@ -58,6 +59,14 @@ def test_accuracy_against_brute_force(spark):
         assert r.c == pytest.approx(rate(p, t)) and r.w == pytest.approx(rate(p.split(), t.split())), (p, t)
 
 
+def test_accuracy_query_takes_all_rows(spark, tmp_path):
+    rows = [(1, "Größe 5 mm", "Grösse 5 mm"), (2, "niño", "nino"), (3, "≥ 3 × 4", "> 3 x 4"), (4, "𝒳é", "𝒳e"), (5, " ÉTÉ ", "été"), (6, "tea", "teas"), (7, None, "é"), (8, "é", None), (9, None, None), (10, "e\u0301", "é")]
+    spark.createDataFrame(rows, "result_id long, response string, ground_truth string").write.parquet(str(tmp_path / "qra_result.parquet"))
+    got = {r.result_id: (r.character_accuracy, r.exact_match) for r in curation.m1_accuracy(spark, str(tmp_path)).collect()}
+    rate = lambda a, b: (1.0 if not a else 0.0) if not b else max(0.0, 1 - distance(a, b) / max(len(a), len(b)))
+    assert got == {i: (round(rate(p or "", t or ""), 6), (p or "").strip().lower() == (t or "").strip().lower()) for i, p, t in rows}
+
+
 CAPS = '[{"granularity": 1, "text": "raw", "include_datacomp_raw_cap": true}, null, {"granularity": 1, "text": "plain"}, {"granularity": 0, "text": ""}, {"granularity": 5, "text": "<ocr>A</ocr><bbox>1,2</bbox>  b"}]'
 
 
