@@ -383,10 +383,14 @@ def x28_case_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT case_id, title AS form_text FROM case_raw WHERE regexp_full_match(title, '[A-Za-z0-9][A-Za-z0-9 -]*[A-Za-z0-9]') AND NOT contains(title, '  ')")
 def s14_form_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Handwriting forms made of the titles' words, and read again."""
-    rows = table(spark, d, "case_raw").where(F.col("title").rlike("^[A-Za-z0-9][A-Za-z0-9 -]*[A-Za-z0-9]$") & ~F.contains("title", F.lit("  ")))
-    words = F.array_join(F.transform(F.split("title", " "), lambda w: F.concat(F.lit('<word text="'), w, F.lit('"><cmp x="3" y="4" width="10" height="5"/></word>'))), "")
-    xml = F.concat(F.lit('<form width="100" height="50"><handwritten-part><line text="x">'), words, F.lit("</line></handwritten-part></form>"))
+    """Handwriting forms made of the titles' words, and read again. The SQL covers the plain titles only, the query all.
+
+    Control characters are left out, as XML has no way to write them.
+    """
+    rows = table(spark, d, "case_raw").where("title is not null")
+    plain = F.regexp_replace("title", r"[^\t\n\r\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]", "")
+    words = F.array_join(F.transform(F.split(plain, r"(?U)\s+"), lambda w: F.concat(F.lit('<word text="'), _escaped(w), F.lit('"><cmp x="3" y="4" width="10" height="5"/></word>'))), "")
+    xml = F.concat(F.lit('<form width="100" height="50"><handwritten-part><line text="">'), words, F.lit("</line></handwritten-part></form>"))
     return rows.select("case_id", markup.form_text(xml).alias("form_text"))
 
 

@@ -177,8 +177,8 @@ def x24_attempt_labels(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT batch_no, count(*) AS links, CAST(max(case_id % 40) AS INT) AS pages FROM case_raw WHERE url IS NOT NULL AND NOT regexp_matches(url, '[\"<>]') GROUP BY batch_no")
 def x27_search_pages(spark: SparkSession, d: str) -> DataFrame:
     """Search pages made of the cases' addresses, one an address, and read again."""
-    anchor = F.concat(F.lit('<div class="pagination"><a aria-label="Page '), (F.col("case_id") % 40).cast("string"), F.lit('">x</a></div><a class="search-result search-result-case" href="'), F.col("url"), F.lit('">case</a>'))
-    pages = table(spark, d, "case_raw").where(F.col("url").isNotNull() & ~F.col("url").rlike('["<>]')).select("batch_no", "case_id", anchor.alias("page"))
+    anchor = F.concat(F.lit('<div class="pagination"><a aria-label="Page '), (F.col("case_id") % 40).cast("string"), F.lit('">x</a></div><a class="search-result search-result-case" href="'), markup.escaped(F.col("url")), F.lit('">case</a>'))
+    pages = table(spark, d, "case_raw").where(F.col("url").isNotNull()).select("batch_no", "case_id", anchor.alias("page"))
     read = pages.select("batch_no", F.size(markup.case_links(F.col("page"), HOST)).alias("n"), markup.total_pages(F.col("page")).alias("p"))
     return read.groupBy("batch_no").agg(F.sum("n").alias("links"), F.max("p").alias("pages"))
 

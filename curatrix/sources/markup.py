@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from curatrix.functions.text import py_strip
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+ENTITIES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")]
 CASE_SCHEMA = "title string, modalities array<string>, patient_age string, patient_gender string, presentation string, case_discussion string, images array<struct<key:string,study_title:string,urls:array<string>,caption:string>>"
 
 
@@ -44,11 +45,26 @@ def absolute(url: Column, host: str) -> Column:
     return F.when(F.startswith(url, F.lit("http")), url).otherwise(F.concat(F.lit(host), url))
 
 
+def escaped(text: Column) -> Column:
+    """text as it is written between double quotes; '' for null."""
+    out = F.coalesce(text, F.lit(""))
+    for mark, entity in ENTITIES:
+        out = F.replace(out, F.lit(mark), F.lit(entity))
+    return out
+
+
+def unescaped(text: Column) -> Column:
+    """The inverse of ``escaped``."""
+    for mark, entity in reversed(ENTITIES):
+        text = F.replace(text, F.lit(entity), F.lit(mark))
+    return text
+
+
 def case_links(page: Column, host: str) -> Column:
     """Addresses of the search results, in order and with repeats."""
     anchors = F.regexp_extract_all(page, F.lit(r"(<a\s[^>]*>)"), 1)
     results = F.filter(anchors, lambda a: a.rlike(r'class="[^"]*\bsearch-result-case\b') & a.rlike(r'href="'))
-    return F.transform(results, lambda a: absolute(F.regexp_extract(a, r'href="([^"]*)"', 1), host))
+    return F.transform(results, lambda a: absolute(unescaped(F.regexp_extract(a, r'href="([^"]*)"', 1)), host))
 
 
 class _Page(HTMLParser):

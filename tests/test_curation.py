@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import conclusion
 from curatrix.operators import captions, cases, matching, quality, sampling
-from curatrix.plans import curation
+from curatrix.plans import curation, more
+from curatrix.sources import markup
 
 
 def distance(a, b):
@@ -67,6 +68,17 @@ def test_accuracy_query_takes_all_rows(spark, tmp_path):
     assert got == {i: (round(rate(p or "", t or ""), 6), (p or "").strip().lower() == (t or "").strip().lower()) for i, p, t in rows}
 
 
+def test_forms_and_search_pages_take_all_rows(spark, tmp_path):
+    titles = ["Quiz: cyst, left", 'A "b" <c> & d', "Größe ≥ 5 × 3 𝒳", "it's  a\u00a0 b\n", "x &amp; y &#65;", "", " ", "?", None, "bell\x07 x", "plain title"]
+    urls = ["/a?b=1&c=2", '/x"y', "/x<y>z", "/plain", None, "http://h/&amp;lt;", "/1", "/2", "/3", "/4", "/5"]
+    spark.createDataFrame([(i, t, u, 1) for i, (t, u) in enumerate(zip(titles, urls))], "case_id long, title string, url string, batch_no int").write.parquet(str(tmp_path / "case_raw.parquet"))
+    got = {r.case_id: r.form_text for r in curation.s14_form_texts(spark, str(tmp_path)).collect()}
+    assert got == {i: " ".join(t.replace("\x07", "").split()) for i, t in enumerate(titles) if t is not None}
+    assert [r.links for r in more.x27_search_pages(spark, str(tmp_path)).collect()] == [10]
+    page = spark.createDataFrame([(u,) for u in urls if u], "u string").select("u", markup.case_links(F.concat(F.lit('<a class="search-result-case" href="'), markup.escaped(F.col("u")), F.lit('">x</a>')), "").alias("l"))
+    assert all(r.l == [r.u] for r in page.collect())
+
+
 CAPS = '[{"granularity": 1, "text": "raw", "include_datacomp_raw_cap": true}, null, {"granularity": 1, "text": "plain"}, {"granularity": 0, "text": ""}, {"granularity": 5, "text": "<ocr>A</ocr><bbox>1,2</bbox>  b"}]'
 
 
