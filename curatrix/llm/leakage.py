@@ -1,42 +1,51 @@
-"""Evaluation texts leaking into training text, by a distributed positional index.
+"""Evaluation texts leaking into training text, by a distributed positional index that is stored once and searched often.
 
 Texts are read as a stream of letters and digits: case, punctuation, spacing, markup and entities do not count, and a
 position is an offset in that stream, so that 'ground-glass', 'ground glass' and 'groundglass' lie alike.
 
-1. Document frequencies of the test items' terms, over the whole corpus (one row a term and task is shuffled).
-2. Of every window of ``min_words`` running words of an item, the ``anchors`` rarest terms are kept: only their postings
-   (term, doc_id, position) are stored, so common words never make long lists. So is one run of letters of every window,
-   as long as the shortest window allows: it is in every document that holds the window, however its words are set there.
-3. Postings are joined with the items' anchors and adjusted by the offset in the item; the lists are intersected where
-   two or more anchors of an item agree on the start (the diagonal) in a document. A run of letters needs no other.
-4. Exact check: documents on surviving diagonals are read again, and the longest run of item words equal to the stream at
-   that diagonal is measured. Runs of ``min_words`` or more are exact matches; several anchors close together without such
-   a run are proximity matches.
-
-Null and blank texts match nothing; items of fewer than ``min_words`` words match nothing; repeated items each match.
+1. ``PositionalIndex.add`` reads the corpus once. Documents are put together in blocks; a block holds the postings of all
+   its terms (term, positions, document frequency), those of its fingerprints and its letters. Fingerprints are runs of
+   ``GRAM`` letters, picked by winnowing: any ``REACH`` running letters hold one, and the same one wherever they stand. No
+   document is divided between blocks, so nothing is shuffled, neither to build the index nor to intersect its lists.
+2. ``PositionalIndex.search`` reads the index alone, once for the document frequencies of the items' terms (only these two
+   columns) and once for the postings. Of every window of ``min_words`` running words of an item the ``anchors`` rarest
+   terms are looked up, and one fingerprint, which is in every document that holds the window, however it is set there.
+3. A block's lists are adjusted by the offsets in the item and intersected: a start (diagonal) on which ``agree`` rarest
+   terms or one fingerprint meet survives. The longest run of item words equal to the block's letters there is measured.
+   Runs of ``min_words`` are exact matches; several rarest terms close together without such a run proximity matches.
+
+Windows of fewer letters than REACH have no sure fingerprint; they are looked for in the blocks' letters themselves. Items
+are taken in parts of bounded size, each against the whole index. Null and blank texts match nothing; items of fewer than
+``min_words`` words match nothing; repeated items each match; documents with equal ids are all looked at.
 """
 
 from __future__ import annotations
 
 import functools
 import html
+import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.session import arrow_safe, broadcast_if_small, materialize
+from curatrix.session import arrow_safe, scratch_path
+
+#: Letters of a fingerprint, and running letters that are sure to hold one.
+GRAM, REACH = 16, 48
+#: Letters of a block, unless one document alone has more; letters of the items that are searched for at once.
+BLOCK, PART = 1 << 19, 20_000_000
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 _TERM = re.compile(r"[^\W_]+")
-#: Runs of letters are kept among the terms, as this mark (which no term holds) and their hash.
-MARK = "#"
-_BASE, _PIECE = 0x9E3779B97F4A7C15, 1 << 18
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+_NONE = np.uint64((1 << 32) - 1)
+BLOCKS = "docs binary, ends binary, letters string, terms binary, counts binary, frequencies binary, positions binary, grams binary, places binary"
+FOUND = "doc_id long, item_id long, run_words long, near_terms long"
 
 
 def normal(text: str) -> str:
@@ -55,180 +64,321 @@ def words_of(text: str) -> list[list[str]]:
     return [terms for w in normal(text).split() if (terms := _TERM.findall(w))]
 
 
-@functools.lru_cache(8)
-def _powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
-
-
-def gram_hashes(stream: str, size: int) -> np.ndarray:
-    """The hashes of all runs of ``size`` letters of a stream, by position."""
-    parts = []
-    for first in range(0, len(stream) - size + 1, _PIECE):
-        letters = np.frombuffer(stream[first : first + _PIECE + size - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        n = 1 << int(len(letters)).bit_length()
-        total = np.zeros(len(letters) + 1, np.uint64)
-        np.cumsum(letters * _powers(_BASE, n)[: len(letters)], out=total[1:])
-        h = (total[size:] - total[:-size]) * _powers(pow(_BASE, -1, 1 << 64), n)[: len(total) - size]
-        parts.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
-
-
-def gram_size(terms: DataFrame, min_words: int) -> int:
-    """The letters that every window of the items has, four times ``min_words`` at most."""
-    words = terms.groupBy("item_id", "word").agg(F.min("offset").alias("start"), F.max(F.col("offset") + F.length("term")).alias("stop"))
-    last = words.select("item_id", (F.col("word") - (min_words - 1)).alias("word"), F.col("stop").alias("end"))
-    shortest = words.join(last, ["item_id", "word"]).agg(F.min(F.col("end") - F.col("start"))).first()[0]
-    return min(4 * min_words, shortest or min_words)
-
-
-def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, word BIGINT, term, offset BIGINT) of every term of every item."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for key, text in zip(frame["id"], frame["text"]):
-                at = 0
-                for n, terms in enumerate(words_of(text or "")):
-                    for term in terms:
-                        rows.append((key, n, term, at))
-                        at += len(term)
-            yield arrow_safe(pd.DataFrame(rows, columns=["item_id", "word", "term", "offset"]))
-
-    return items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null").mapInPandas(run, "item_id long, word long, term string, offset long")
-
-
-def _vocabulary(terms: DataFrame, limit: int) -> set[str] | None:
-    """The distinct terms, if they are at most ``limit``; else None, and the corpus is joined with them by a shuffle."""
-    rows = terms.select("term").distinct().limit(limit + 1).collect()
-    return {r.term for r in rows} if len(rows) <= limit else None
-
-
-def term_frequencies(docs: DataFrame, text_col: str, terms: DataFrame, limit: int = 500_000) -> DataFrame:
-    """(term, df BIGINT): the number of documents holding each of the given terms."""
-    known = _vocabulary(terms, limit)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-        for frame in frames:
-            for text in frame["text"]:
-                found = set(_TERM.findall(normal(text)))
-                counts.update(found if known is None else known.intersection(found))
-                if len(counts) > limit:
-                    yield arrow_safe(pd.DataFrame(list(counts.items()), columns=["term", "n"]))
-                    counts = Counter()
-        yield arrow_safe(pd.DataFrame(list(counts.items()), columns=["term", "n"]))
-
-    counted = docs.select(F.col(text_col).alias("text")).where("text is not null").mapInPandas(run, "term string, n long")
-    if known is None:
-        counted = counted.join(terms.select("term").distinct(), "term", "left_semi")
-    return counted.groupBy("term").agg(F.sum("n").alias("df"))
-
-
-def choose_anchors(terms: DataFrame, frequencies: DataFrame, min_words: int, anchors: int, size: int) -> DataFrame:
-    """(item_id, term, offset) of the rarest ``anchors`` terms of every window of ``min_words`` words of an item, and of the
-    run of ``size`` letters with the least hash.
-
-    Ties go to the earlier offset. A group is one item, which is one text long.
-    """
-    rated = terms.join(frequencies, "term", "left").fillna(0, ["df"])
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(zip(frame["word"].tolist(), frame["offset"].tolist(), frame["df"].tolist(), frame["term"].tolist()))
-        starts = [i for i, row in enumerate(rows) if i == 0 or row[0] != rows[i - 1][0]] + [len(rows)]
-        grams = gram_hashes("".join(row[3] for row in rows), size)
-        chosen: set[int] = set()
-        runs: set[int] = set()
-        for first in range(len(starts) - min_words):
-            window = range(starts[first], starts[first + min_words])
-            chosen.update(sorted(window, key=lambda i: (rows[i][2], rows[i][1]))[:anchors])
-            begin, end = rows[window[0]][1], rows[window[-1]][1] + len(rows[window[-1]][3])
-            runs.add(begin + int(grams[begin : end - size + 1].argmin()))
-        kept = [(rows[i][3], rows[i][1]) for i in sorted(chosen)] + [(f"{MARK}{grams[i]:x}", i) for i in sorted(runs)]
-        return arrow_safe(pd.DataFrame({"item_id": np.full(len(kept), frame["item_id"].iloc[0]), "term": [k[0] for k in kept], "offset": np.array([k[1] for k in kept], np.int64)}))
-
-    return rated.groupBy("item_id").applyInPandas(run, "item_id long, term string, offset long")
-
-
-def postings(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame, size: int, limit: int = 500_000) -> DataFrame:
-    """The positional index (term, doc_id, position) of the given terms and runs of ``size`` letters over all documents."""
-    known = _vocabulary(terms, limit)
-    runs = None if known is None else np.sort(np.array([int(t[1:], 16) for t in known if t.startswith(MARK)], np.uint64))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # most runs of a document are ruled out by the first bits of their hash
-        likely = np.zeros(1 << 22, bool)
-        if runs is not None:
-            likely[runs >> np.uint64(42)] = True
-        for frame in frames:
-            rows = []
-            for key, text in zip(frame["id"], frame["text"]):
-                found = _TERM.findall(normal(text))
-                grams = gram_hashes("".join(found), size)
-                places = np.flatnonzero(likely[grams >> np.uint64(42)]) if runs is not None else np.arange(len(grams))
-                if runs is not None and len(places):
-                    places = places[np.isin(grams[places], runs)]
-                rows.extend((f"{MARK}{grams[i]:x}", key, i) for i in places.tolist())
-                if known is not None and known.isdisjoint(found):
-                    continue
-                at = 0
-                for term in found:
-                    if known is None or term in known:
-                        rows.append((term, key, at))
-                    at += len(term)
-            yield arrow_safe(pd.DataFrame(rows, columns=["term", "doc_id", "position"]))
-
-    made = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null").mapInPandas(run, "term string, doc_id long, position long")
-    return made if known is not None else made.join(terms.select("term").distinct(), "term", "left_semi")
-
-
-def longest_run(stream: str, words: list[str], start: int) -> int:
-    """The most running words that equal the stream when the item begins at position start of it."""
+@functools.lru_cache(1)
+def _letter_table() -> np.ndarray:
+    table = np.zeros(0x110000, bool)
+    for found in _TERM.finditer("".join(map(chr, range(0x110000)))):
+        table[found.start() : found.end()] = True
+    return table
+
+
+@functools.lru_cache(4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse, 0 to n - 1."""
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n, base, np.uint64)
+        factors[0] = 1
+        made.append(np.cumprod(factors, dtype=np.uint64))
+    return made[0], made[1]
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _prefixes(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    up, down = _powers(1 << int(len(letters)).bit_length())
+    total = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(letters.astype(np.uint64) * up[: len(letters)], out=total[1:])
+    return total, down
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    return ((h ^ (h >> np.uint64(31))) * _MIX) >> np.uint64(32)
+
+
+def range_hashes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of 32 bits of the letters from starts to ends, alike wherever they stand."""
+    total, down = _prefixes(letters)
+    return _mixed((total[ends] - total[starts]) * down[starts])
+
+
+def gram_hashes(letters: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Hashes of all runs of ``size`` letters, by position."""
+    if len(letters) < size:
+        return np.empty(0, np.uint64)
+    total, down = _prefixes(letters)
+    return _mixed((total[size:] - total[:-size]) * down[: len(total) - size])
+
+
+def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
+    """best (minimum or maximum) of every ``width`` running values."""
+    size = 1
+    while size * 2 <= width:
+        values, size = best(values[:-size], values[size:]), size * 2
+    return best(values[: len(values) - (width - size)], values[width - size :]) if width > size else values
+
+
+def winnowed(h: np.ndarray, width: int) -> np.ndarray:
+    """The positions whose hash is the least of some ``width`` running hashes; of fewer hashes none."""
+    if len(h) < width:
+        return np.empty(0, np.int64)
+    least = np.pad(_slide(h, width, np.minimum), width - 1)
+    return np.flatnonzero((_slide(least, width, np.maximum) == h) & (h != _NONE))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Integers of 32 bits by planes of bytes, which compress better."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def block_of(ids: list[int], texts: list[str]) -> tuple:
+    """One row of BLOCKS: the postings of these documents."""
+    codes = _codes("\n".join(texts) + "\n")
+    keep = _letter_table()[codes]
+    letters = codes[keep]
+    # the line breaks between documents are no letters
+    ends = np.cumsum(keep)[np.cumsum([len(t) + 1 for t in texts]) - 1]
+    sizes = np.diff(ends, prepend=0)
+    owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+    first = keep.copy()
+    first[1:] &= ~keep[:-1]
+    starts = np.flatnonzero(first[keep])
+    total, down = _prefixes(letters)
+    terms = _mixed((total[np.append(starts[1:], len(letters))] - total[starts]) * down[starts]) if len(starts) else np.empty(0, np.uint64)
+    ordered = np.sort((terms << np.uint64(32)) | starts.astype(np.uint64))
+    key, at = ordered >> np.uint64(32), (ordered & _NONE).astype(np.int64)
+    heads = np.flatnonzero(np.diff(key, prepend=np.uint64(1 << 40)))
+    docs = owner[at]
+    fresh = np.ones(len(key), np.int64)
+    fresh[1:] = (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])
+    frequencies = np.add.reduceat(fresh, heads) if len(heads) else heads
+    if len(letters) >= GRAM:
+        grams = _mixed((total[GRAM:] - total[:-GRAM]) * down[: len(total) - GRAM])
+        grams[owner[: len(grams)] != owner[GRAM - 1 :]] = _NONE
+        chosen = winnowed(grams, REACH - GRAM + 1)
+        prints = np.sort((grams[chosen] << np.uint64(32)) | chosen.astype(np.uint64))
+    else:
+        prints = np.empty(0, np.uint64)
+    rising = lambda v: _packed(np.diff(v, prepend=np.uint64(0)))
+    return (
+        np.array(ids, "<i8").tobytes(), _packed(ends), letters.tobytes().decode("utf-32-le", "replace"), rising(key[heads]), _packed(np.diff(np.append(heads, len(key)))), _packed(frequencies), _packed(at),
+        rising(prints >> np.uint64(32)), _packed(prints & _NONE),
+    )
+
+
+def _build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
+    for frame in frames:
+        ids, texts, size, rows = [], [], 0, []
+        for key, text in zip(frame["id"].tolist(), frame["text"]):
+            ids.append(key), texts.append(normal(text))
+            size += len(texts[-1])
+            if size >= BLOCK:
+                rows.append(block_of(ids, texts))
+                ids, texts, size = [], [], 0
+        if ids:
+            rows.append(block_of(ids, texts))
+        yield arrow_safe(pd.DataFrame(rows, columns=names))
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] of them), then the same of the next."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
+def _met(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of a (sorted, distinct) stand in a and in b (sorted, distinct)."""
+    if not len(a) or not len(b):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    if len(a) > len(b):
+        x, y = _met(b, a)
+        return y, x
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    hit = np.flatnonzero(b[at] == a)
+    return hit, at[hit]
+
+
+class Wanted:
+    """The rarest terms and fingerprints of items, to be looked up in blocks. Plain arrays, as it is sent to the workers."""
+
+    def __init__(self, items: list[tuple[int, str]], min_words: int) -> None:
+        self.ids = [i for i, _ in items]
+        self.terms = [[(n, t) for n, terms in enumerate(words_of(text)) for t in terms] for _, text in items]
+        self.min_words = min_words
+        self.words: list[list[str]] = []
+        for rows in self.terms:
+            words: list[str] = []
+            for n, t in rows:
+                if n == len(words):
+                    words.append(t)
+                else:
+                    words[n] += t
+            self.words.append(words)
+        letters = [_codes("".join(words)) for words in self.words]
+        offsets = [np.concatenate([[0], np.cumsum([len(t) for _, t in rows])]).astype(np.int64) for rows in self.terms]
+        self.hashes = [range_hashes(c, o[:-1], o[1:]) for c, o in zip(letters, offsets)]
+        self.letters, self.offsets = letters, offsets
+        self.vocabulary = np.unique(np.concatenate([*self.hashes, np.empty(0, np.uint64)]))
+
+    def choose(self, frequencies: np.ndarray, anchors: int) -> None:
+        """The ``anchors`` rarest terms of every window (ties: the earlier), its least fingerprint, and windows too short for one."""
+        found: list[list[tuple[int, int, int]]] = [[], []]
+        self.needles: list[tuple[str, int, int]] = []
+        for n, (rows, hashes, letters, offsets) in enumerate(zip(self.terms, self.hashes, self.letters, self.offsets)):
+            heads = [i for i, row in enumerate(rows) if i == 0 or row[0] != rows[i - 1][0]] + [len(rows)]
+            rate = frequencies[np.searchsorted(self.vocabulary, hashes)].tolist()
+            grams = gram_hashes(letters)
+            chosen: set[int] = set()
+            prints: set[int] = set()
+            for k in range(len(heads) - self.min_words):
+                window = range(heads[k], heads[k + self.min_words])
+                chosen.update(sorted(window, key=lambda i: (rate[i], i))[:anchors])
+                begin, end = int(offsets[window[0]]), int(offsets[window[-1] + 1])
+                if end - begin >= REACH:
+                    prints.add(begin + int(grams[begin : end - GRAM + 1].argmin()))
+                else:
+                    self.needles.append((letters[begin:end].tobytes().decode("utf-32-le"), n, begin))
+            found[0].extend((int(hashes[i]), n, int(offsets[i])) for i in sorted(chosen))
+            found[1].extend((int(grams[i]), n, i) for i in sorted(prints))
+        self.lists = []
+        for rows in found:
+            table = np.array(sorted(rows), np.int64).reshape(-1, 3)
+            keys, starts, counts = np.unique(table[:, 0].astype(np.uint64), return_index=True, return_counts=True)
+            self.lists.append((keys, starts, counts, table[:, 1], table[:, 2]))
+        del self.terms, self.hashes, self.letters, self.offsets
+
+    def _aligned(self, kind: int, keys: np.ndarray, begins: np.ndarray, counts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, place) of all postings of a block under the wanted keys of one kind."""
+        wanted, first, many, items, offsets = self.lists[kind]
+        mine, theirs = _met(wanted, keys)
+        postings = _runs(begins[theirs], counts[theirs])
+        times = np.repeat(many[mine], counts[theirs])
+        which = _runs(np.repeat(first[mine], counts[theirs]), times)
+        at = places[np.repeat(postings, times)].astype(np.int64)
+        return items[which], at - offsets[which], at
+
+    def in_block(self, row: tuple, agree: int) -> list[tuple[int, int, int, int]]:
+        """(doc_id, item_id, run_words, near_terms) of the diagonals that survive in a block."""
+        docs, ends, stream = np.frombuffer(row.docs, "<i8"), _unpacked(row.ends).astype(np.int64), row.letters
+        counts = _unpacked(row.counts).astype(np.int64)
+        terms = self._aligned(0, np.cumsum(_unpacked(row.terms).astype(np.uint64)), np.cumsum(counts) - counts, counts, _unpacked(row.positions))
+        prints = np.cumsum(_unpacked(row.grams).astype(np.uint64))
+        keys, begins, many = np.unique(prints, return_index=True, return_counts=True)
+        grams = self._aligned(1, keys, begins, many, _unpacked(row.places))
+        needles = []
+        for text, item, offset in self.needles:
+            at = stream.find(text)
+            while at >= 0:
+                needles.append((item, at - offset, at))
+                at = stream.find(text, at + 1)
+        sure = np.array(needles, np.int64).reshape(-1, 3).T
+        item = np.concatenate([terms[0], grams[0], sure[0]])
+        if not len(item):
+            return []
+        start = np.concatenate([terms[1], grams[1], sure[1]])
+        doc = np.searchsorted(ends, np.concatenate([terms[2], grams[2], sure[2]]), "right")
+        is_term = np.arange(len(item)) < len(terms[0])
+        order = np.lexsort((start, item, doc))
+        item, start, doc, is_term = item[order], start[order], doc[order], is_term[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (start[1:] != start[:-1]) | (doc[1:] != doc[:-1])
+        heads = np.flatnonzero(new)
+        near = np.add.reduceat(is_term.astype(np.int64), heads)
+        whole = np.diff(np.append(heads, len(item)))
+        kept = np.flatnonzero((near >= agree) | (whole > near))
+        out = []
+        for k in kept.tolist():
+            i, d = int(item[heads[k]]), int(doc[heads[k]])
+            run = longest_run(stream, self.words[i], int(start[heads[k]]), int(ends[d - 1]) if d else 0, int(ends[d]))
+            out.append((int(docs[d]), self.ids[i], run, int(near[k])))
+        return out
+
+
+def longest_run(stream: str, words: list[str], start: int, low: int, high: int) -> int:
+    """The most running words that equal the stream, between low and high, when the item begins at position start of it."""
     best = run = 0
     at = start
     for w in words:
-        run = run + 1 if at >= 0 and stream.startswith(w, at) else 0
-        best = max(best, run)
-        at += len(w)
+        end = at + len(w)
+        if at >= low and end <= high and stream.startswith(w, at):
+            run += 1
+            best = max(best, run)
+        else:
+            run = 0
+        at = end
     return best
 
 
+class PositionalIndex:
+    """Blocks of postings below a folder of the shared file system; ``add`` appends, ``search`` reads them alone."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> PositionalIndex:
+        rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+        rows.mapInPandas(_build, BLOCKS).write.mode("append").option("compression", "zstd").parquet(self.path)
+        return self
+
+    def blocks(self) -> DataFrame:
+        return self.spark.read.schema(BLOCKS).parquet(self.path)
+
+    def frequencies(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of documents that hold each of the given terms (sorted hashes)."""
+        shared = self.spark.sparkContext.broadcast(hashes)  # the terms of one part of the items
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            wanted = shared.value
+            total = np.zeros(len(wanted), np.int64)
+            for frame in frames:
+                for terms, counts in zip(frame["terms"], frame["frequencies"]):
+                    mine, theirs = _met(wanted, np.cumsum(_unpacked(terms).astype(np.uint64)))
+                    total[mine] += _unpacked(counts)[theirs]
+            some = np.flatnonzero(total)
+            yield pd.DataFrame({"place": some, "n": total[some]})
+
+        rows = self.blocks().select("terms", "frequencies").mapInPandas(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+        out = np.zeros(len(hashes), np.int64)
+        out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+        shared.unpersist()
+        return out
+
+    def search(self, items: DataFrame, min_words: int = 15, anchors: int = 6, agree: int = 2, item_id: str = "item_id", text: str = "text", part: int = PART) -> DataFrame:
+        """(doc_id, item_id, run_words, near_terms, kind): kind 'exact' for a run of min_words or more, else 'proximity'.
+
+        One row for each document and item with an exact run or at least ``agree`` rarest terms in agreement. run_words is
+        the longest exact run, near_terms the most rarest terms that agree on one place. ``part`` bounds the letters of
+        the items that are searched for, and held by the driver, at once.
+        """
+        asked = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+        parts = max(1, math.ceil((asked.agg(F.sum(F.length("text"))).first()[0] or 0) / part))
+        found = None
+        for n in range(parts):
+            own = asked if parts == 1 else asked.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == n)
+            wanted = Wanted([(r.id, r.text) for r in own.collect()], min_words)
+            wanted.choose(self.frequencies(wanted.vocabulary), anchors)
+            shared = self.spark.sparkContext.broadcast(wanted)
+
+            def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+                for frame in frames:
+                    rows = [hit for row in frame.itertuples() for hit in shared.value.in_block(row, agree)]
+                    yield arrow_safe(pd.DataFrame(rows, columns=["doc_id", "item_id", "run_words", "near_terms"]))
+
+            mine = self.blocks().drop("frequencies").mapInPandas(run, FOUND)
+            found = mine if found is None else found.unionByName(mine)
+        best = found.groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.max("near_terms").alias("near_terms"))
+        kept = best.where((F.col("run_words") >= min_words) | (F.col("near_terms") >= agree))
+        return kept.withColumn("kind", F.when(F.col("run_words") >= min_words, "exact").otherwise("proximity"))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, anchors: int = 6, agree: int = 2, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, run_words, near_terms, kind): kind 'exact' for a run of min_words or more, else 'proximity'.
-
-    One row for each document and item with an exact run or at least ``agree`` anchors in agreement. run_words is the longest exact run,
-    near_terms the most anchors that agree on one place.
-    """
-    terms = materialize(item_terms(items, item_id, text), "leak-items")
-    size = gram_size(terms, min_words)
-    chosen = materialize(choose_anchors(terms, term_frequencies(docs, text, terms), min_words, anchors, size), "leak-anchors")
-    index = materialize(postings(docs, doc_id, text, chosen, size), "leak-postings")
-    is_run = F.startswith("term", F.lit(MARK))
-    aligned = index.join(broadcast_if_small(chosen)[0], "term").select("doc_id", "item_id", F.when(~is_run, F.col("offset")).alias("anchor"), is_run.alias("is_run"), (F.col("position") - F.col("offset")).alias("start"))
-    counted = aligned.groupBy("doc_id", "item_id", "start").agg(F.count_distinct("anchor").alias("near_terms"), F.max("is_run").alias("is_run"))
-    diagonals = counted.where(F.col("is_run") | (F.col("near_terms") >= agree)).drop("is_run")
-    diagonals = materialize(diagonals, "leak-diagonals")
-
-    wanted, _ = broadcast_if_small(diagonals.select("doc_id").distinct())
-    # documents with equal ids are all looked at
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null").join(wanted, "doc_id", "left_semi")
-    item_words = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("item_text")).where("item_id is not null")
-    pairs = texts.join(diagonals, "doc_id").join(broadcast_if_small(item_words, 20_000)[0], "item_id")
-
-    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            streams: dict[str, str] = {}
-            parsed: dict[str, list[str]] = defaultdict(list)
-            runs = []
-            for t, item, start in zip(frame["text"], frame["item_text"], frame["start"]):
-                if t not in streams:
-                    streams[t] = "".join(_TERM.findall(normal(t)))
-                if item not in parsed:
-                    parsed[item] = ["".join(w) for w in words_of(item or "")]
-                runs.append(longest_run(streams[t], parsed[item], start))
-            yield frame[["doc_id", "item_id", "near_terms"]].assign(run_words=runs)
-
-    checked = pairs.mapInPandas(check, "doc_id long, item_id long, near_terms long, run_words long")
-    best = checked.groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.max("near_terms").alias("near_terms"))
-    found = best.where((F.col("run_words") >= min_words) | (F.col("near_terms") >= agree))
-    return found.withColumn("kind", F.when(F.col("run_words") >= min_words, "exact").otherwise("proximity"))
+    """``PositionalIndex.search`` of the items in an index of docs, made for it in the shared folder."""
+    index = PositionalIndex(docs.sparkSession, scratch_path(docs.sparkSession, "positional-index")).add(docs, doc_id, text)
+    return index.search(items, min_words, anchors, agree, item_id, text)

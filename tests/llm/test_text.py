@@ -113,9 +113,74 @@ def test_leaks_whose_rare_words_are_set_differently(spark):
 
 def test_runs_of_letters_are_hashed_alike_anywhere():
     text = "".join(random.Random(4).choices("abcé𝒳", k=300_000))
-    h = leakage.gram_hashes(text, 20)
-    assert len(h) == len(text) - 19 and all(h[i] == leakage.gram_hashes(text[i : i + 20], 20)[0] for i in (0, 7, 262_143, 262_144, 262_150, len(h) - 1))
-    assert len(leakage.gram_hashes("abc", 4)) == 0
+    h = leakage.gram_hashes(leakage._codes(text), 20)
+    assert len(h) == len(text) - 19 and all(h[i] == leakage.gram_hashes(leakage._codes(text[i : i + 20]), 20)[0] for i in (0, 7, 262_143, 262_144, 262_150, len(h) - 1))
+    assert len(leakage.gram_hashes(leakage._codes("abc"), 4)) == 0
+
+
+def test_any_reach_of_letters_holds_the_same_fingerprint():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefgh", k=3000)) + "a" * 200
+    width = leakage.REACH - leakage.GRAM + 1
+    h = leakage.gram_hashes(leakage._codes(text))
+    chosen = set(leakage.winnowed(h, width).tolist())
+    for i in range(0, len(text) - leakage.REACH + 1):
+        own = h[i : i + width]
+        assert i + int(own.argmin()) in chosen
+    assert len(leakage.winnowed(h[: width - 1], width)) == 0
+
+
+def test_rare_words_joined_in_the_document(spark):
+    item = "the scan shows ground-glass change and chest-wall fluid in the left lung near the heart today"
+    docs = [(1, item.replace("ground-glass", "groundglass").replace("chest-wall", "chestwall"))] + [(10 + i, "the scan shows change and fluid in the left lung near the heart today") for i in range(38)]
+    found = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id, r.run_words) for r in found.where("kind = 'exact'").collect()] == [(1, 7, 16)]
+
+
+def test_words_joined_and_split_at_random_lose_nothing(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdeghilmnorstu", k=rng.choice([1, 2, 4, 5, 7, 9]))) for _ in range(300)]
+    items = [(i, " ".join(rng.choices(words, k=20))) for i in range(20)]
+
+    def respaced(text):
+        return "".join(c if c != " " else rng.choice([" ", "", "-", "\n", "</b> <b>", " , "]) for c in "".join(x + (" " if x != " " and rng.random() < 0.1 else "") for x in text))
+
+    docs = [(d, " ".join(rng.choices(words, k=9)) + " " + respaced(" ".join(rng.choice(items)[1].split()[rng.randrange(0, 5) :])) + " " + " ".join(rng.choices(words, k=9))) for d in range(300)]
+    want = set()
+    for d, text in docs:
+        stream = "".join(leakage._TERM.findall(leakage.normal(text)))
+        want |= {(d, i) for i, item in items if any("".join(item.split()[k : k + 15]) in stream for k in range(6))}
+    found = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.where("kind = 'exact'").collect()} == want and len(want) >= 300
+
+
+def test_windows_of_few_letters_and_items_in_parts(spark):
+    short = "a b c d e f g h i j k l m n o p"
+    items = [(1, short), (2, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"), (2, short + " q")]
+    docs = [(1, "x " + short.replace(" ", "")), (2, "a b c d e f g h i j k l m n"), (3, None), (4, items[1][1].upper())]
+    D, E = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    index = leakage.PositionalIndex(spark, leakage.scratch_path(spark, "few")).add(D)
+    for part in (leakage.PART, 20):
+        assert {(r.doc_id, r.item_id) for r in index.search(E, part=part).where("kind = 'exact'").collect()} == {(1, 1), (1, 2), (4, 2)}
+
+
+def test_a_second_test_set_reads_the_index_alone(spark, tmp_path):
+    rng = random.Random(13)
+    words = ["".join(rng.choices("abcdeghilmnorstu", k=6)) for _ in range(400)]
+    sets = [[(i, " ".join(rng.choices(words, k=18))) for i in range(s, s + 5)] for s in (0, 10)]
+    docs = [(d, " ".join(rng.choices(words, k=30)) + " " + dict(sets[0] + sets[1])[rng.choice([0, 3, 10, 14])]) for d in range(40)]
+    path = tmp_path / "docs"
+    spark.createDataFrame(docs[:30], "doc_id long, text string").write.parquet(str(path))
+    index = leakage.PositionalIndex(spark, str(tmp_path / "index")).add(spark.read.parquet(str(path)))
+    for f in path.iterdir():
+        f.unlink()
+    # what comes later is appended, and a reopened index knows it all
+    leakage.PositionalIndex(spark, str(tmp_path / "index")).add(spark.createDataFrame(docs[30:], "doc_id long, text string"))
+    again = leakage.PositionalIndex(spark, str(tmp_path / "index"))
+    for own in sets:
+        got = {(r.doc_id, r.item_id) for r in again.search(spark.createDataFrame(own, "item_id long, text string")).where("kind = 'exact'").collect()}
+        assert got == {(d, i) for d, text in docs for i, t in own if t in text} and got
+    assert index.blocks().count() >= 2
 
 
 def test_first_fit_decreasing_against_plain_search():
