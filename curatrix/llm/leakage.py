@@ -21,7 +21,6 @@ are taken in parts of bounded size, each against the whole index. Null and blank
 
 from __future__ import annotations
 
-import functools
 import html
 import math
 import re
@@ -33,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curatrix.llm.letters import codes_of, mixed, prefixes, range_hashes, table_of
 from curatrix.session import arrow_safe, scratch_path
 
 #: Letters of a fingerprint, and running letters that are sure to hold one.
@@ -42,7 +42,6 @@ BLOCK, PART = 1 << 19, 20_000_000
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 _TERM = re.compile(r"[^\W_]+")
-_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 _NONE = np.uint64((1 << 32) - 1)
 BLOCKS = "docs binary, ends binary, letters string, terms binary, counts binary, frequencies binary, positions binary, grams binary, places binary"
 FOUND = "doc_id long, item_id long, run_words long, near_terms long"
@@ -64,52 +63,12 @@ def words_of(text: str) -> list[list[str]]:
     return [terms for w in normal(text).split() if (terms := _TERM.findall(w))]
 
 
-@functools.lru_cache(1)
-def _letter_table() -> np.ndarray:
-    table = np.zeros(0x110000, bool)
-    for found in _TERM.finditer("".join(map(chr, range(0x110000)))):
-        table[found.start() : found.end()] = True
-    return table
-
-
-@functools.lru_cache(4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the base and of its inverse, 0 to n - 1."""
-    made = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        factors = np.full(n, base, np.uint64)
-        factors[0] = 1
-        made.append(np.cumprod(factors, dtype=np.uint64))
-    return made[0], made[1]
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _prefixes(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << int(len(letters)).bit_length())
-    total = np.zeros(len(letters) + 1, np.uint64)
-    np.cumsum(letters.astype(np.uint64) * up[: len(letters)], out=total[1:])
-    return total, down
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    return ((h ^ (h >> np.uint64(31))) * _MIX) >> np.uint64(32)
-
-
-def range_hashes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of 32 bits of the letters from starts to ends, alike wherever they stand."""
-    total, down = _prefixes(letters)
-    return _mixed((total[ends] - total[starts]) * down[starts])
-
-
 def gram_hashes(letters: np.ndarray, size: int = GRAM) -> np.ndarray:
     """Hashes of all runs of ``size`` letters, by position."""
     if len(letters) < size:
         return np.empty(0, np.uint64)
-    total, down = _prefixes(letters)
-    return _mixed((total[size:] - total[:-size]) * down[: len(total) - size])
+    total, down = prefixes(letters)
+    return mixed((total[size:] - total[:-size]) * down[: len(total) - size])
 
 
 def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -139,8 +98,8 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def block_of(ids: list[int], texts: list[str]) -> tuple:
     """One row of BLOCKS: the postings of these documents."""
-    codes = _codes("\n".join(texts) + "\n")
-    keep = _letter_table()[codes]
+    codes = codes_of("\n".join(texts) + "\n")
+    keep = table_of(_TERM.pattern)[codes]
     letters = codes[keep]
     # the line breaks between documents are no letters
     ends = np.cumsum(keep)[np.cumsum([len(t) + 1 for t in texts]) - 1]
@@ -149,8 +108,8 @@ def block_of(ids: list[int], texts: list[str]) -> tuple:
     first = keep.copy()
     first[1:] &= ~keep[:-1]
     starts = np.flatnonzero(first[keep])
-    total, down = _prefixes(letters)
-    terms = _mixed((total[np.append(starts[1:], len(letters))] - total[starts]) * down[starts]) if len(starts) else np.empty(0, np.uint64)
+    total, down = prefixes(letters)
+    terms = mixed((total[np.append(starts[1:], len(letters))] - total[starts]) * down[starts]) if len(starts) else np.empty(0, np.uint64)
     ordered = np.sort((terms << np.uint64(32)) | starts.astype(np.uint64))
     key, at = ordered >> np.uint64(32), (ordered & _NONE).astype(np.int64)
     heads = np.flatnonzero(np.diff(key, prepend=np.uint64(1 << 40)))
@@ -159,7 +118,7 @@ def block_of(ids: list[int], texts: list[str]) -> tuple:
     fresh[1:] = (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])
     frequencies = np.add.reduceat(fresh, heads) if len(heads) else heads
     if len(letters) >= GRAM:
-        grams = _mixed((total[GRAM:] - total[:-GRAM]) * down[: len(total) - GRAM])
+        grams = mixed((total[GRAM:] - total[:-GRAM]) * down[: len(total) - GRAM])
         grams[owner[: len(grams)] != owner[GRAM - 1 :]] = _NONE
         chosen = winnowed(grams, REACH - GRAM + 1)
         prints = np.sort((grams[chosen] << np.uint64(32)) | chosen.astype(np.uint64))
@@ -221,7 +180,7 @@ class Wanted:
                 else:
                     words[n] += t
             self.words.append(words)
-        letters = [_codes("".join(words)) for words in self.words]
+        letters = [codes_of("".join(words)) for words in self.words]
         offsets = [np.concatenate([[0], np.cumsum([len(t) for _, t in rows])]).astype(np.int64) for rows in self.terms]
         self.hashes = [range_hashes(c, o[:-1], o[1:]) for c, o in zip(letters, offsets)]
         self.letters, self.offsets = letters, offsets

@@ -1,19 +1,22 @@
 """Keyword-stuffed and link-list pages, as outliers in spam-directed directions.
 
-One pass over the whole texts gives each document its language (by function words) and features of density, entropy,
-repetition and function words. Per language the centre and spread of every feature over all documents are taken robustly
-(median and a quantile spread) and the correlations from clipped scores; a document's distance is the Mahalanobis
-distance of that part of its scores that points towards spam. Outliers are then checked exactly: the larger part of
-the text must lie in segments that only repeat keywords or carry links.
+One pass over the whole texts, in arrays of code points, gives each document its language (by function words) and six
+features: the density of links and of symbols, the repetition of keywords, the entropy of the words, the lack of function
+words, and the share of stretches without any. Per language a minimum covariance determinant gives a robust centre and
+covariance: from medians and quartiles, steps of concentration on the inner part of the documents, then a reweighted one.
+Every step is one pass over the features with sums by language and distance bin, so the driver gets a fixed number of rows
+whatever the input. A document is flagged by its Mahalanobis distance alone: that of the part of its deviation that points
+towards spam, beyond the ``QUANTILE`` of chi-square.
 
-Null and blank texts have no features and are never flagged. Repeated rows are flagged alike.
+The covariance is regularised by ``FLOORS``, differences in a feature that are never odd, and a language's estimate by
+``PRIOR`` documents of all languages, so that rare languages lean on the rest. Documents of no clear language are held
+against all together. Null and blank texts have no features and are never flagged. Repeated rows are flagged alike.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.llm.letters import codes_of, mixed, prefixes, range_hashes, table_of
 from curatrix.session import arrow_safe, materialize
 
 # Frequent function words of each language.
@@ -31,142 +35,239 @@ FUNCTION_WORDS = {
     "es": "el la los las un una unos unas de del y en es que por para con se su sus no al lo como más desde después ha han o pero muy ser está están fue era hay a entre sin sobre cuando lo le les son",
 }
 FEATURES = ("link_share", "repetition", "entropy_gap", "function_gap", "list_share", "symbol_share")
-#: A keyword counts as repeated when it stood within so many words before.
-NEAR = 14
-#: Pieces are joined to segments of at least so many characters: lines without an end mark, and sentences.
-LINE_SIZE, SENTENCE_SIZE = 120, 40
+FLOORS = np.array([0.1, 0.05, 0.1, 0.06, 0.1, 0.05])
+#: A keyword counts as repeated when it stood within so many words before; repetition counts so many more words as new ones.
+NEAR, FRESH = 14, 12
+#: Words of a stretch, and words that a link stands for.
+STRETCH, LINKED = 16, 8
+#: A stretch with a smaller share of function words counts as a list, by as much as it is smaller.
+LIST_PROSE = 0.2
 #: Documents with a smaller share of any one language's function words are held against all languages together.
 LEAST_PROSE = 0.08
-COVERED = 0.5
-DISTANCE = 3.0
+#: The inner share of the documents, that of the reweighted step, and the quantile of chi-square beyond which spam lies.
+INNER, REWEIGHTED, QUANTILE = 0.75, 0.975, 0.9999
+ROUNDS, PRIOR = 4, 50.0
 
 POOLED = "any"
-_SETS = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
-_ANY = frozenset().union(*_SETS.values())
-_SEGMENT = re.compile(r"\n+|(?<=[.!?])\s+|</p>|</li>|<br ?/?>|</div>|</td>")
+#: Characters that are measured at once, unless one document alone has more.
+TOGETHER = 1 << 19
 _LINK = re.compile(r"https?://|www\.|href=|\]\(|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:com|org|net|info|biz|io|example|test)\b|#[^\W\d_]\w{3,}")
-_WORD = re.compile(r"[^\W\d_]+")
-_SYMBOL = re.compile(r"[^\w\s.,;:'\"()%-]")
-
-
-def segments(text: str) -> Iterator[str]:
-    """Sentences and lines; short ones are joined with what follows, so that a list of keywords is seen as one."""
-    held: list[str] = []
-    size = 0
-    for piece in _SEGMENT.split(text):
-        piece = piece.strip()
-        if not piece:
-            continue
-        held.append(piece)
-        size += len(piece)
-        if size >= (SENTENCE_SIZE if piece[-1] in ".!?" else LINE_SIZE):
-            yield " ".join(held)
-            held, size = [], 0
-    if held:
-        yield " ".join(held)
-
-
-def measure(text: str) -> tuple:
-    """(language, the FEATURES, covered): covered is the share of the text in segments of mere keywords or links."""
-    repeated = content = covered = total = linked = listed = 0
-    words_all: Counter = Counter()
-    for segment in segments(text):
-        low = segment.lower()
-        size = len(low)
-        total += size
-        links = len(_LINK.findall(low))
-        words = _WORD.findall(low)
-        words_all.update(words)
-        last: dict[str, int] = {}
-        own = again = plain = 0
-        for n, w in enumerate(words):
-            if w in _ANY:
-                plain += 1
-            elif len(w) > 2:
-                own += 1
-                before = last.get(w)
-                again += before is not None and n - before <= NEAR
-                last[w] = n
-        content += own
-        repeated += again
-        share = again / own if own else 0.0
-        prose = plain / len(words) if words else 0.0
-        is_link = links > 0 and (links * 60 >= size or own <= 12)
-        linked += size * is_link
-        listed += size * (prose < 0.1 and own >= 6)
-        covered += size * (is_link or (share > 0.3 and prose < 0.45) or (share > 0.2 and prose < 0.3) or (share > 0.12 and prose < 0.1 and own >= 6) or (share > 0.12 and prose < 0.4 and len(_SYMBOL.findall(low)) >= 3))
-    if not total:
-        return (None, *[0.0] * len(FEATURES), 0.0)
-    counts = {lang: sum(c for w, c in words_all.items() if w in own) for lang, own in _SETS.items()}
-    lang = max(counts, key=lambda k: (counts[k], k))
-    amount = sum(words_all.values())
-    entropy = -sum(c / amount * math.log(c / amount) for c in words_all.values()) if amount else 0.0
-    gap = 1 - entropy / math.log(amount) if amount > 1 else 0.0
-    plain_share = sum(c for w, c in words_all.items() if w in _ANY) / amount if amount else 0.0
-    known = lang if amount and counts[lang] >= LEAST_PROSE * amount else POOLED
-    return (known, linked / total, repeated / content if content else 0.0, gap, 1 - plain_share, listed / total, len(_SYMBOL.findall(text)) / len(text), covered / total)
+_WORD, _SYMBOL, _SPACE = r"[^\W\d_]+", r"[^\w\s.,;:'\"()%-]+", r"\s+"
+_LANGUAGES = tuple(FUNCTION_WORDS)
+
+
+def _function_hashes() -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all function words, sorted, and their languages as bits."""
+    bits: dict[str, int] = {}
+    for k, words in enumerate(FUNCTION_WORDS.values()):
+        for w in words.split():
+            bits[w] = bits.get(w, 0) | 1 << k
+    codes = codes_of("".join(bits))
+    ends = np.cumsum([len(w) for w in bits])
+    hashes = range_hashes(codes, np.concatenate([[0], ends[:-1]]), ends)
+    order = np.argsort(hashes)
+    return hashes[order], np.array(list(bits.values()))[order]
+
+
+_KNOWN, _BITS = _function_hashes()
+
+
+def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each text's language, else that of none; the FEATURES, one row a text)."""
+    low = [t.lower() for t in texts]
+    joined = "\n".join(low) + "\n"
+    codes, n = codes_of(joined), len(low)
+    stops = np.cumsum([len(t) + 1 for t in low])
+    begins = np.concatenate([[0], stops[:-1]])
+    inside = table_of(_WORD)[codes]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    doc = np.searchsorted(stops, first, "right")
+    total, down = prefixes(codes)
+    word = mixed((total[last] - total[first]) * down[first])
+    words = np.bincount(doc, minlength=n)
+    place = np.arange(len(word)) - (np.cumsum(words) - words)[doc]
+    at = np.minimum(np.searchsorted(_KNOWN, word), len(_KNOWN) - 1)
+    bits = np.where(_KNOWN[at] == word, _BITS[at], 0)
+    plain = bits > 0
+    keyword = ~plain & (last - first > 2)
+
+    # equal words of a document, one after the other
+    owned = (doc.astype(np.uint64) << np.uint64(32)) | word
+    order = np.argsort(owned, kind="stable")
+    same = owned[order[1:]] == owned[order[:-1]]
+    again = np.zeros(len(word), bool)
+    again[order[1:][same & (np.diff(order) <= NEAR)]] = True
+    again &= keyword
+    heads = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else order
+    times = np.diff(np.append(heads, len(order)))
+    many = np.maximum(words, 2)
+    entropy = np.log(many) - np.bincount(doc[order[heads]], times * np.log(times), n) / many
+    gap = np.where(words > 1, np.maximum(1 - entropy / np.log(many), 0), 0)
+
+    stretches = np.maximum(1, np.round(words / STRETCH).astype(np.int64))
+    base = np.cumsum(stretches) - stretches
+    stretch = base[doc] + np.minimum(place // STRETCH, stretches[doc] - 1)
+    amount = int(stretches.sum())
+    sizes, prose = np.bincount(stretch, minlength=amount), np.bincount(stretch, plain, amount)
+    links = np.array([m.start() for m in _LINK.finditer(joined)], np.int64)
+    page = np.searchsorted(stops, links, "right")
+    following = np.searchsorted(first, links)
+    inner = (following < len(first)) & (doc[np.minimum(following, len(doc) - 1)] == page) if len(doc) else np.zeros(len(links), bool)
+    linked = np.bincount(np.where(inner, stretch[np.minimum(following, len(doc) - 1)], base[page] + stretches[page] - 1) if len(doc) else base[page], minlength=amount)
+    whole = np.maximum(words, 1)
+    of_doc = lambda values: np.add.reduceat(values, base) / whole
+    link_share = np.where(words > 0, of_doc(np.minimum(sizes, LINKED * linked)), np.bincount(page, minlength=n) > 0)
+    list_share = of_doc(sizes * np.clip(1 - prose / np.maximum(sizes, 1) / LIST_PROSE, 0, 1))
+    repetition = np.bincount(doc, again, n) / (np.bincount(doc, keyword, n) + FRESH)
+    share = lambda pattern: np.add.reduceat(table_of(pattern)[codes].astype(np.int64), begins)
+    symbols = share(_SYMBOL) / np.maximum(stops - begins - share(_SPACE), 1)
+    by_language = np.array([np.bincount(doc, bits >> k & 1, n) for k in range(len(_LANGUAGES))])
+    language = np.where(by_language.max(0) >= LEAST_PROSE * whole, by_language.argmax(0), len(_LANGUAGES))
+    return language, np.stack([link_share, repetition, gap, 1 - np.bincount(doc, plain, n) / whole, list_share, symbols], 1)
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, language, the FEATURES, covered) of all documents with a visible text."""
+    """(doc_id, language INT, the FEATURES) of all documents with a visible text."""
+    schema = ", ".join(["doc_id long", "language int", *(f"{f} double" for f in FEATURES)])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["doc_id", "language", *FEATURES, "covered"]
         for frame in frames:
-            rows = [(key, *measured) for key, text in zip(frame["id"], frame["text"]) if (measured := measure(text))[0] is not None]
-            yield arrow_safe(pd.DataFrame(rows, columns=names))
+            sizes = np.cumsum(frame["text"].str.len().to_numpy(np.int64)) // TOGETHER if len(frame) else np.empty(0, np.int64)
+            for part in np.split(np.arange(len(frame)), np.flatnonzero(np.diff(sizes)) + 1):
+                if len(part):
+                    language, found = measure(frame["text"].iloc[part].tolist())
+                    yield pd.DataFrame({"doc_id": frame["id"].to_numpy()[part], "language": language.astype(np.int32), **dict(zip(FEATURES, found.T))})
+
+    visible = F.col("text").rlike(r"(?U)\S")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & visible).mapInPandas(run, schema)
+
+
+def chi_square(x: float, freedom: int) -> float:
+    """The share of chi-square up to x, for an even number of degrees of freedom."""
+    half, term, total = x / 2, 1.0, 1.0
+    for k in range(1, freedom // 2):
+        term *= half / k
+        total += term
+    return 1 - math.exp(-half) * total
+
+
+def chi_square_quantile(share: float, freedom: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, freedom) < share else (low, middle)
+    return high
+
+
+_SIZE = len(FEATURES)
+_BINS, _FINE = 96, 512
+#: Products of two features, each once.
+_PAIRS = np.triu_indices(_SIZE)
+
+
+def _bin_of(square: np.ndarray) -> np.ndarray:
+    """The bin of a squared distance: eight to every doubling."""
+    return np.clip(np.floor(8 * np.log2(np.maximum(square, 1e-3))).astype(np.int64) + 48, 0, _BINS - 1)
 
-    schema = ", ".join(["doc_id long", "language string", *(f"{f} double" for f in FEATURES), "covered double"])
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").mapInPandas(run, schema)
 
+def _edge(square: float) -> int:
+    return int(_bin_of(np.array([square]))[0])
 
-def _with_pooled(rows: DataFrame) -> DataFrame:
-    """Each row under its language and once more under POOLED."""
-    return rows.withColumn("language", F.explode(F.array_distinct(F.array("language", F.lit(POOLED)))))
 
+class Model:
+    """Centre and inverse covariance of every language, the last of all together."""
 
-def spread(measured: DataFrame) -> DataFrame:
-    """(language, n, centre ARRAY, scale ARRAY): per language, of all its documents; one row a language, POOLED of all."""
-    # upper quantiles of the inner half: outliers of any size move neither
-    quantiles = [F.percentile_approx(f, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f) for f in FEATURES]
-    per = _with_pooled(measured).groupBy("language").agg(F.count("*").alias("n"), *quantiles)
-    centre = F.array(*[F.col(f)[1] for f in FEATURES])
-    scale = F.array(*[F.greatest((F.col(f)[2] - F.col(f)[0]) / 1.349, F.lit(0.02)) for f in FEATURES])
-    return per.select("language", "n", centre.alias("centre"), scale.alias("scale"))
+    def __init__(self, centres: np.ndarray, covariances: np.ndarray) -> None:
+        self.centres, self.inverses = centres, np.linalg.inv(covariances + np.diag(FLOORS**2))
 
+    def squares(self, language: np.ndarray, values: np.ndarray, directed: bool) -> np.ndarray:
+        """Squared distances; directed: of the part that points towards spam."""
+        off = values - self.centres[language]
+        off = np.maximum(off, 0) if directed else off
+        return np.einsum("ij,ijk,ik->i", off, self.inverses[language], off)
 
-def distances(measured: DataFrame, clip: float = 3.0) -> DataFrame:
-    """measured plus ``distance``: the robust Mahalanobis distance in spam-directed directions within the language.
 
-    The driver gets one row a language (centre, scale, correlations), of a fixed number of languages.
+def _sums(measured: DataFrame, model: Model | None) -> np.ndarray:
+    """Sums by language (the last: all) over all documents, combined in every task before the driver adds them up.
+
+    With a model: [language, bin of the squared distance, (number, features, products)]; without: [language, feature, bin].
     """
-    model = {r.language: (r.n, np.array(r.centre), np.array(r.scale)) for r in spread(measured).collect()}
-    z = lambda f, i: F.element_at(F.create_map(*[F.lit(x) for lang, (_, c, s) in model.items() for x in (lang, float(c[i]))]), F.col("language"))
-    s = lambda f, i: F.element_at(F.create_map(*[F.lit(x) for lang, (_, c, s) in model.items() for x in (lang, float(s[i]))]), F.col("language"))
-    if not model:
-        return measured.withColumn("distance", F.lit(0.0))
-    scored = measured.withColumns({f"_{f}": (F.col(f) - z(f, i)) / s(f, i) for i, f in enumerate(FEATURES)})
-    clipped = {f: F.greatest(F.least(F.col(f"_{f}"), F.lit(clip)), F.lit(-clip)) for f in FEATURES}
-    pairs = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[i:]]
-    moments = _with_pooled(scored).groupBy("language").agg(*[F.avg(clipped[a]).alias(a) for a in FEATURES], *[F.avg(clipped[a] * clipped[b]).alias(f"{a}|{b}") for a, b in pairs]).collect()
-    inverse = {}
-    for row in moments:
-        mean = np.array([row[f] for f in FEATURES])
-        cov = np.empty((len(FEATURES),) * 2)
-        for a, b in pairs:
-            i, j = FEATURES.index(a), FEATURES.index(b)
-            cov[i, j] = cov[j, i] = row[f"{a}|{b}"] - mean[i] * mean[j]
-        dev = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        # shrunk towards independence: few documents, or equal features
-        inverse[row["language"]] = np.linalg.inv(0.5 * cov / np.outer(dev, dev) + 0.5 * np.eye(len(FEATURES)))
-
-    toward = [F.least(F.greatest(F.col(f"_{f}"), F.lit(0.0)), F.lit(50.0)) for f in FEATURES]
-    entry = lambda i, j: F.element_at(F.create_map(*[F.lit(x) for lang, m in inverse.items() for x in (lang, float(m[i, j]))]), F.col("language"))
-    square = sum((toward[i] * toward[j] * entry(i, j) for i in range(len(FEATURES)) for j in range(len(FEATURES))), F.lit(0.0))
-    return scored.withColumn("distance", F.sqrt(F.greatest(square, F.lit(0.0)))).drop(*[f"_{f}" for f in FEATURES])
-
-
-def find_spam(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: float = DISTANCE, covered: float = COVERED) -> DataFrame:
-    """(doc_id, language, distance, covered) of the spam documents."""
+    groups = len(_LANGUAGES) + 1
+    wide = 1 + _SIZE + len(_PAIRS[0]) if model else _FINE
+    shape = (groups, _BINS if model else _SIZE, wide)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(shape)
+        for frame in frames:
+            own, values = frame["language"].to_numpy(np.int64), frame[list(FEATURES)].to_numpy(float)
+            for language, rows in ((own, own < groups - 1), (np.full(len(own), groups - 1), np.ones(len(own), bool))):
+                language, some = language[rows], values[rows]
+                if model:
+                    parts = np.concatenate([np.ones((len(some), 1)), some, some[:, _PAIRS[0]] * some[:, _PAIRS[1]]], 1)
+                    np.add.at(total, (language, _bin_of(model.squares(language, some, False))), parts)
+                else:
+                    fine = np.clip((some * _FINE).astype(np.int64), 0, _FINE - 1)
+                    np.add.at(total, (language[:, None], np.arange(_SIZE), fine), 1)
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"place": some, "v": total.ravel()[some]})
+
+    parts = measured.select("language", *FEATURES).mapInPandas(run, "place long, v double")
+    added = parts.groupBy("place").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros(math.prod(shape))
+    out[added["place"].to_numpy(np.int64)] = added["v"].to_numpy(float)
+    return out.reshape(shape)
+
+
+def _moments(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, centre, covariance) of each language, with PRIOR documents of all languages."""
+    number = sums[:, 0]
+    pooled = sums[-1] / max(number[-1], 1.0)
+    mixed_in = (sums + PRIOR * pooled) / (number + PRIOR)[:, None]
+    centre = mixed_in[:, 1 : 1 + _SIZE]
+    product = np.empty((len(sums), _SIZE, _SIZE))
+    product[:, _PAIRS[0], _PAIRS[1]] = product[:, _PAIRS[1], _PAIRS[0]] = mixed_in[:, 1 + _SIZE :]
+    return number, centre, product - centre[:, :, None] * centre[:, None, :]
+
+
+def fit(measured: DataFrame) -> Model:
+    """The robust centre and covariance of every language."""
+    counts = _sums(measured, None)
+    counts = counts + PRIOR * counts[-1] / max(counts[-1, 0].sum(), 1.0)
+    share = np.cumsum(counts, 2) / np.maximum(counts.sum(2, keepdims=True), 1e-9)
+    quartile = [(np.argmax(share >= q, 2) + 0.5) / _FINE for q in (0.25, 0.5, 0.75)]
+    model = Model(quartile[1], np.array([np.diag(s**2) for s in (quartile[2] - quartile[0]) / 1.349]))
+    limit = chi_square_quantile(REWEIGHTED, _SIZE)
+    for k in range(ROUNDS + 1):
+        sums = _sums(measured, model)
+        if k < ROUNDS:
+            reach = np.cumsum(sums[:, :, 0], 1)
+            last = np.argmax(reach >= INNER * reach[:, -1:], 1)
+        else:
+            last = np.full(len(sums), _edge(limit))
+        inner = np.where((np.arange(_BINS) <= last[:, None])[:, :, None], sums, 0).sum(1)
+        number, centre, covariance = _moments(inner)
+        # what was cut off would have widened it: the factor of a normal distribution
+        kept = np.clip(number / np.maximum(sums[:, :, 0].sum(1), 1), 0.05, 0.999) if k < ROUNDS else np.full(len(sums), REWEIGHTED)
+        wider = [p / chi_square(chi_square_quantile(p, _SIZE), _SIZE + 2) for p in kept]
+        model = Model(centre, covariance * np.array(wider)[:, None, None])
+    return model
+
+
+def distances(measured: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, language, distance): the distance of the part of a document's deviation that points towards spam."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = np.array([*_LANGUAGES, POOLED], object)
+        for frame in frames:
+            own = frame["language"].to_numpy(np.int64)
+            square = model.squares(own, frame[list(FEATURES)].to_numpy(float), True)
+            yield arrow_safe(pd.DataFrame({"doc_id": frame["doc_id"], "language": names[own], "distance": np.sqrt(square)}))
+
+    return measured.mapInPandas(run, "doc_id long, language string, distance double")
+
+
+def find_spam(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", quantile: float = QUANTILE) -> DataFrame:
+    """(doc_id, language, distance) of the spam documents."""
     measured = materialize(features(docs, id_col, text_col), "spam-features")
-    return distances(measured).where((F.col("distance") > distance) & (F.col("covered") > covered)).select("doc_id", "language", "distance", "covered")
+    return distances(measured, fit(measured)).where(F.col("distance") > math.sqrt(chi_square_quantile(quantile, _SIZE)))

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from curatrix.llm import defects, leakage, packing, residue, spam
+from curatrix.llm import defects, leakage, letters, packing, residue, spam
 
 PROSE = ["The scan shows a small cyst in the left kidney and no other finding.", "There is a stable nodule near the liver, which should be followed up.", "Im Bereich der linken Niere zeigt sich eine kleine Zyste, die Umgebung ist unauffällig.", "TEA HOUSE LOT 218", "BOOK FAIR, PAGE 3", "TEA HOUSE, COOKIES 2 CROWNS"]
 
@@ -113,16 +114,16 @@ def test_leaks_whose_rare_words_are_set_differently(spark):
 
 def test_runs_of_letters_are_hashed_alike_anywhere():
     text = "".join(random.Random(4).choices("abcé𝒳", k=300_000))
-    h = leakage.gram_hashes(leakage._codes(text), 20)
-    assert len(h) == len(text) - 19 and all(h[i] == leakage.gram_hashes(leakage._codes(text[i : i + 20]), 20)[0] for i in (0, 7, 262_143, 262_144, 262_150, len(h) - 1))
-    assert len(leakage.gram_hashes(leakage._codes("abc"), 4)) == 0
+    h = leakage.gram_hashes(letters.codes_of(text), 20)
+    assert len(h) == len(text) - 19 and all(h[i] == leakage.gram_hashes(letters.codes_of(text[i : i + 20]), 20)[0] for i in (0, 7, 262_143, 262_144, 262_150, len(h) - 1))
+    assert len(leakage.gram_hashes(letters.codes_of("abc"), 4)) == 0
 
 
 def test_any_reach_of_letters_holds_the_same_fingerprint():
     rng = random.Random(5)
     text = "".join(rng.choices("abcdefgh", k=3000)) + "a" * 200
     width = leakage.REACH - leakage.GRAM + 1
-    h = leakage.gram_hashes(leakage._codes(text))
+    h = leakage.gram_hashes(letters.codes_of(text))
     chosen = set(leakage.winnowed(h, width).tolist())
     for i in range(0, len(text) - leakage.REACH + 1):
         own = h[i : i + width]
@@ -231,3 +232,26 @@ def test_spam(spark):
     df = spark.createDataFrame(prose + spam_docs + mixed, "doc_id long, text string")
     assert {r.doc_id for r in spam.find_spam(df).collect()} == {d for d, _ in spam_docs}
     assert spam.find_spam(df.limit(0)).count() == 0
+
+
+def test_spam_features_of_a_text_do_not_depend_on_its_company():
+    texts = ["The scan of the liver was seen on day 3.", "cheap mri, cheap mri http://a.example/x", "", "★★★ 12", "#KneeScanPrice", "Le foie et la rate sont normaux, www.x.example. " * 40, "É" * 5000, "a\nb"]
+    languages, rows = spam.measure(texts)
+    for i, t in enumerate(texts):
+        language, row = spam.measure([t])
+        assert language[0] == languages[i] and np.allclose(row[0], rows[i]), t
+    assert languages.tolist()[2:6] == [4, 4, 4, 2] and rows[1][0] > 0.5 > 0 == rows[0][0] and rows[4][0] == 1
+
+
+def test_robust_covariance_is_not_moved_by_a_third_of_outliers(spark):
+    rng = np.random.default_rng(3)
+    inner = np.clip(rng.multivariate_normal([0.3] * 6, 0.002 * (np.eye(6) + 1), 4000), 0, 1)
+    outer = np.clip(rng.normal(0.9, 0.02, (1200, 6)), 0, 1)
+    frame = pd.DataFrame(np.concatenate([inner, outer]), columns=list(spam.FEATURES)).assign(doc_id=np.arange(5200), language=0).astype({"language": "int32"})
+    df = spark.createDataFrame(frame).select("doc_id", "language", *spam.FEATURES)
+    model = spam.fit(df)
+    assert np.allclose(model.centres[0], 0.3, atol=0.02)
+    assert np.allclose(np.linalg.inv(model.inverses[0]) - np.diag(spam.FLOORS**2), 0.002 * (np.eye(6) + 1), atol=0.0012)
+    far = spam.distances(df, model).where("distance > 5.3").select("doc_id").toPandas()["doc_id"]
+    assert set(far) == set(range(4000, 5200))
+    assert spam.chi_square(spam.chi_square_quantile(0.9, 6), 6) == pytest.approx(0.9)
