@@ -63,16 +63,44 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:
-    """df with a broadcast hint if it has at most max_rows rows, else df as it is: then the join shuffles.
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64_000_000) -> tuple[DataFrame, bool]:
+    """df with a broadcast hint if it has at most max_rows rows of max_bytes, else df as it is: then the join shuffles.
 
-    The rows are counted (at most max_rows + 1 of them), so the bound holds whatever the statistics say.
+    Rows and the bytes of texts, arrays and maps are counted (of at most max_rows + 1 rows), so the bound holds whatever the
+    statistics say.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    sizes = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            sizes = sizes + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            sizes = sizes + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            sizes = sizes + 8
+    n, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(sizes)).first()
+    if n <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder of the shared file system; nothing if it is not there."""
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder of the shared file system, sorted; none if it is not there."""
+    where, files = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a context, so that they need no path of the driver's machine."""
     context = spark.sparkContext
