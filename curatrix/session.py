@@ -95,6 +95,27 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file in the shared file system, which is there whole or not at all."""
+    where, files = _file_system(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part-{uuid.uuid4().hex}")
+    out = files.create(part, True)
+    out.write(text.encode())
+    out.close()
+    files.delete(where, False)
+    if not files.rename(part, where):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    where, files = _file_system(spark, path)
+    source = files.open(where)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder of the shared file system, sorted; none if it is not there."""
     where, files = _file_system(spark, path)
