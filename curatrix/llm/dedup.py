@@ -1,25 +1,32 @@
 """New batches against all history, by multi-key sorted-neighbourhood runs.
 
-A persisted index holds runs sorted by key ranges: url keys, text digests and the texts' hashed shingles. ``merge`` sorts
-a batch's keys into the ranges, compares only windows of ``WINDOW`` records before each new record, and appends the
-batch as a run; ``compact`` rewrites all runs as one. History is read by key, its texts only where a candidate needs them.
+A ``NeighbourhoodIndex`` lives in a folder of the shared file system: a catalogue of runs, each with its keys sorted by key
+within key ranges (one folder a range), its texts by ranges of arrival, and counts of its word runs. ``merge`` sorts a batch's
+keys into the ranges, reads of history only the ranges that the batch touches and of these only rows under its keys, compares
+the windows around new records, and appends the batch as a run; after every ``RUNS`` runs the newest are rewritten as one
+(``compact``), each record about as often as the runs double. A new object on the same folder goes on where the last ended.
 
-* Equal canonical urls and equal normalised texts link a record to the first of its group, by a minimum that is combined
-  before the shuffle; no pairs within a group are made.
+* Pages and whole texts are keys of their own: a new record is linked to the first of its key, in the same sorted windows.
 * Of a new text's shingles (``SHINGLE`` words) the ``KEYS`` rarest that any other text shares are its sort keys. Windows are
   taken over the range-partitioned order (key, arrival), so a hot key is spread over tasks; at partition ends the
   neighbours are exchanged through the driver, WINDOW rows a partition. Each text is compared under many keys,
-  and copies of one text chain through their neighbours, so the window cuts comparisons and not members.
-* Candidates that agree on several keys are verified: Jaccard similarity of three-word shingles, weighted by rarity.
+  and copies of one text are one text, so the window cuts comparisons and not members.
+* Candidates that agree on SHARED keys are verified: Jaccard similarity of three-word shingles, weighted by their rarity in
+  all texts so far; the counts are kept run by run, so no stored text is read again but the candidates'.
   Light edits of short texts lie far below a similarity of 0.8 of five-word shingles; the task's statement asks for them.
 
-Null and blank urls and texts of fewer than ``LEAST_WORDS`` words give no key of that kind. Repeated ids are one record.
+``keys=None`` takes all shared shingles as keys and ``shared=1`` every agreement, with which nothing that shares a shingle
+within a window is lost (the exact way, at the price of more comparisons).
+
+Null and blank urls and texts give no key of that kind; texts of fewer than SHINGLE words only that of the whole text.
+Records with one arrival number are one record, the least of them.
 """
 
 from __future__ import annotations
 
+import json
 import math
-import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,22 +35,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import is_blank, squeeze
-from curatrix.session import cut_lineage, materialize
+from curatrix.session import materialize, names_in, read_text, remove_path, scratch_path, write_text
 
 SHINGLE = 8
 KEYS = 24
 WINDOW = 10
-LEAST_WORDS = 8
-MOST_SHINGLES = 256
 SHARED = 3
+#: Runs after which the newest are compacted; records of a range of keys, when an index is begun.
+RUNS, RECORDS_A_RANGE = 4, 50_000
+#: Keys of a batch that are broadcast at most; beyond it history is shuffled.
+MOST_KEYS = 2_000_000
 SIMILAR = 0.37
 #: Unweighted similarity that is enough alone: where copies of one text are many, what they share is not rare.
 PLAINLY_SIMILAR = 0.65
 WEIGHT_BITS = 18
 
-_WORD = re.compile(r"[^\W_]+")
-
-
 def case_page(url: Column, site: Column) -> Column:
     """The page that a case url leads to: site and path; null for null and blank.
 
@@ -94,7 +100,7 @@ def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def shingles(texts: DataFrame) -> DataFrame:
-    """(hash, id, at) of texts (id, at, words); a long text's are thinned by their hash, alike in every text."""
+    """(hash, at) of all shingles of texts (at, words); texts of fewer than SHINGLE words have none."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -103,20 +109,18 @@ def shingles(texts: DataFrame) -> DataFrame:
             for i, words in enumerate(frame["words"]):
                 if len(known) > 1_000_000:
                     known.clear()
-                h = shingle_hashes(_word_hashes(words.split(), known), SHINGLE)
-                if len(h) > MOST_SHINGLES:
-                    h = h[h < np.uint64(int(0xFFFFFFFFFFFFFFFF * MOST_SHINGLES / len(h)))]
-                hashes.append(h.view(np.int64))
-                owners.append(np.full(len(h), i))
+                own = words.split()
+                if len(own) >= SHINGLE:
+                    hashes.append(shingle_hashes(_word_hashes(own, known), SHINGLE).view(np.int64))
+                    owners.append(np.full(len(hashes[-1]), i))
             if hashes:
-                at = np.concatenate(owners)
-                yield pd.DataFrame({"hash": np.concatenate(hashes), "id": frame["id"].to_numpy()[at], "at": frame["at"].to_numpy()[at]})
+                yield pd.DataFrame({"hash": np.concatenate(hashes), "at": frame["at"].to_numpy()[np.concatenate(owners)]})
 
-    return texts.select("id", "at", "words").mapInPandas(run, "hash long, id long, at long")
+    return texts.select("at", "words").mapInPandas(run, "hash long, at long")
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """Weights of three-word shingles by hash bucket; the driver gets at most 2**WEIGHT_BITS rows."""
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(bucket, n): the texts that hold a three-word shingle of the bucket; bucket -1 has the number of texts."""
     size = 1 << WEIGHT_BITS
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,17 +129,24 @@ def rarity(texts: DataFrame) -> np.ndarray:
         for frame in frames:
             parts = [np.unique(shingle_hashes(_word_hashes(w.split(), known), 3) >> np.uint64(64 - WEIGHT_BITS)) for w in frame["words"]]
             n += len(parts)
+            if len(known) > 1_000_000:
+                known.clear()
             if parts:
                 counts += np.bincount(np.concatenate(parts).astype(np.int64), minlength=size)
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(counts[at], n)})
 
-    rows = texts.select("words").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(size)
+    return texts.select("words").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def weights_of(counts: DataFrame) -> np.ndarray:
+    """Weights of three-word shingles by bucket; the driver gets at most 2**WEIGHT_BITS rows."""
+    rows = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    seen = np.zeros(1 << WEIGHT_BITS)
     inner = rows[rows["bucket"] >= 0]
-    counts[inner["bucket"].to_numpy()] = inner["n"].to_numpy()
+    seen[inner["bucket"].to_numpy(np.int64)] = inner["n"].to_numpy()
     total = max(1, int(rows.loc[rows["bucket"] < 0, "n"].sum()))
-    return np.log((total + 1) / np.maximum(counts, 1)).astype(np.float32) + np.float32(0.05)
+    return np.log((total + 1) / np.maximum(seen, 1)).astype(np.float32) + np.float32(0.05)
 
 
 class Comparer:
@@ -174,184 +185,287 @@ class Comparer:
         return shared >= SIMILAR * (sx + sy - shared)
 
 
-def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, other) for every row with ``new`` and each of the ``window`` rows before it under the same key.
+def sorted_windows(rows: DataFrame, window: int = WINDOW, star: bool = False) -> DataFrame:
+    """(at, other, hash): pairs of rows under one key, at most ``window`` apart in the order (hash, sub, at), one of them new.
 
-    rows: hash, at, id, new. The order is (hash, at, id).
+    rows: hash, sub, at, new; hash and sub together are the key. star: each row is paired with the first of its key instead,
+    and that, where a key goes on from one partition to the next, with the last one before.
     """
+    if star:
+        window = 1
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held_key, held, leading, first_key = None, [], 0, None
+        key, sub, at, new = (np.empty(0, t) for t in (np.int64, np.int64, np.int64, bool))
+        first_key, leading, first_at, same_throughout = None, 0, 0, True
         for frame in frames:
-            out_a, out_b, out_what, out_key = [], [], [], []
-            for key, ident, is_new in zip(frame["hash"].tolist(), frame["id"].tolist(), frame["new"].tolist()):
-                if key != held_key:
-                    held_key, held = key, []
-                    first_key = key if first_key is None else first_key
-                if key == first_key and leading < window:
-                    # these may have neighbours at the end of the partition before
-                    out_a.append(ident), out_b.append(leading), out_what.append(1 if is_new else 2), out_key.append(key)
-                    leading += 1
-                if is_new:
-                    for other in held:
-                        out_a.append(ident), out_b.append(other), out_what.append(0), out_key.append(key)
-                held.append(ident)
-                if len(held) > window:
-                    del held[0]
-            yield pd.DataFrame({"id": out_a, "other": out_b, "what": out_what, "hash": out_key, "whole": False})
-        if held:
-            n = len(held)
-            yield pd.DataFrame({"id": held, "other": range(n), "what": [3] * n, "hash": [held_key] * n, "whole": [held_key == first_key] * n})
-
-    ordered = rows.select("hash", "at", "id", "new").repartitionByRange("hash", "at", "id").sortWithinPartitions("hash", "at", "id")
-    made = materialize(ordered.mapInPandas(run, "id long, other long, what int, hash long, whole boolean").withColumn("part", F.spark_partition_id()), "windows")
-    edges = made.where("what <> 0").toPandas()
-    across = []
-    tails: list[tuple[int, int]] = []
-    for part in sorted(edges["part"].unique()):
-        mine = edges[edges["part"] == part]
-        heads = mine[mine["what"].isin([1, 2])].sort_values("other")
-        for _, row in heads.iterrows():
-            # row["other"] rows of this partition stand before it
-            reach = window - int(row["other"])
-            if row["what"] == 1 and reach > 0:
-                across.extend((int(row["id"]), t) for k, t in tails[-reach:] if k == row["hash"])
-        own = mine[mine["what"] == 3].sort_values("other")
-        fresh = list(zip(own["hash"].tolist(), own["id"].tolist()))
+            if not len(frame):
+                continue
+            held = len(key)
+            key, sub, at, new = (np.concatenate([old, frame[c].to_numpy(old.dtype)]) for old, c in ((key, "hash"), (sub, "sub"), (at, "at"), (new, "new")))
+            if first_key is None:
+                first_key, first_at = (key[0], sub[0]), at[0]
+            leads = (key[held:] == first_key[0]) & (sub[held:] == first_key[1])
+            same_throughout = same_throughout and bool(leads.all())
+            found = []
+            if leading < window:
+                rows_ = held + np.flatnonzero(leads)[: window - leading]
+                found.append((at[rows_], leading + np.arange(len(rows_)), np.where(new[rows_], 1, 2), key[rows_], sub[rows_]))
+                leading += len(rows_)
+            if star:
+                begin = np.ones(len(key), bool)
+                begin[1:] = (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])
+                head = at[np.flatnonzero(begin)[np.cumsum(begin) - 1]]
+                # the key that goes on from the frame before
+                if held:
+                    head[: int(np.argmin(np.append((key == key[0]) & (sub == sub[0]), False)))] = first_at
+                mine = held + np.flatnonzero(head[held:] != at[held:])
+                found.append((at[mine], head[mine], np.zeros(len(mine), int), key[mine], sub[mine]))
+                first_at = head[-1]
+            else:
+                for s in range(1, window + 1):
+                    i = np.arange(max(held, s), len(key))
+                    i = i[(key[i] == key[i - s]) & (sub[i] == sub[i - s]) & (new[i] | new[i - s])]
+                    found.append((at[i], at[i - s], np.zeros(len(i), int), key[i], sub[i]))
+            yield pd.DataFrame(dict(zip(("at", "other", "what", "hash", "sub"), map(np.concatenate, zip(*found))))).assign(whole=False)
+            key, sub, at, new = key[-window:], sub[-window:], at[-window:], new[-window:]
+        if len(key):
+            last = (key == key[-1]) & (sub == sub[-1])
+            own = np.flatnonzero(last)
+            n = len(own)
+            yield pd.DataFrame({"at": at[own], "other": np.arange(n), "what": np.where(new[own], 3, 4), "hash": key[own], "sub": sub[own], "whole": np.full(n, same_throughout)})
+
+    ordered = rows.select("hash", "sub", "at", "new").repartitionByRange("hash", "sub", "at").sortWithinPartitions("hash", "sub", "at")
+    made = materialize(ordered.mapInPandas(run, "at long, other long, what int, hash long, sub long, whole boolean").withColumn("part", F.spark_partition_id()), "windows")
+    edges = made.where("what <> 0").toPandas()  # two windows a partition
+    across: list[tuple[int, int, int]] = []
+    tails: list[tuple] = []
+    for _, mine in edges.groupby("part", sort=True):
+        rows_ = list(zip(*(mine[c].tolist() for c in ("what", "other", "at", "hash", "sub", "whole"))))
+        for what, place, at, key, sub, _ in sorted(r for r in rows_ if r[0] in (1, 2)):
+            reach = window - place
+            if reach > 0:
+                across.extend((at, t, key) for t, is_new, k, u in tails[-reach:] if (k, u) == (key, sub) and (star or what == 1 or is_new))
+        own = sorted((r for r in rows_ if r[0] in (3, 4)), key=lambda r: r[1])
+        fresh = [(at, what == 3, key, sub) for what, _, at, key, sub, _ in own]
         # a partition that one key fills with fewer rows than a window leaves those before it in reach
-        tails = (tails + fresh)[-window:] if len(own) and bool(own["whole"].iloc[0]) else fresh or tails
-    pairs = made.where("what = 0").select("id", "other", "hash")
+        tails = (tails + fresh)[-window:] if own and own[0][5] else fresh or tails
+    pairs = made.where("what = 0").select("at", "other", "hash")
     if across:
-        pairs = pairs.unionByName(rows.sparkSession.createDataFrame([(a, b, i) for i, (a, b) in enumerate(across)], "id long, other long, hash long"))
-    return pairs.where("id <> other")
+        pairs = pairs.unionByName(rows.sparkSession.createDataFrame(across, "at long, other long, hash long"))
+    return pairs.where("at <> other")
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, root) of the nodes of edges (a, b): root is the least id of the node's component.
 
-    Labels take the least of their neighbours' and then their label's label; every round is written to the shared folder.
+    Labels take the least of their neighbours' and then their label's label, until none changes. Every round is written to
+    the shared folder (and so has true sizes for the planner), and the round before it removed.
     """
+    spark, folder = edges.sparkSession, scratch_path(edges.sparkSession, "components")
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    labels = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")))
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
-        step = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", F.col("root").alias("old"), F.least("root", "m").alias("root"))
+
+    def stored(rows: DataFrame, name: int) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema("id long, old long, root long").parquet(f"{folder}/{name}")
+
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.col("a").alias("old"), F.least("a", "m").alias("root")), 0)
+    turn = 0
+    while not labels.where("old <> root").isEmpty():
+        near = both.join(labels.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("m"))
+        step = labels.select("id", F.col("root").alias("old")).join(near, "id").select("id", "old", F.least("old", "m").alias("root"))
         up = step.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        jumped = cut_lineage(step.join(up, "root", "left").select("id", "old", F.least("root", F.coalesce("up", "root")).alias("root")))
-        labels = jumped.select("id", "root")
-        if jumped.where("old <> root").isEmpty():
-            break
-    return labels
+        turn += 1
+        labels = stored(step.join(up, "root", "left").select("id", "old", F.least("root", F.coalesce("up", "root")).alias("root")), turn)
+        remove_path(spark, f"{folder}/{turn - 1}")
+    return labels.select("id", "root")
 
 
 class NeighbourhoodIndex:
     """Runs of sorted keys below a folder of the shared file system.
 
-    Records have id BIGINT, at BIGINT (arrival order, unique among records), page STRING, words STRING; null pages and words
-    have no key. Tables: records (id, at, page, digest, words) and shingles (hash, id, at), one folder a run.
+    Records have at BIGINT (arrival order, unique), page STRING, words STRING (normalised); null pages and words have no key.
+    Tables of a run: exact (hash, sub, at) of pages and whole texts, keys (hash, at) of shingles, texts (at, words), counts.
+    Links (a, b) of all merges stay in the folder too.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path, self.runs = spark, path.rstrip("/"), 0
-
-    def _read(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(*[f"{self.path}/{name}/run={r}" for r in self._live]) if self._live else None
+    def __init__(self, spark: SparkSession, path: str, keys: int | None = KEYS, window: int = WINDOW, shared: int = SHARED, runs: int = RUNS) -> None:
+        self.spark, self.path, self.keys, self.window, self.shared, self.most_runs = spark, path.rstrip("/"), keys, window, shared, runs
+        self.version, self.ranges, self.live = 0, 0, []
+        versions = [n for n in names_in(spark, f"{self.path}/catalogue") if n.endswith(".json")]
+        if versions:
+            stored = json.loads(read_text(spark, f"{self.path}/catalogue/{versions[-1]}"))
+            self.version, self.ranges, self.live = stored["version"], stored["ranges"], [tuple(r) for r in stored["runs"]]
+
+    def _commit(self, live: list[tuple[str, int]]) -> None:
+        """The runs that count from now on; a merge that broke off before it left none behind that does."""
+        before = self.version
+        self.version, self.live = before + 1, live
+        write_text(self.spark, f"{self.path}/catalogue/{self.version:09d}.json", json.dumps({"version": self.version, "ranges": self.ranges, "runs": live}))
+        remove_path(self.spark, f"{self.path}/catalogue/{before:09d}.json")
+
+    _SCHEMAS = {"exact": "hash long, sub long, at long, range int", "keys": "hash long, at long, range int", "texts": "at long, words string, range int", "counts": "bucket long, n long"}
+
+    def _read(self, name: str, runs: list[str], touched: list[int] | None = None) -> DataFrame:
+        """A table of the given runs, of the given ranges only."""
+        schema = self._SCHEMAS[name]
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        parts = [self.spark.read.schema(schema).parquet(f"{self.path}/{name}/run={r}") for r in runs]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole if touched is None else whole.where(F.col("range").isin(touched))
+
+    def _write(self, rows: DataFrame, name: str, run: str) -> DataFrame:
+        key = "at" if name == "texts" else "hash"
+        ranged = rows.repartition(self.ranges, key).withColumn("range", F.pmod(F.hash(key), F.lit(self.ranges)))
+        order = [c for c in ("hash", "sub", "at") if c in rows.columns]
+        ranged.sortWithinPartitions("range", *order).write.partitionBy("range").parquet(f"{self.path}/{name}/run={run}")
+        return self._read(name, [run])
+
+    def _touched(self, name: str, run: str) -> list[int]:
+        """The ranges that a run has rows in."""
+        return [int(n.split("=")[1]) for n in names_in(self.spark, f"{self.path}/{name}/run={run}") if n.startswith("range=")]
+
+    @staticmethod
+    def _hinted(rows: DataFrame, at_most: int) -> DataFrame:
+        """rows, of which there are ``at_most``, to be broadcast if these are few; else the join shuffles."""
+        return F.broadcast(rows) if at_most <= MOST_KEYS else rows
 
-    _live: tuple[int, ...] = ()
+    def merge(self, batch: DataFrame) -> DataFrame:
+        """Adds a batch; links (a, b) by ``at``, a < b: one of them new, both of one case or like texts."""
+        scratch = scratch_path(self.spark, "batch")
+        batch.select("at", "page", "words").groupBy("at").agg(F.min(F.struct(F.col("page").alias("page"), F.col("words").alias("words"))).alias("r")).select("at", "r.*").write.parquet(scratch)
+        new = self.spark.read.schema("at long, page string, words string").parquet(scratch)
+        count = new.count()
+        self.ranges = self.ranges or max(4, math.ceil(count / RECORDS_A_RANGE))
+        run, history = f"{self.version + 1:06d}-{uuid.uuid4().hex[:8]}", [r for r, _ in self.live]
+
+        value = lambda kind: (F.xxhash64(F.lit(kind), kind).alias("hash"), F.xxhash64(kind, F.lit(kind), F.lit(1)).alias("sub"))
+        mine = self._write(new.where("page is not null").select(*value("page"), "at").unionByName(new.where("words is not null").select(*value("words"), "at")), "exact", run)
+        # of history the first of each key is enough
+        asked = self._hinted(mine.select("hash", "sub").distinct(), 2 * count)
+        before = self._read("exact", history, self._touched("exact", run)).join(asked, ["hash", "sub"], "left_semi").groupBy("hash", "sub").agg(F.min("at").alias("at"))
+        before = materialize(before, "history-keys")
+        same = sorted_windows(before.withColumn("new", F.lit(False)).unionByName(mine.select("hash", "sub", "at", F.lit(True).alias("new"))), star=True)
+        sides = F.least("at", "other").alias("a"), F.greatest("at", "other").alias("b")
+        folder = f"{self.path}/links/run={run}"
+        same.select(*sides).write.parquet(f"{folder}/kind=exact")
 
-    def _store(self, records: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Appends a run, sorted within key ranges; its records and shingles."""
-        run, self.runs = self.runs, self.runs + 1
-        enough = F.size(F.split("words", " ")) >= LEAST_WORDS
-        kept = records.dropDuplicates(["id"]).withColumn("words", F.when(enough, F.col("words"))).withColumn("digest", F.when(F.col("words").isNotNull(), F.sha2("words", 256)))
-        kept.repartitionByRange("page", "digest", "at").sortWithinPartitions("page", "digest", "at").write.parquet(f"{self.path}/records/run={run}")
-        stored = self.spark.read.parquet(f"{self.path}/records/run={run}")
         # equal texts are held by the first of them alone
-        texts = stored.where("words is not null").groupBy("digest").agg(F.min_by(F.struct("id", "at", "words"), "at").alias("r")).select("r.*")
-        shingles(texts).repartitionByRange("hash", "at").sortWithinPartitions("hash", "at").write.parquet(f"{self.path}/shingles/run={run}")
-        self._live = (*self._live, run)
-        return stored, self.spark.read.parquet(f"{self.path}/shingles/run={run}")
-
-    def merge(self, batch: DataFrame) -> DataFrame:
-        """Adds a batch; links (a, b) by ``at``: b a new record, a an earlier record of the same case or same text."""
-        old_records, old_shingles = self._read("records"), self._read("shingles")
-        new, fresh = self._store(batch)
-        everything = new.select("at", "page", "digest") if old_records is None else new.select("at", "page", "digest").unionByName(old_records.select("at", "page", "digest"))
-        links = None
-        for key in ("page", "digest"):
-            mine = new.where(F.col(key).isNotNull())
-            # of history only the batch's keys matter
-            group = everything.join(mine.select(key).distinct(), key, "left_semi").groupBy(key).agg(F.min("at").alias("a"))
-            found = mine.select(key, F.col("at").alias("b")).join(group, key).where("a < b").select("a", "b")
-            # written at once: links are read several times, and unions of unlike joins confuse the planner
-            found = materialize(found, f"links-{key}")
-            links = found if links is None else links.unionByName(found)
-        return links.unionByName(materialize(self._near(new, fresh, old_shingles), "links-near"))
-
-    def _near(self, new: DataFrame, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
-        tagged = fresh.withColumn("new", F.lit(True))
-        if old is not None:
-            tagged = tagged.unionByName(old.withColumn("new", F.lit(False)))
-        counts = tagged.groupBy("hash").agg(F.count("*").alias("n"), F.max("new").alias("asked")).where("n > 1 and asked").select("hash", "n")
-        ranked = fresh.join(counts, "hash").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("n", "hash"))).where(F.col("rank") <= KEYS)
-        chosen = materialize(ranked.select("hash", "id", "at"), "chosen-keys")
-        held = chosen.groupBy("id").agg(F.count("*").alias("keys"))
-        members = tagged.join(chosen.select("hash").distinct(), "hash", "left_semi").join(chosen.select("hash", "id", F.lit(True).alias("own")), ["hash", "id"], "left")
-        pairs = sorted_windows(members.withColumn("new", F.coalesce("own", F.lit(False))))
-        shared = pairs.groupBy("id", "other").agg(F.count_distinct("hash").alias("n")).join(held, "id").where(F.col("n") >= F.least(F.lit(SHARED), F.col("keys")))
-        records = self._read("records").where("words is not null")
-        weights = self.spark.sparkContext.broadcast(rarity(records))  # 2**WEIGHT_BITS floats
-        side = lambda name: records.select(F.col("id").alias(name), F.col("at").alias(f"at_{name}"), F.col("words").alias(f"words_{name}"))
-        texts = shared.select("id", "other").join(side("id"), "id").join(side("other"), "other")
+        seen = self._hinted(before.select("hash", "sub"), 2 * count)
+        first = new.where("words is not null").withColumn("hash", value("words")[0]).withColumn("sub", value("words")[1]).groupBy("hash", "sub").agg(F.min_by(F.struct("at", "words"), "at").alias("r"))
+        texts = self._write(first.join(seen, ["hash", "sub"], "left_anti").select("r.*"), "texts", run)
+        fresh = self._write(shingles(texts), "keys", run)
+        gram_counts(texts).coalesce(4).write.parquet(f"{self.path}/counts/run={run}")
+        self._near(texts, fresh, run, history).select(*sides).write.parquet(f"{folder}/kind=near")
+        self._commit([*self.live, (run, count)])
+        remove_path(self.spark, scratch)
+        if len(self.live) > self.most_runs:
+            self.compact()
+        return self.spark.read.schema("a long, b long").parquet(f"{folder}/kind=exact", f"{folder}/kind=near")
+
+    def _near(self, texts: DataFrame, fresh: DataFrame, run: str, history: list[str]) -> DataFrame:
+        """(at, other) of a new text and one like it."""
+        fresh = fresh.select("hash", "at")
+        number = fresh.count()
+        asked = self._hinted(fresh.select("hash").distinct(), number)
+        old = self._read("keys", history, self._touched("keys", run)).select("hash", "at").join(asked, "hash", "left_semi")
+        counts = fresh.select("hash").unionByName(old.select("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+        ranked = fresh.join(counts, "hash")
+        if self.keys is not None:
+            ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("at").orderBy("n", "hash"))).where(F.col("rank") <= self.keys)
+        chosen = materialize(ranked.select("hash", "at"), "chosen-keys")
+        held = chosen.groupBy("at").agg(F.count("*").alias("keys"))
+        hashes = self._hinted(chosen.select("hash").distinct(), number)
+        others = fresh.join(hashes, "hash", "left_semi").join(chosen, ["hash", "at"], "left_anti").unionByName(old.join(hashes, "hash", "left_semi"))
+        members = others.withColumn("new", F.lit(False)).unionByName(chosen.withColumn("new", F.lit(True))).withColumn("sub", F.lit(0).cast("long"))
+        pairs = sorted_windows(members, self.window)
+        pairs = pairs.select(F.greatest("at", "other").alias("at"), F.least("at", "other").alias("other"), "hash").groupBy("at", "other").agg(F.count_distinct("hash").alias("n"))
+        enough = lambda c: F.col(c).isNotNull() & (F.col("n") >= F.least(F.lit(self.shared), F.col(c)))
+        shared = pairs.join(held, "at", "left").join(held.select(F.col("at").alias("other"), F.col("keys").alias("other_keys")), "other", "left").where(enough("keys") | enough("other_keys"))
+        shared = materialize(shared.select("at", "other"), "candidates")
+        weights = self.spark.sparkContext.broadcast(weights_of(self._read("counts", [*history, run])))  # 2**WEIGHT_BITS floats
+
+        # texts are read by the ranges of the candidates, and only these are shuffled
+        wanted = shared.select("at").unionByName(shared.select(F.col("other").alias("at"))).distinct().withColumn("range", F.pmod(F.hash("at"), F.lit(self.ranges)))
+        touched = [r.range for r in wanted.select("range").distinct().collect()]
+        few = self._hinted(wanted.select("at"), 2 * shared.count())
+        known = self._read("texts", [*history, run], touched).select("at", "words").join(few, "at", "left_semi")
+        side = lambda name: known.select(F.col("at").alias(name), F.col("words").alias(f"words_{name}"))
+        both = shared.join(side("at"), "at").join(side("other"), "other")
 
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             comparer = Comparer(weights.value)
             for frame in frames:
-                near = [comparer.similar(a, b) for a, b in zip(frame["words_id"], frame["words_other"])]
-                kept = frame[np.array(near, bool)]
-                yield pd.DataFrame({"a": kept["at_other"], "b": kept["at_id"]})
+                near = [comparer.similar(a, b) for a, b in zip(frame["words_at"], frame["words_other"])]
+                yield frame.loc[np.array(near, bool), ["at", "other"]]
+
+        return both.mapInPandas(check, "at long, other long")
+
+    def links(self) -> DataFrame:
+        """The links of all merges so far."""
+        return self.spark.read.schema("a long, b long").option("recursiveFileLookup", "true").parquet(f"{self.path}/links")
+
+    def compact(self, all_runs: bool = False) -> None:
+        """Rewrites the newest runs as one, sorted by key range: back to the first run that is over twice their size.
+
+        What it replaces is removed once the catalogue names the new run.
+        """
+        begin = 0 if all_runs else len(self.live) - 1
+        while begin > 0 and self.live[begin - 1][1] <= 2 * sum(n for _, n in self.live[begin:]):
+            begin -= 1
+        begin = begin if all_runs else min(begin, max(0, len(self.live) - 2))
+        kept, old = self.live[:begin], [r for r, _ in self.live[begin:]]
+        if len(old) < 2:
+            return
+        run = f"{self.version + 1:06d}-{uuid.uuid4().hex[:8]}"
+        for name in ("exact", "texts", "keys"):
+            self._write(self._read(name, old).drop("range"), name, run)
+        self._read("counts", old).groupBy("bucket").agg(F.sum("n").alias("n")).coalesce(4).write.parquet(f"{self.path}/counts/run={run}")
+        self._commit([*kept, (run, sum(n for _, n in self.live[begin:]))])
+        for name in self._SCHEMAS:
+            for r in old:
+                remove_path(self.spark, f"{self.path}/{name}/run={r}")
 
-        return texts.mapInPandas(check, "a long, b long").where("a < b")
 
-    def compact(self) -> None:
-        """Rewrites all runs as one, sorted by key range."""
-        if len(self._live) < 2:
-            return
-        records, grams = self._read("records"), self._read("shingles")
-        run, self.runs = self.runs, self.runs + 1
-        records.repartitionByRange("page", "digest", "at").sortWithinPartitions("page", "digest", "at").write.parquet(f"{self.path}/records/run={run}")
-        grams.repartitionByRange("hash", "at").sortWithinPartitions("hash", "at").write.parquet(f"{self.path}/shingles/run={run}")
-        self._live = (run,)
+#: Bits of an arrival number that hold the record's id.
+ID_BITS = 44
 
 
 def arrival(batch: Column, ident: Column) -> Column:
-    """A number that orders records by batch and then id; ids below 2**44."""
-    return F.shiftleft(batch.cast("long"), 44) + ident.cast("long")
+    """A number that orders records by batch and then id; ids outside 0 to 2**44 and batches outside 0 to 2**19 are an error."""
+    fits = ident.between(0, (1 << ID_BITS) - 1) & batch.between(0, (1 << 19) - 1)
+    return F.when(fits, F.shiftleft(batch.cast("long"), ID_BITS) + ident.cast("long")).otherwise(F.raise_error(F.concat(F.lit("no arrival number for batch "), batch.cast("string"), F.lit(", id "), ident.cast("string"))).cast("long"))
 
 
 def identity_of(at: Column) -> Column:
-    return at.bitwiseAND(F.lit((1 << 44) - 1))
+    return at.bitwiseAND(F.lit((1 << ID_BITS) - 1))
 
 
 def case_records(raw: DataFrame, kept: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(history, arrivals) as records of the index."""
+    """(history, arrivals) as records of the index, with their batch_no; rows without a batch are of batch 0."""
     sites = sources.groupBy("source_code").agg(F.max("site").alias("site"))
 
     def made(df: DataFrame, url: str) -> DataFrame:
         joined = df.where("case_id is not null").select("case_id", F.coalesce("batch_no", F.lit(0)).alias("batch_no"), "source_code", F.col(url).alias("url"), "case_discussion").join(sites, "source_code", "left")
         words = normal_words(F.col("case_discussion"))
-        return joined.select(F.col("case_id").cast("long").alias("id"), arrival(F.col("batch_no"), F.col("case_id")).alias("at"), case_page(F.col("url"), F.col("site")).alias("page"), F.when(words != "", words).alias("words"))
+        return joined.select("batch_no", arrival(F.col("batch_no"), F.col("case_id").cast("long")).alias("at"), case_page(F.col("url"), F.col("site")).alias("page"), F.when(words != "", words).alias("words"))
 
     return made(kept, "case_url"), made(raw, "url")
 
 
 def repeated_cases(spark: SparkSession, raw: DataFrame, kept: DataFrame, sources: DataFrame, path: str) -> DataFrame:
-    """(case_id_a, case_id_b): each row of raw that shows the case of an earlier row, with the earliest row of that case."""
+    """(case_id_a, case_id_b): each row of raw that shows the case of an earlier row, with the earliest row of that case.
+
+    History is the first run; every batch of raw is merged after it, in its order.
+    """
     history, arrivals = case_records(raw, kept, sources)
     index = NeighbourhoodIndex(spark, path)
-    before = index.merge(history)
-    links = before.unionByName(index.merge(arrivals))
-    roots = components(links)
-    new = index._read("records").select("at").where(F.shiftright("at", 44) > 0)
-    found = roots.where("root < id").join(new.withColumnRenamed("at", "id"), "id", "left_semi")
+    index.merge(history)
+    for row in arrivals.select("batch_no").distinct().orderBy("batch_no").collect():
+        index.merge(arrivals.where(F.col("batch_no") == row.batch_no))
+    roots = components(index.links())
+    new = arrivals.select(F.col("at").alias("id"))
+    found = roots.where("root < id").join(new, "id", "left_semi")
     return found.select(identity_of(F.col("root")).alias("case_id_a"), identity_of(F.col("id")).alias("case_id_b"))
