@@ -1,13 +1,14 @@
 """Defective answers: empty, refusing, copying the question, in another language, or truncated.
 
-Rules decide the first four kinds in one pass over the answers. An answer that does not end like a sentence is held
-against the other answers:
+Rules decide the first four kinds in one pass over the answers. An answer that does not end like a sentence is open and held
+against the other answers, by these routes:
 
-* all distinct answers are sorted by text (range-partitioned), and an open one whose successor begins with it and goes on
-  inside a word, or goes on after a long common prefix, is a shortened version;
-* an open one of a length at which open answers pile up (a limit) is cut by that limit;
-* the end itself is judged by how the same last words go on elsewhere: from the longest run of last words seen often
-  enough, the share of its occurrences that end a sentence or an answer.
+* neighbours: the sentences and clauses of all answers are sorted by text (range-partitioned); the last sentence or clause
+  of an open answer is a shortened version where its successor begins with it and goes on inside a word, or with further words;
+* limit: its length is one at which open answers pile up;
+* endings: from the longest run of its last words seen often enough elsewhere, the share of occurrences that end a sentence
+  or an answer is too small (this looks at all that begin alike, where the sorted order shows the nearest one only);
+* dangling: it ends at a mark or word at which no sentence ends.
 
 Each answer has at most one defect, in the order empty, refusal, copies_question, other_language, truncated; residue of
 templates and page messages (``residue``) is none. Null answers are empty; with a null question neither copies nor languages
@@ -16,6 +17,7 @@ are judged. Repeated rows are judged alike.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -36,7 +38,10 @@ ENDS = 0.08
 #: Open answers of one length are a limit's work if they are so many times those of the lengths around, and if chance would
 #: not put them there (the negative logarithm of its probability).
 SPIKE_TIMES, SPIKE_EVIDENCE = 8.0, 20.0
-LONG_PREFIX = 48
+#: Words that a shortened sentence must have where its neighbour goes on inside a word, and with a new word.
+LEAST_CUT, LEAST_PREFIX = 2, 4
+#: Buckets of contexts in the map that rules most contexts out before they are shuffled.
+CONTEXT_BUCKETS = 1 << 22
 
 # Stand-ins for nothing, ways to decline, courtesies after it, and words at which no sentence ends.
 STAND_INS = frozenset("n/a na none nan null nil empty undefined unknown keine k.a. aucun aucune ninguno ninguna [none] [empty] [null] <null> <none> <empty> (none) (empty)".split()) | {
@@ -66,6 +71,7 @@ _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _TOKEN = re.compile(r"\w+|[.!?]+(?=[\s\"'”»)]|$)|\n|[^\w\s]")
 _CLOSED = re.compile(r"[.!?…。！？:][\"'”’»)\]*\s]*$|[\"”»)\]]\s*$")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+")
+_CLAUSES = re.compile(r"(?<=[,;:])\s+")
 _LANGUAGE = {lang: {w: 0.0 for w in words.split()} for lang, words in FUNCTION_WORDS.items()}
 for _lang, _more in {"en": "what which is does near how where given there shows show", "de": "welche welcher welches wie wo zeigt zeigen liegt befund keine kein vermutlich besteht bestehen", "fr": "quel quelle quels quelles comment montre où près présence niveau probablement observe signale qu c s", "es": "qué cuál cómo cuándo dónde hay muestra junto probablemente hace refiere observa lado"}.items():
     _LANGUAGE[_lang].update(dict.fromkeys(_more.split(), 0.0))
@@ -128,7 +134,9 @@ def copies(question: str, answer: str) -> bool:
     """The answer's words are the question's, most of them, and hardly another one."""
     asked = {w.lower() for w in _WORD.findall(question)}
     said = [w for w in map(str.lower, _WORD.findall(_PREFIX.sub("", answer))) if w not in _LABELS]
-    return len(said) > 2 and sum(w in asked for w in said) >= 0.9 * len(said) and len(asked.intersection(said)) >= 0.7 * len(asked)
+    if len(said) <= 2:
+        return bool(said) and set(said) == asked
+    return sum(w in asked for w in said) >= 0.9 * len(said) and len(asked.intersection(said)) >= 0.7 * len(asked)
 
 
 def _hash(word: str) -> int:
@@ -197,28 +205,32 @@ def end_contexts(text: str) -> list[int]:
     return out
 
 
-def classify(question: str | None, answer: str | None, is_residue: bool = False) -> tuple[str | None, bool]:
-    """(defect or None, open): open answers are to be held against the others."""
+def classify(question: str | None, answer: str | None, is_residue: bool = False) -> tuple[str | None, bool, bool]:
+    """(defect or None, open, dangling): open answers are to be held against the others."""
     if is_stand_in(answer):
-        return "empty", False
+        return "empty", False, False
     if is_residue:
-        return None, False
+        return None, False, False
     if is_refusal(answer):
-        return "refusal", False
+        return "refusal", False, False
     if question and copies(question, answer):
-        return "copies_question", False
+        return "copies_question", False, False
     if question and any(c.islower() for c in answer):
         asked, said = _question_language(question), language_of(answer, 2.0)
         if asked and said and asked != said:
-            return "other_language", False
+            return "other_language", False, False
     if _CLOSED.search(answer) and not re.search(r":\s*$", answer):
-        return None, False
-    if re.search(r"[,;:(\[{–—-]\s*$", answer):
-        return "truncated", False
+        return None, False, False
     words = _WORD.findall(answer)
-    if words and words[-1] in DANGLING:
-        return "truncated", False
-    return None, bool(words)
+    dangling = bool(re.search(r"[,;:(\[{–—-]\s*$", answer)) or bool(words and words[-1] in DANGLING)
+    return None, dangling or bool(words), dangling
+
+
+def last_stretches(answer: str) -> list[str]:
+    """The last sentence, and the last clause of it."""
+    last = next((p for p in reversed(_SENTENCES.split(answer.strip())) if p), "")
+    clause = _CLAUSES.split(last)[-1]
+    return [t for t in dict.fromkeys([last, clause]) if t]
 
 
 def _judged(answers: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -228,86 +240,86 @@ def _judged(answers: DataFrame, ratios: np.ndarray) -> DataFrame:
         for frame in frames:
             kinds = residue.judge_all(frame["answer"].tolist(), shared.value)
             found = [classify(q, a, bool(k[0])) for q, a, k in zip(frame["question"], frame["answer"], kinds)]
-            frame = frame.assign(defect=[f[0] for f in found], open=[f[1] for f in found])
+            frame = frame.assign(defect=[f[0] for f in found], open=[f[1] for f in found], dangling=[f[2] for f in found])
             frame = frame[frame["defect"].notna() | frame["open"]]
             opened = frame["open"].to_numpy()
             ends = pd.Series([end_contexts(a) if o else [] for a, o in zip(frame["answer"], opened)], index=frame.index, dtype=object)
-            frame = frame.assign(ends=ends, answer=frame["answer"].where(opened, None))
+            last = pd.Series([last_stretches(a) if o else [] for a, o in zip(frame["answer"], opened)], index=frame.index, dtype=object)
+            frame = frame.assign(ends=ends, last=last, answer=frame["answer"].where(opened, None))
             yield arrow_safe(frame.drop(columns="question"))
 
-    return answers.mapInPandas(run, "record_table string, pair_id long, answer_pos int, answer string, defect string, open boolean, ends array<long>")
+    return answers.mapInPandas(run, "record_table string, pair_id long, answer_pos int, answer string, defect string, open boolean, dangling boolean, ends array<long>, last array<string>")
 
 
-def _context_counts(answers: DataFrame, wanted: DataFrame, limit: int = 3_000_000) -> DataFrame:
-    """(context, ended BIGINT, seen BIGINT) of the wanted contexts over all answers."""
-    rows = wanted.limit(limit + 1).toPandas()["context"].to_numpy(np.int64)
-    known = np.sort(rows) if len(rows) <= limit else None
-    shared = answers.sparkSession.sparkContext.broadcast(known)  # at most ``limit`` integers
+def _context_counts(answers: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(context, ended BIGINT, seen BIGINT) of the wanted contexts over all answers.
+
+    The workers know the wanted contexts by a map of CONTEXT_BUCKETS bits, whatever their number; what it lets through is
+    counted by batch before it is shuffled, and the rest left out by a join.
+    """
+    bucket = F.pmod("context", F.lit(CONTEXT_BUCKETS))
+    likely = np.zeros(CONTEXT_BUCKETS, bool)
+    likely[wanted.select(bucket.alias("bucket")).distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
+    shared = answers.sparkSession.sparkContext.broadcast(likely)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query = shared.value
-        total = None if query is None else np.zeros((2, len(query)), np.int64)
         for frame in frames:
             h, _, end = contexts([tokens_of(a) for a in frame["answer"]])
-            if query is None:
-                values, at = np.unique(h, return_inverse=True)
-                yield pd.DataFrame({"context": values, "ended": np.bincount(at, end, len(values)).astype(np.int64), "seen": np.bincount(at, minlength=len(values))})
-            elif len(query):
-                at = np.minimum(np.searchsorted(query, h), len(query) - 1)
-                hit = query[at] == h
-                total[0] += np.bincount(at[hit], end[hit], len(query)).astype(np.int64)
-                total[1] += np.bincount(at[hit], minlength=len(query))
-        if query is not None:
-            some = np.flatnonzero(total[1])
-            yield pd.DataFrame({"context": query[some], "ended": total[0][some], "seen": total[1][some]})
+            hit = shared.value[h % CONTEXT_BUCKETS]
+            values, at = np.unique(h[hit], return_inverse=True)
+            yield pd.DataFrame({"context": values, "ended": np.bincount(at, end[hit], len(values)).astype(np.int64), "seen": np.bincount(at, minlength=len(values))})
 
     counted = answers.select("answer").where("answer is not null").mapInPandas(run, "context long, ended long, seen long")
-    if known is None:
-        counted = counted.join(wanted, "context", "left_semi")
-    return counted.groupBy("context").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen"))
+    return counted.groupBy("context").agg(F.sum("ended").alias("ended"), F.sum("seen").alias("seen")).join(wanted, "context", "left_semi")
+
 
+_GOES_ON = re.compile(r" (?:[^\W\d_A-Z]|\()")
 
-def shortened(texts: DataFrame) -> DataFrame:
-    """texts: (answer, open), distinct. The open answers whose successor in the sorted order is a longer version of them.
+
+def goes_on(text: str, following: str) -> bool:
+    """Whether following begins with text and goes on inside its last word, or after some words with a further one."""
+    if len(following) <= len(text) or not following.startswith(text):
+        return False
+    words = len(text.split())
+    if text[-1].isalpha() and following[len(text)].isalpha():
+        return words >= LEAST_CUT
+    return words >= LEAST_PREFIX and bool(_GOES_ON.match(following, len(text)))
+
+
+def shortened(sentences: DataFrame) -> DataFrame:
+    """sentences: (text, open), distinct. The open ones whose successor in the sorted order is a longer version of them.
 
     Neighbours are compared within range partitions; the first and the open last text of each partition come to the driver
     to be compared across (two rows a partition).
     """
-    mid_word = re.compile(r"[^\W\d_]")
-
-    def longer(text: str, following: str) -> bool:
-        if not following.startswith(text) or len(following) == len(text):
-            return False
-        after = following[len(text)]
-        return bool(mid_word.match(text[-1]) and mid_word.match(after)) or (len(text) >= LONG_PREFIX and bool(re.match(r",?\s\w", following[len(text) :])))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         previous, waiting, first = None, False, True
         for frame in frames:
             found = []
-            for text, is_open in zip(frame["answer"], frame["open"]):
+            for text, is_open in zip(frame["text"], frame["open"]):
                 if first:
                     found.append((text, "head"))
                     first = False
-                if waiting and longer(previous, text):
+                if waiting and goes_on(previous, text):
                     found.append((previous, "short"))
                 previous, waiting = text, is_open
-            yield arrow_safe(pd.DataFrame(found, columns=["answer", "what"]))
+            yield arrow_safe(pd.DataFrame(found, columns=["text", "what"]))
         if waiting:
-            yield pd.DataFrame([(previous, "tail")], columns=["answer", "what"])
+            yield pd.DataFrame([(previous, "tail")], columns=["text", "what"])
 
-    ordered = texts.repartitionByRange("answer").sortWithinPartitions("answer")
-    seen = materialize(ordered.mapInPandas(run, "answer string, what string"), "sorted-answers")
-    edges = [(r.answer, r.what) for r in seen.where("what <> 'short'").collect()]
+    ordered = sentences.repartitionByRange("text").sortWithinPartitions("text")
+    seen = materialize(ordered.mapInPandas(run, "text string, what string"), "sorted-sentences")
+    edges = [(r.text, r.what) for r in seen.where("what <> 'short'").collect()]
     heads = sorted(t for t, w in edges if w == "head")
     across = []
     for text, what in edges:
         if what == "tail":
-            following = next((h for h in heads if h > text), None)
-            if following is not None and longer(text, following):
+            at = bisect.bisect_right(heads, text)
+            if at < len(heads) and goes_on(text, heads[at]):
                 across.append((text,))
-    out = seen.where("what = 'short'").select("answer")
-    return (out.unionByName(texts.sparkSession.createDataFrame(across, "answer string")) if across else out).distinct()
+    out = seen.where("what = 'short'").select("text")
+    return (out.unionByName(sentences.sparkSession.createDataFrame(across, "text string")) if across else out).distinct()
 
 
 def limit_lengths(opened: DataFrame) -> DataFrame:
@@ -324,30 +336,43 @@ def limit_lengths(opened: DataFrame) -> DataFrame:
     return counts.join(near, "n").where((F.col("n") >= 100) & many & (evidence >= SPIKE_EVIDENCE)).select("n")
 
 
-def find_defects(answers: DataFrame, natural: np.ndarray | None = None) -> DataFrame:
-    """(record_table, pair_id, answer_pos, defect) of answers (record_table, pair_id, answer_pos, question, answer)."""
+def stretches_of(answers: DataFrame) -> DataFrame:
+    """(text, open false): the sentences and their clauses of all answers, each once."""
+    parts = F.split(F.trim("answer"), r"(?<=[.!?])\s+|\n+")
+    sentences = answers.where("answer is not null").select(F.explode(parts).alias("text"))
+    both = sentences.select(F.explode(F.array_union(F.array("text"), F.split("text", r"(?<=[,;:])\s+"))).alias("text"))
+    return both.where("text <> ''").distinct().withColumn("open", F.lit(False))
+
+
+def find_defects(answers: DataFrame, natural: np.ndarray | None = None, with_routes: bool = False) -> DataFrame:
+    """(record_table, pair_id, answer_pos, defect) of answers (record_table, pair_id, answer_pos, question, answer).
+
+    with_routes: plus ``route``, the first of the routes by which a truncated answer was found.
+    """
     ratios = residue.ratios(residue.count_grams(answers, "answer") if natural is None else natural)
     judged = materialize(_judged(answers.select("record_table", "pair_id", "answer_pos", "question", "answer"), ratios), "judged-answers")
     opened = judged.where("open")
     wanted = opened.select(F.explode("ends").alias("context")).distinct()
     counts, _ = broadcast_if_small(materialize(_context_counts(answers, wanted), "answer-ends"))
 
-    open_texts = opened.select("answer", F.lit(True).alias("open"))
-    closed = answers.where("answer is not null").select("answer", F.lit(False).alias("open"))
-    distinct = closed.unionByName(open_texts).groupBy("answer").agg(F.max("open").alias("open"))
-    short, _ = broadcast_if_small(shortened(distinct), 50_000)
+    probes = opened.select(F.explode("last").alias("text"), F.lit(True).alias("open"))
+    sorted_texts = stretches_of(answers).unionByName(probes).groupBy("text").agg(F.max("open").alias("open"))
+    short, _ = broadcast_if_small(shortened(sorted_texts))
     cut, _ = broadcast_if_small(limit_lengths(opened).withColumn("at_limit", F.lit(True)))
 
     # judged once a distinct text: equal answers share their ends
-    texts = opened.groupBy("answer").agg(F.first("ends").alias("ends"), F.count("*").alias("own"))
+    texts = opened.groupBy("answer").agg(F.first("ends").alias("ends"), F.first("last").alias("last"), F.first("dangling").alias("dangling"), F.count("*").alias("own"))
     rated = texts.select("answer", "own", F.posexplode("ends").alias("k", "context")).join(counts, "context", "left")
     others = F.coalesce(F.col("seen"), F.lit(0)) - F.col("own")
     ended = F.coalesce(F.col("ended"), F.lit(0)) - F.col("own")
     longest = rated.groupBy("answer").agg(F.max(F.when(others >= SEEN, F.struct("k", others.alias("others"), ended.alias("ended")))).alias("best"))
     share = F.col("best.ended") / F.col("best.others")
-    verdict = longest.join(short.withColumn("shorter", F.lit(True)), "answer", "left").join(cut, F.length("answer") == F.col("n"), "left").select(
-        "answer",
-        (F.coalesce("shorter", F.lit(False)) | F.coalesce("at_limit", F.lit(False)) | F.col("best").isNull() | (share < ENDS)).alias("broken"),
-    )
-    truncated = opened.join(verdict.where("broken"), "answer", "left_semi").select("record_table", "pair_id", "answer_pos", F.lit("truncated").alias("defect"))
-    return judged.where("defect is not null").select("record_table", "pair_id", "answer_pos", "defect").unionByName(truncated)
+    every = texts.select("answer", "dangling").join(longest, "answer", "left")
+    cut_short = texts.select("answer", F.explode("last").alias("text")).join(short, "text", "left_semi").select("answer", F.lit(True).alias("shorter")).distinct()
+    marked = every.join(cut_short, "answer", "left").join(cut, F.length("answer") == F.col("n"), "left")
+    unusual = F.col("best").isNull() | (share < ENDS)
+    route = F.when(F.col("shorter"), "neighbours").when(F.col("at_limit"), "limit").when(unusual, "endings").when(F.col("dangling"), "dangling")
+    broken = marked.select("answer", route.alias("route")).where("route is not null")
+    truncated = opened.join(broken, "answer").select("record_table", "pair_id", "answer_pos", F.lit("truncated").alias("defect"), "route")
+    found = judged.where("defect is not null").select("record_table", "pair_id", "answer_pos", "defect", F.lit(None).cast("string").alias("route")).unionByName(truncated)
+    return found if with_routes else found.drop("route")

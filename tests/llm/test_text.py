@@ -60,6 +60,25 @@ def test_defects(spark):
     assert defects.find_defects(df.limit(0)).count() == 0
 
 
+def test_neighbours_find_shortened_sentences(spark):
+    question = "What is seen?"
+    full = "After 3 days the drain was moved, so the team turned to conservative treatment."
+    rows = [("qa", 1, 0, question, full), ("qa", 2, 0, question, "After 9 weeks there was no change, so the team turned to conservative tr"), ("qa", 3, 0, question, "After 3 days the drain was"), ("qa", 4, 0, question, "TEA HOUSE, PAGE 3"), ("qa", 5, 0, question, "Drain")]
+    df = spark.createDataFrame(rows * 9, "record_table string, pair_id long, answer_pos int, question string, answer string")
+    got = {(r.pair_id, r.route) for r in defects.find_defects(df, with_routes=True).where("defect = 'truncated'").collect()}
+    assert {i for i, route in got if route == "neighbours"} == {2, 3} and not any(i == 1 for i, _ in got)
+    assert defects.goes_on("a cyst of the li", "a cyst of the liver") and not defects.goes_on("Yes", "Yesterday") and not defects.goes_on("PAGE 3", "PAGE 34") and not defects.goes_on("a b c d", "a b c d.")
+
+
+def test_sorted_neighbours_against_plain_search(spark):
+    rng = random.Random(21)
+    texts = sorted({" ".join(rng.choices(["aa", "ab", "abc", "b", "ba"], k=rng.randrange(2, 7)))[: rng.randrange(4, 20)].strip() for _ in range(300)})
+    rows = [(t, rng.random() < 0.5) for t in texts]
+    want = {t for k, (t, o) in enumerate(rows[:-1]) if o and defects.goes_on(t, texts[k + 1])}
+    got = {r.text for r in defects.shortened(spark.createDataFrame(rows, "text string, open boolean").repartition(5)).collect()}
+    assert got == want and len(want) > 10
+
+
 def test_limit_lengths_against_true_neighbours(spark):
     counts = {n: 29 for n in range(140, 160)} | {150: 33, 145: 30, 200: 20, 201: 1, 300: 3, 400: 60, 398: 2, 50: 90}
     rows = [(f"{i:03d}".ljust(n, "x"),) for n, c in counts.items() for i in range(c)]
