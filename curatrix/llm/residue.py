@@ -1,9 +1,10 @@
 """Template residue, filler text and page messages in place of content.
 
-Character n-gram models: residue (filler, error pages, script, cookie and browser notices) from the seed phrases below,
-natural prose from the n-grams of all texts that are given. Both are mixed with the even distribution, so that n-grams
-unknown to both say nothing. A window's mean log likelihood ratio localises residue; a text is excluded when residue
-windows cover enough of it, or when it holds an unfilled placeholder, which is localised by its brackets.
+Three character n-gram models: of filler and of error messages and notices (from the seed phrases below), and of natural
+prose (from the n-grams of all texts that are given). All are mixed with the even distribution, so that n-grams unknown to
+them say nothing. A window's mean log likelihood ratio, of filler to prose or of notices to prose, localises residue; a text
+is excluded when residue windows cover enough of it, and its kind is the model's with the larger cover. An unfilled
+placeholder is localised by its brackets; the task's statement asks for every text that holds one, whatever its coverage.
 
 Null and blank texts are no residue. Texts are read whole, whatever their length. Repeated rows are judged alike.
 """
@@ -91,12 +92,15 @@ def placeholder_spans(text: str) -> list[tuple[int, int]]:
     return spans
 
 
-def seeds() -> list[str]:
-    out = []
-    for phrase in ERROR_PHRASES + NOTICE_PHRASES + FILLER_PHRASES:
-        for i in range(max(len(THINGS) if "{thing}" in phrase else 1, len(PARTS) if "{part}" in phrase else 1, len(SCRIPTS) if "{script}" in phrase else 1)):
-            out.append(phrase.replace("{thing}", THINGS[i % len(THINGS)]).replace("{part}", PARTS[i % len(PARTS)].replace("-", " ")).replace("{script}", SCRIPTS[i % len(SCRIPTS)]))
-    return out
+#: The kinds of the two residue models and their phrases.
+KINDS = ("filler", "notice")
+FAMILIES = {"filler": FILLER_PHRASES, "notice": ERROR_PHRASES + NOTICE_PHRASES}
+
+
+def filled(phrase: str) -> list[str]:
+    """The phrase with every thing, part and script in turn."""
+    ways = max(len(words) if name in phrase else 1 for name, words in (("{thing}", THINGS), ("{part}", PARTS), ("{script}", SCRIPTS)))
+    return [phrase.replace("{thing}", THINGS[i % len(THINGS)]).replace("{part}", PARTS[i % len(PARTS)].replace("-", " ")).replace("{script}", SCRIPTS[i % len(SCRIPTS)]) for i in range(ways)]
 
 
 _POWERS = np.array([257**k % (1 << 61) for k in range(ORDER)], np.uint64)
@@ -170,38 +174,46 @@ def count_grams(texts: DataFrame, text_col: str) -> np.ndarray:
     return counts
 
 
-def ratios(natural: np.ndarray) -> np.ndarray:
-    """Log likelihood ratio of residue to natural prose, by bucket."""
-    residue = np.zeros(BUCKETS)
-    for phrase in seeds():
-        np.add.at(residue, buckets_of(phrase), 1.0)
-    declining = np.zeros(BUCKETS)
-    for phrase in REFUSAL_PHRASES:
-        np.add.at(declining, buckets_of(phrase), 1.0)
+def ratios(natural: np.ndarray, families: dict[str, list[str]] = FAMILIES) -> np.ndarray:
+    """Log likelihood ratios of each kind of residue to natural prose, by bucket: one row a kind."""
+
+    def counted(phrases: list[str]) -> np.ndarray:
+        counts = np.zeros(BUCKETS)
+        for phrase in phrases:
+            for text in filled(phrase):
+                np.add.at(counts, buckets_of(text), 1.0)
+        return counts
+
     even = EVEN / BUCKETS
     part = lambda c, least=1.0: c / max(c.sum(), least)
     share = lambda c: (1 - EVEN) * c + even
-    prose = 0.9 * part(natural, LEAST_PROSE) + 0.1 * part(declining)
-    return (np.log(share(part(np.sqrt(residue)))) - np.log(share(prose))).astype(np.float32)
+    prose = 0.9 * part(natural, LEAST_PROSE) + 0.1 * part(counted(REFUSAL_PHRASES))
+    return np.stack([np.log(share(part(np.sqrt(counted(families[kind]))))) - np.log(share(prose)) for kind in KINDS]).astype(np.float32)
+
+
+def _window_means(table: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Each model's mean log likelihood ratio of the window from each n-gram on."""
+    total = np.zeros((len(table), len(at) + 1))
+    np.cumsum(table[:, at], axis=1, out=total[:, 1:], dtype=np.float64)
+    return (total[:, width:] - total[:, : len(at) + 1 - width]) / width
 
 
-def coverage(text: str, table: np.ndarray) -> float:
-    """The share of the text's n-grams that lie in windows of residue."""
+def coverage(text: str, table: np.ndarray) -> tuple[float, int]:
+    """(the share of the text's n-grams that lie in windows of residue, the model that rates these windows higher)."""
     at = buckets_of(text)
     if not len(at):
-        return 0.0
-    total = np.concatenate([[0.0], np.cumsum(table[at], dtype=np.float64)])
+        return 0.0, 0
     width = min(WINDOW, len(at))
-    means = (total[width:] - total[:-width]) / width
+    means = _window_means(table, at, width)
+    hits = np.flatnonzero(means.max(0) > LEAST_RATIO)
     marks = np.zeros(len(at) + 1, np.int64)
-    hits = np.flatnonzero(means > LEAST_RATIO)
     np.add.at(marks, hits, 1)
     np.add.at(marks, hits + width, -1)
-    return float((np.cumsum(marks)[:-1] > 0).mean())
+    return float((np.cumsum(marks)[:-1] > 0).mean()), int(means[:, hits].sum(1).argmax()) if len(hits) else 0
 
 
 def judge(text: str | None, table: np.ndarray) -> tuple[str | None, float]:
-    """(kind, covered): kind 'placeholder' or 'message' (filler, error, notice), else None."""
+    """(kind, covered): kind 'placeholder', 'filler' or 'notice' (errors, scripts, cookies, browser checks), else None."""
     if not text or not text.strip():
         return None, 0.0
     spans = placeholder_spans(text)
@@ -210,13 +222,13 @@ def judge(text: str | None, table: np.ndarray) -> tuple[str | None, float]:
     core = FURNITURE.sub(" ", text)
     if not core.strip():
         return None, 0.0
-    covered = coverage(core, table)
+    covered, kind = coverage(core, table)
     if covered >= COVERED:
-        return "message", covered
+        return KINDS[kind], covered
     # a whole sentence of residue in a longer text
     parts = [p for p in _SENTENCE.split(core) if len(p) >= WINDOW] if covered * len(core) >= WINDOW else []
-    best = max((coverage(p, table) for p in parts), default=0.0)
-    return ("message", covered) if len(parts) > 1 and best >= 0.85 else (None, covered)
+    best, kind = max((coverage(p, table) for p in parts), default=(0.0, 0))
+    return (KINDS[kind], covered) if len(parts) > 1 and best >= 0.85 else (None, covered)
 
 
 #: Windows from which a text is looked at closely; below LEAST_RATIO, as furniture is not yet removed.
@@ -229,18 +241,19 @@ def judge_all(texts: list[str | None], table: np.ndarray) -> list[tuple[str | No
     flat, sizes = buckets_many(texts)
     if not len(flat):
         return out
-    total = np.concatenate([[0.0], np.cumsum(table[flat], dtype=np.float64)])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    n = len(total) - 1
-    width = np.minimum(WINDOW, n)
-    means = (total[width:] - total[: n + 1 - width]) / width
+    width = min(WINDOW, len(flat))
+    suspicious = np.zeros(len(texts), bool)
+    means = _window_means(table, flat, width).max(0)
     hot = np.concatenate([[0], np.cumsum(means > _HINT_RATIO)])
     first = np.minimum(starts, len(means))
     last = np.maximum(np.minimum(ends - width + 1, len(means)), first)
-    suspicious = hot[last] > hot[first]
+    suspicious |= hot[last] > hot[first]
     short = (sizes < width) & (sizes > 0)
-    suspicious |= short & ((total[ends] - total[starts]) > _HINT_RATIO * np.maximum(sizes, 1))
+    for k in range(len(table)):
+        total = np.concatenate([[0.0], np.cumsum(table[k][flat], dtype=np.float64)])
+        suspicious |= short & ((total[ends] - total[starts]) > _HINT_RATIO * np.maximum(sizes, 1))
     for i, text in enumerate(texts):
         if text and (suspicious[i] or any(c in text for c in "{[<%@_(")):
             out[i] = judge(text, table)
@@ -250,7 +263,7 @@ def judge_all(texts: list[str | None], table: np.ndarray) -> list[tuple[str | No
 def find_residue(texts: DataFrame, keys: list[str], text_col: str = "text", natural: np.ndarray | None = None) -> DataFrame:
     """keys, kind and covered of the rows whose text is residue. natural: counts to use instead of those of texts."""
     table = ratios(count_grams(texts, text_col) if natural is None else natural)
-    shared = texts.sparkSession.sparkContext.broadcast(table)  # BUCKETS floats
+    shared = texts.sparkSession.sparkContext.broadcast(table)  # BUCKETS floats a model
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values = shared.value
