@@ -24,9 +24,11 @@ Records with one arrival number are one record, the least of them.
 
 from __future__ import annotations
 
+import base64
 import json
 import math
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,34 +121,35 @@ def shingles(texts: DataFrame) -> DataFrame:
     return texts.select("at", "words").mapInPandas(run, "hash long, at long")
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(bucket, n): the texts that hold a three-word shingle of the bucket; bucket -1 has the number of texts."""
+def gram_counts(texts: DataFrame) -> np.ndarray:
+    """The number of texts that hold a three-word shingle of each bucket, and last the number of texts.
+
+    The driver gets at most 2**WEIGHT_BITS + 1 rows.
+    """
     size = 1 << WEIGHT_BITS
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
-        counts, n = np.zeros(size, np.int64), 0
+        counts = np.zeros(size + 1, np.int64)
         for frame in frames:
             parts = [np.unique(shingle_hashes(_word_hashes(w.split(), known), 3) >> np.uint64(64 - WEIGHT_BITS)) for w in frame["words"]]
-            n += len(parts)
+            counts[size] += len(parts)
             if len(known) > 1_000_000:
                 known.clear()
             if parts:
-                counts += np.bincount(np.concatenate(parts).astype(np.int64), minlength=size)
+                counts[:size] += np.bincount(np.concatenate(parts).astype(np.int64), minlength=size)
         at = np.flatnonzero(counts)
-        yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(counts[at], n)})
+        yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    return texts.select("words").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = texts.select("words").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size + 1, np.int64)
+    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
 
 
-def weights_of(counts: DataFrame) -> np.ndarray:
-    """Weights of three-word shingles by bucket; the driver gets at most 2**WEIGHT_BITS rows."""
-    rows = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    seen = np.zeros(1 << WEIGHT_BITS)
-    inner = rows[rows["bucket"] >= 0]
-    seen[inner["bucket"].to_numpy(np.int64)] = inner["n"].to_numpy()
-    total = max(1, int(rows.loc[rows["bucket"] < 0, "n"].sum()))
-    return np.log((total + 1) / np.maximum(seen, 1)).astype(np.float32) + np.float32(0.05)
+def weights_of(counts: np.ndarray) -> np.ndarray:
+    """Weights of three-word shingles by bucket."""
+    return np.log((max(1, counts[-1]) + 1) / np.maximum(counts[:-1], 1)).astype(np.float32) + np.float32(0.05)
 
 
 class Comparer:
@@ -185,23 +188,24 @@ class Comparer:
         return shared >= SIMILAR * (sx + sy - shared)
 
 
-def sorted_windows(rows: DataFrame, window: int = WINDOW, star: bool = False) -> DataFrame:
-    """(at, other, hash): pairs of rows under one key, at most ``window`` apart in the order (hash, sub, at), one of them new.
+def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(at, other, need, star): pairs of rows under one key, at most ``window`` apart in the order (hash, sub, at), one of them new.
 
-    rows: hash, sub, at, new; hash and sub together are the key. star: each row is paired with the first of its key instead,
-    and that, where a key goes on from one partition to the next, with the last one before.
+    rows: hash, sub, at, need INT, star BOOLEAN; hash and sub together are the key, and alike within a key is star. need is 0
+    for rows that are not new; a pair has the least of its new rows'. Under a star key each row is paired with the first of
+    its key instead, and that, where a key goes on from one partition to the next, with the last one before.
     """
-    if star:
-        window = 1
+    columns = ("hash", "sub", "at", "need", "star")
+    kinds = (np.int64, np.int64, np.int64, np.int64, bool)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, sub, at, new = (np.empty(0, t) for t in (np.int64, np.int64, np.int64, bool))
+        key, sub, at, need, star = (np.empty(0, t) for t in kinds)
         first_key, leading, first_at, same_throughout = None, 0, 0, True
         for frame in frames:
             if not len(frame):
                 continue
             held = len(key)
-            key, sub, at, new = (np.concatenate([old, frame[c].to_numpy(old.dtype)]) for old, c in ((key, "hash"), (sub, "sub"), (at, "at"), (new, "new")))
+            key, sub, at, need, star = (np.concatenate([old, frame[c].to_numpy(old.dtype)]) for old, c in zip((key, sub, at, need, star), columns))
             if first_key is None:
                 first_key, first_at = (key[0], sub[0]), at[0]
             leads = (key[held:] == first_key[0]) & (sub[held:] == first_key[1])
@@ -209,49 +213,49 @@ def sorted_windows(rows: DataFrame, window: int = WINDOW, star: bool = False) ->
             found = []
             if leading < window:
                 rows_ = held + np.flatnonzero(leads)[: window - leading]
-                found.append((at[rows_], leading + np.arange(len(rows_)), np.where(new[rows_], 1, 2), key[rows_], sub[rows_]))
+                found.append((at[rows_], leading + np.arange(len(rows_)), need[rows_], star[rows_], np.ones(len(rows_), int), key[rows_], sub[rows_]))
                 leading += len(rows_)
-            if star:
-                begin = np.ones(len(key), bool)
-                begin[1:] = (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])
-                head = at[np.flatnonzero(begin)[np.cumsum(begin) - 1]]
-                # the key that goes on from the frame before
-                if held:
-                    head[: int(np.argmin(np.append((key == key[0]) & (sub == sub[0]), False)))] = first_at
-                mine = held + np.flatnonzero(head[held:] != at[held:])
-                found.append((at[mine], head[mine], np.zeros(len(mine), int), key[mine], sub[mine]))
-                first_at = head[-1]
-            else:
-                for s in range(1, window + 1):
-                    i = np.arange(max(held, s), len(key))
-                    i = i[(key[i] == key[i - s]) & (sub[i] == sub[i - s]) & (new[i] | new[i - s])]
-                    found.append((at[i], at[i - s], np.zeros(len(i), int), key[i], sub[i]))
-            yield pd.DataFrame(dict(zip(("at", "other", "what", "hash", "sub"), map(np.concatenate, zip(*found))))).assign(whole=False)
-            key, sub, at, new = key[-window:], sub[-window:], at[-window:], new[-window:]
+            begin = np.ones(len(key), bool)
+            begin[1:] = (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])
+            head = at[np.flatnonzero(begin)[np.cumsum(begin) - 1]]
+            if held:
+                # the key that goes on from the frame before; what is held may begin with an earlier key
+                last = held - 1
+                head[last : last + int(np.argmin(np.append((key[last:] == key[last]) & (sub[last:] == sub[last]), False)))] = first_at
+            mine = held + np.flatnonzero(star[held:] & (head[held:] != at[held:]))
+            found.append((at[mine], head[mine], need[mine], star[mine], np.zeros(len(mine), int), key[mine], sub[mine]))
+            first_at = head[-1]
+            for s in range(1, window + 1):
+                i = np.arange(max(held, s), len(key))
+                i = i[(key[i] == key[i - s]) & (sub[i] == sub[i - s]) & ~star[i] & ((need[i] > 0) | (need[i - s] > 0))]
+                a, b = need[i], need[i - s]
+                found.append((at[i], at[i - s], np.where(a == 0, b, np.where(b == 0, a, np.minimum(a, b))), star[i], np.zeros(len(i), int), key[i], sub[i]))
+            yield pd.DataFrame(dict(zip(("at", "other", "need", "star", "what", "hash", "sub"), map(np.concatenate, zip(*found))))).assign(whole=False)
+            key, sub, at, need, star = key[-window:], sub[-window:], at[-window:], need[-window:], star[-window:]
         if len(key):
-            last = (key == key[-1]) & (sub == sub[-1])
-            own = np.flatnonzero(last)
+            own = np.flatnonzero((key == key[-1]) & (sub == sub[-1]))
             n = len(own)
-            yield pd.DataFrame({"at": at[own], "other": np.arange(n), "what": np.where(new[own], 3, 4), "hash": key[own], "sub": sub[own], "whole": np.full(n, same_throughout)})
+            yield pd.DataFrame({"at": at[own], "other": np.arange(n), "need": need[own], "star": star[own], "what": np.full(n, 2), "hash": key[own], "sub": sub[own], "whole": np.full(n, same_throughout)})
 
-    ordered = rows.select("hash", "sub", "at", "new").repartitionByRange("hash", "sub", "at").sortWithinPartitions("hash", "sub", "at")
-    made = materialize(ordered.mapInPandas(run, "at long, other long, what int, hash long, sub long, whole boolean").withColumn("part", F.spark_partition_id()), "windows")
+    ordered = rows.select(*columns).repartitionByRange("hash", "sub", "at").sortWithinPartitions("hash", "sub", "at")
+    made = materialize(ordered.mapInPandas(run, "at long, other long, need int, star boolean, what int, hash long, sub long, whole boolean").withColumn("part", F.spark_partition_id()), "windows")
     edges = made.where("what <> 0").toPandas()  # two windows a partition
-    across: list[tuple[int, int, int]] = []
+    across: list[tuple[int, int, int, bool]] = []
     tails: list[tuple] = []
     for _, mine in edges.groupby("part", sort=True):
-        rows_ = list(zip(*(mine[c].tolist() for c in ("what", "other", "at", "hash", "sub", "whole"))))
-        for what, place, at, key, sub, _ in sorted(r for r in rows_ if r[0] in (1, 2)):
-            reach = window - place
-            if reach > 0:
-                across.extend((at, t, key) for t, is_new, k, u in tails[-reach:] if (k, u) == (key, sub) and (star or what == 1 or is_new))
-        own = sorted((r for r in rows_ if r[0] in (3, 4)), key=lambda r: r[1])
-        fresh = [(at, what == 3, key, sub) for what, _, at, key, sub, _ in own]
+        rows_ = list(zip(*(mine[c].tolist() for c in ("what", "other", "at", "need", "star", "hash", "sub", "whole"))))
+        for _, place, at, need, star, *key, _ in sorted(r for r in rows_ if r[0] == 1):
+            reach = min(1 - place, 1) if star else window - place
+            for t, other_need, *other_key in tails[-reach:] if reach > 0 else []:
+                if other_key == key and (star or need or other_need):
+                    across.append((at, t, min(n for n in (need or other_need, other_need or need)), star))
+        own = sorted((r for r in rows_ if r[0] == 2), key=lambda r: r[1])
+        fresh = [(at, need, *key) for _, _, at, need, _, *key, _ in own]
         # a partition that one key fills with fewer rows than a window leaves those before it in reach
-        tails = (tails + fresh)[-window:] if own and own[0][5] else fresh or tails
-    pairs = made.where("what = 0").select("at", "other", "hash")
+        tails = (tails + fresh)[-window:] if own and own[0][-1] else fresh or tails
+    pairs = made.where("what = 0").select("at", "other", "need", "star")
     if across:
-        pairs = pairs.unionByName(rows.sparkSession.createDataFrame(across, "at long, other long, hash long"))
+        pairs = pairs.unionByName(rows.sparkSession.createDataFrame(across, "at long, other long, need int, star boolean"))
     return pairs.where("at <> other")
 
 
@@ -291,6 +295,7 @@ class NeighbourhoodIndex:
     def __init__(self, spark: SparkSession, path: str, keys: int | None = KEYS, window: int = WINDOW, shared: int = SHARED, runs: int = RUNS) -> None:
         self.spark, self.path, self.keys, self.window, self.shared, self.most_runs = spark, path.rstrip("/"), keys, window, shared, runs
         self.version, self.ranges, self.live = 0, 0, []
+        self._known: dict[str, np.ndarray] = {}
         versions = [n for n in names_in(spark, f"{self.path}/catalogue") if n.endswith(".json")]
         if versions:
             stored = json.loads(read_text(spark, f"{self.path}/catalogue/{versions[-1]}"))
@@ -303,17 +308,14 @@ class NeighbourhoodIndex:
         write_text(self.spark, f"{self.path}/catalogue/{self.version:09d}.json", json.dumps({"version": self.version, "ranges": self.ranges, "runs": live}))
         remove_path(self.spark, f"{self.path}/catalogue/{before:09d}.json")
 
-    _SCHEMAS = {"exact": "hash long, sub long, at long, range int", "keys": "hash long, at long, range int", "texts": "at long, words string, range int", "counts": "bucket long, n long"}
+    _SCHEMAS = {"exact": "hash long, sub long, at long, range int", "keys": "hash long, at long, range int", "texts": "at long, words string, range int"}
 
     def _read(self, name: str, runs: list[str], touched: list[int] | None = None) -> DataFrame:
         """A table of the given runs, of the given ranges only."""
         schema = self._SCHEMAS[name]
         if not runs:
             return self.spark.createDataFrame([], schema)
-        parts = [self.spark.read.schema(schema).parquet(f"{self.path}/{name}/run={r}") for r in runs]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
+        whole = self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/run={r}" for r in runs])
         return whole if touched is None else whole.where(F.col("range").isin(touched))
 
     def _write(self, rows: DataFrame, name: str, run: str) -> DataFrame:
@@ -332,6 +334,16 @@ class NeighbourhoodIndex:
         """rows, of which there are ``at_most``, to be broadcast if these are few; else the join shuffles."""
         return F.broadcast(rows) if at_most <= MOST_KEYS else rows
 
+    def _counts(self, run: str) -> np.ndarray:
+        """The counts of a run's word runs, a small file; this object keeps what it has read."""
+        if run not in self._known:
+            self._known[run] = np.frombuffer(zlib.decompress(base64.b64decode(read_text(self.spark, f"{self.path}/counts/{run}"))), np.int64)
+        return self._known[run]
+
+    def _store_counts(self, run: str, counts: np.ndarray) -> None:
+        write_text(self.spark, f"{self.path}/counts/{run}", base64.b64encode(zlib.compress(counts.tobytes())).decode())
+        self._known[run] = counts
+
     def merge(self, batch: DataFrame) -> DataFrame:
         """Adds a batch; links (a, b) by ``at``, a < b: one of them new, both of one case or like texts."""
         scratch = scratch_path(self.spark, "batch")
@@ -342,66 +354,65 @@ class NeighbourhoodIndex:
         run, history = f"{self.version + 1:06d}-{uuid.uuid4().hex[:8]}", [r for r, _ in self.live]
 
         value = lambda kind: (F.xxhash64(F.lit(kind), kind).alias("hash"), F.xxhash64(kind, F.lit(kind), F.lit(1)).alias("sub"))
-        mine = self._write(new.where("page is not null").select(*value("page"), "at").unionByName(new.where("words is not null").select(*value("words"), "at")), "exact", run)
-        # of history the first of each key is enough
-        asked = self._hinted(mine.select("hash", "sub").distinct(), 2 * count)
-        before = self._read("exact", history, self._touched("exact", run)).join(asked, ["hash", "sub"], "left_semi").groupBy("hash", "sub").agg(F.min("at").alias("at"))
+        kinds = F.array(F.when(F.col("page").isNotNull(), F.struct(*value("page"))), F.when(F.col("words").isNotNull(), F.struct(*value("words"))))
+        mine = self._write(new.select("at", F.explode(kinds).alias("k")).where("k is not null").select("k.*", "at"), "exact", run).select("hash", "sub", "at")
+        # of history only rows under the batch's keys, and of each the first
+        before = self._read("exact", history, self._touched("exact", run)).join(self._hinted(mine.select("hash", "sub"), 2 * count), ["hash", "sub"], "left_semi").groupBy("hash", "sub").agg(F.min("at").alias("at"))
         before = materialize(before, "history-keys")
-        same = sorted_windows(before.withColumn("new", F.lit(False)).unionByName(mine.select("hash", "sub", "at", F.lit(True).alias("new"))), star=True)
-        sides = F.least("at", "other").alias("a"), F.greatest("at", "other").alias("b")
-        folder = f"{self.path}/links/run={run}"
-        same.select(*sides).write.parquet(f"{folder}/kind=exact")
 
         # equal texts are held by the first of them alone
-        seen = self._hinted(before.select("hash", "sub"), 2 * count)
-        first = new.where("words is not null").withColumn("hash", value("words")[0]).withColumn("sub", value("words")[1]).groupBy("hash", "sub").agg(F.min_by(F.struct("at", "words"), "at").alias("r"))
-        texts = self._write(first.join(seen, ["hash", "sub"], "left_anti").select("r.*"), "texts", run)
-        fresh = self._write(shingles(texts), "keys", run)
-        gram_counts(texts).coalesce(4).write.parquet(f"{self.path}/counts/run={run}")
-        self._near(texts, fresh, run, history).select(*sides).write.parquet(f"{folder}/kind=near")
+        known = self._hinted(before.select("hash", "sub"), 2 * count)
+        first = new.where("words is not null").select("at", "words", *value("words")).groupBy("hash", "sub").agg(F.min_by(F.struct("at", "words"), "at").alias("r"))
+        texts = self._write(first.join(known, ["hash", "sub"], "left_anti").select("r.*"), "texts", run)
+        fresh = self._write(shingles(texts), "keys", run).select("hash", "at")
+        self._store_counts(run, gram_counts(texts))
+        number = fresh.count()
+        shared, old = self._shared_keys(fresh, number, run, history)
+        chosen = self._hinted(shared.where("need > 0").select("hash"), number)
+        members = shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi").withColumn("sub", F.lit(0).cast("long")).withColumn("star", F.lit(False))
+        stars = before.withColumn("need", F.lit(0)).unionByName(mine.withColumn("need", F.lit(1))).withColumn("star", F.lit(True))
+        pairs = sorted_windows(stars.unionByName(members), self.window)
+        pairs = pairs.select(F.least("at", "other").alias("a"), F.greatest("at", "other").alias("b"), "need", "star")
+        near = self._like(pairs.where("not star").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"), [*history, run])
+        folder = f"{self.path}/links/run={run}"
+        pairs.where("star").select("a", "b").unionByName(near).write.parquet(folder)
         self._commit([*self.live, (run, count)])
         remove_path(self.spark, scratch)
         if len(self.live) > self.most_runs:
             self.compact()
-        return self.spark.read.schema("a long, b long").parquet(f"{folder}/kind=exact", f"{folder}/kind=near")
+        return self.spark.read.schema("a long, b long").parquet(folder)
 
-    def _near(self, texts: DataFrame, fresh: DataFrame, run: str, history: list[str]) -> DataFrame:
-        """(at, other) of a new text and one like it."""
-        fresh = fresh.select("hash", "at")
-        number = fresh.count()
-        asked = self._hinted(fresh.select("hash").distinct(), number)
-        old = self._read("keys", history, self._touched("keys", run)).select("hash", "at").join(asked, "hash", "left_semi")
+    def _shared_keys(self, fresh: DataFrame, number: int, run: str, history: list[str]) -> tuple[DataFrame, DataFrame]:
+        """(hash, at, need) of the new texts' shingles that another text has, and history (hash, at) under the new shingles.
+
+        need is 0 but for a text's rarest KEYS; for these it is the number of keys under which a pair must meet.
+        """
+        old = self._read("keys", history, self._touched("keys", run)).select("hash", "at").join(self._hinted(fresh.select("hash"), number), "hash", "left_semi")
         counts = fresh.select("hash").unionByName(old.select("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-        ranked = fresh.join(counts, "hash")
-        if self.keys is not None:
-            ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("at").orderBy("n", "hash"))).where(F.col("rank") <= self.keys)
-        chosen = materialize(ranked.select("hash", "at"), "chosen-keys")
-        held = chosen.groupBy("at").agg(F.count("*").alias("keys"))
-        hashes = self._hinted(chosen.select("hash").distinct(), number)
-        others = fresh.join(hashes, "hash", "left_semi").join(chosen, ["hash", "at"], "left_anti").unionByName(old.join(hashes, "hash", "left_semi"))
-        members = others.withColumn("new", F.lit(False)).unionByName(chosen.withColumn("new", F.lit(True))).withColumn("sub", F.lit(0).cast("long"))
-        pairs = sorted_windows(members, self.window)
-        pairs = pairs.select(F.greatest("at", "other").alias("at"), F.least("at", "other").alias("other"), "hash").groupBy("at", "other").agg(F.count_distinct("hash").alias("n"))
-        enough = lambda c: F.col(c).isNotNull() & (F.col("n") >= F.least(F.lit(self.shared), F.col(c)))
-        shared = pairs.join(held, "at", "left").join(held.select(F.col("at").alias("other"), F.col("keys").alias("other_keys")), "other", "left").where(enough("keys") | enough("other_keys"))
-        shared = materialize(shared.select("at", "other"), "candidates")
-        weights = self.spark.sparkContext.broadcast(weights_of(self._read("counts", [*history, run])))  # 2**WEIGHT_BITS floats
-
-        # texts are read by the ranges of the candidates, and only these are shuffled
-        wanted = shared.select("at").unionByName(shared.select(F.col("other").alias("at"))).distinct().withColumn("range", F.pmod(F.hash("at"), F.lit(self.ranges)))
-        touched = [r.range for r in wanted.select("range").distinct().collect()]
-        few = self._hinted(wanted.select("at"), 2 * shared.count())
-        known = self._read("texts", [*history, run], touched).select("at", "words").join(few, "at", "left_semi")
-        side = lambda name: known.select(F.col("at").alias(name), F.col("words").alias(f"words_{name}"))
-        both = shared.join(side("at"), "at").join(side("other"), "other")
+        own = Window.partitionBy("at")
+        ranked = fresh.join(counts, "hash").select("hash", "at", F.row_number().over(own.orderBy("n", "hash")).alias("rank"), F.count("*").over(own).alias("held"))
+        most = F.lit(self.keys if self.keys is not None else 1 << 30)
+        need = F.when(F.col("rank") <= most, F.least(F.lit(self.shared), F.col("held"), most)).otherwise(0).cast("int")
+        return materialize(ranked.select("hash", "at", need.alias("need")), "shared-keys"), old
+
+    def _like(self, candidates: DataFrame, runs: list[str]) -> DataFrame:
+        """The candidates (a, b) whose texts are alike; only their texts are shuffled, and read by the ranges that hold them."""
+        asked = materialize(candidates, "candidates")
+        many = asked.count()
+        range_of = lambda c: F.pmod(F.hash(c), F.lit(self.ranges))
+        touched = None if many >= self.ranges else sorted({r for row in asked.select(range_of("a"), range_of("b")).collect() for r in row})
+        texts = self._read("texts", runs, touched).select("at", "words")
+        left = texts.join(self._hinted(asked, many), texts["at"] == asked["a"]).select("a", "b", F.col("words").alias("words_a"))
+        right = texts.join(self._hinted(asked.select(F.col("b").alias("at")), many), "at", "left_semi").select(F.col("at").alias("b"), F.col("words").alias("words_b"))
+        weights = self.spark.sparkContext.broadcast(weights_of(sum(self._counts(r) for r in runs)))  # 2**WEIGHT_BITS floats
 
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             comparer = Comparer(weights.value)
             for frame in frames:
-                near = [comparer.similar(a, b) for a, b in zip(frame["words_at"], frame["words_other"])]
-                yield frame.loc[np.array(near, bool), ["at", "other"]]
+                near = [comparer.similar(x, y) for x, y in zip(frame["words_a"], frame["words_b"])]
+                yield frame.loc[np.array(near, bool), ["a", "b"]]
 
-        return both.mapInPandas(check, "at long, other long")
+        return left.join(right, "b").mapInPandas(check, "a long, b long")
 
     def links(self) -> DataFrame:
         """The links of all merges so far."""
@@ -420,13 +431,14 @@ class NeighbourhoodIndex:
         if len(old) < 2:
             return
         run = f"{self.version + 1:06d}-{uuid.uuid4().hex[:8]}"
-        for name in ("exact", "texts", "keys"):
-            self._write(self._read(name, old).drop("range"), name, run)
-        self._read("counts", old).groupBy("bucket").agg(F.sum("n").alias("n")).coalesce(4).write.parquet(f"{self.path}/counts/run={run}")
-        self._commit([*kept, (run, sum(n for _, n in self.live[begin:]))])
         for name in self._SCHEMAS:
-            for r in old:
-                remove_path(self.spark, f"{self.path}/{name}/run={r}")
+            self._write(self._read(name, old).drop("range", "run"), name, run)
+        self._store_counts(run, sum(self._counts(r) for r in old))
+        self._commit([*kept, (run, sum(n for _, n in self.live[begin:]))])
+        for r in old:
+            self._known.pop(r, None)
+            for gone in (*(f"{name}/run={r}" for name in self._SCHEMAS), f"counts/{r}"):
+                remove_path(self.spark, f"{self.path}/{gone}")
 
 
 #: Bits of an arrival number that hold the record's id.

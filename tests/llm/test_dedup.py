@@ -127,24 +127,27 @@ def test_a_hot_text_and_page_chain_whole(spark, tmp_path):
 @pytest.mark.parametrize("batch", [7, 10000])
 def test_windows_across_partitions(spark, parts, batch):
     rng = random.Random(4)
-    rows = [(rng.choice([1, 1, 1, 2, 3]), rng.choice([0, 0, 5]), i, rng.random() < 0.4) for i in range(400)]
-    df = spark.createDataFrame(rows, "hash long, sub long, at long, new boolean")
+    rows = [(rng.choice([1, 1, 1, 2, 3]), rng.choice([0, 0, 5]), i, rng.choice([0, 0, 1, 2, 3])) for i in range(400)]
+    df = spark.createDataFrame([(*r, r[0] == 2) for r in rows], "hash long, sub long, at long, need int, star boolean")
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
-        got = {(r.at, r.other) for r in dedup.sorted_windows(df, 5).collect()}
-        star = roots(dedup.sorted_windows(df, star=True).selectExpr("at as a", "other as b"))
+        found = dedup.sorted_windows(df, 5).collect()
+        star = roots(spark.createDataFrame([(r.at, r.other) for r in found if r.star], "a long, b long"))
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
     want, first = set(), {}
     for key in {r[:2] for r in rows}:
-        own = sorted((at, new) for h, s, at, new in rows if (h, s) == key)
-        first |= {at: own[0][0] for at, _ in own[1:]}
-        for k, (at, new) in enumerate(own):
-            want |= {(at, own[m][0]) for m in range(max(0, k - 5), k) if new or own[m][1]}
-    assert got == want and star == first
+        own = sorted((at, need) for h, s, at, need in rows if (h, s) == key)
+        if key[0] == 2:
+            first |= {at: own[0][0] for at, _ in own[1:]}
+            continue
+        for k, (at, need) in enumerate(own):
+            want |= {(at, own[m][0], min(n for n in (need, own[m][1]) if n)) for m in range(max(0, k - 5), k) if need or own[m][1]}
+    pairs = [(r.at, r.other, r.need) for r in found if not r.star]
+    assert sorted(pairs) == sorted(want) and star == first
 
 
 def test_components(spark):
