@@ -12,10 +12,13 @@ with equal sizes are taken in the order of their ids; equal ids stay separate ro
 from __future__ import annotations
 
 import base64
+import functools
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +29,29 @@ RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how that tokenizer cuts text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 GROUP = 20_000
+#: Capacities that the driver takes; more are an error, none is left out.
+MOST_CAPACITIES = 100_000
+
+
+@functools.lru_cache(2)
+def _encoding(path: str):
+    import tiktoken
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_counts(docs: DataFrame, ranks_file: str = RANKS_FILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, tokens BIGINT) by a public tokenizer's vocabulary file, over whole texts; null texts have 0.
 
-    Every executor reads the file at its own path ``ranks_file``. Strings of special tokens are ordinary text.
+    The driver's file is sent to the executors, which need no path of their own. Strings of special tokens are ordinary text.
     """
+    docs.sparkSession.sparkContext.addFile(ranks_file)
+    name = os.path.basename(ranks_file)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import tiktoken
-
-        with open(ranks_file, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = _encoding(SparkFiles.get(name)).encode_ordinary
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["id"], "tokens": [len(encode(t)) if t else 0 for t in frame["text"]]})
 
@@ -88,7 +100,9 @@ def pack(sizes: DataFrame, capacities: DataFrame, group_size: int = GROUP, seed:
     sizes: doc_id, tokens; capacities: capacity_id, capacity_tokens (null or non-positive ones are left out).
     Containers are named by group and number; a group's share of the containers that are not full is what grouping costs.
     """
-    limits = [(r.capacity_id, r.capacity_tokens) for r in capacities.where("capacity_tokens > 0").select("capacity_id", "capacity_tokens").limit(1000).collect()]
+    limits = [(r.capacity_id, r.capacity_tokens) for r in capacities.where("capacity_tokens > 0").select("capacity_id", "capacity_tokens").limit(MOST_CAPACITIES + 1).collect()]
+    if len(limits) > MOST_CAPACITIES:
+        raise ValueError(f"more than {MOST_CAPACITIES} capacities")
     total = sizes.count()
     groups = max(1, round(total / group_size))
 

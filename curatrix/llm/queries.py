@@ -48,6 +48,14 @@ def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"), table(spark, d, "pack_capacity"))
 
 
+def p7_totals(spark: SparkSession, d: str) -> DataFrame:
+    """(capacity_id, documents, overfull): of every capacity the documents packed and the containers beyond it."""
+    packed, limits = p7_pack(spark, d), table(spark, d, "pack_capacity").select("capacity_id", "capacity_tokens")
+    boxes = packed.groupBy("capacity_id", "container").agg(F.sum("tokens").alias("filled")).join(F.broadcast(limits), "capacity_id")
+    over = boxes.groupBy("capacity_id").agg(F.count_if(F.col("filled") > F.col("capacity_tokens")).alias("overfull"))
+    return packed.groupBy("capacity_id").agg(F.count_distinct("doc_id").alias("documents")).join(over, "capacity_id")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     found = leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
     return found.where("kind = 'exact'").select("doc_id", "item_id")
@@ -57,5 +65,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spam.find_spam(table(spark, d, "documents")).select("doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p8_found": p8_found, "p9_found": p9_found}
-SQL: dict[str, str] = {}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_totals": p7_totals, "p8_found": p8_found, "p9_found": p9_found}
+SQL = {
+    "p7_totals": "SELECT capacity_id, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0 AS overfull FROM pack_capacity WHERE capacity_tokens > 0",
+}

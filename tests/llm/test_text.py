@@ -19,7 +19,7 @@ def table():
 
 @pytest.mark.parametrize("text,kind", [
     ("The {{ organ }} is normal.", "placeholder"), ("A [INSERT SIZE HERE] cyst.", "placeholder"), ("%(caption)s", "placeholder"), ("See <finding> here", "placeholder"), ("@@name@@", "placeholder"),
-    ("Lorem ipsum dolor sit amet, consectetur", "message"), ("The requested image could not be found on this server.", "message"), ("Please enable JavaScript to view this page.", "message"), ("We use cookies. Accept all cookies to go on.", "message"),
+    ("Lorem ipsum dolor sit amet, consectetur", "filler"), ("The requested image could not be found on this server.", "notice"), ("Please enable JavaScript to view this page.", "notice"), ("We use cookies. Accept all cookies to go on.", "notice"),
     (PROSE[0], None), (PROSE[2], None), ("TEA HOUSE, COOKIES 5 CROWNS, PAGE 7", None), ("A cyst of <5 mm [arrows] and <b>bold</b>", None), ("", None), (None, None), (" \n", None), ("I'm sorry, but I'm unable to view or analyse images.", None),
 ])
 def test_residue(table, text, kind):
@@ -37,7 +37,7 @@ def test_find_residue_keeps_keys(spark):
     prose = [f"The scan of day {w} shows a {a} {b} of the {c} and nothing else." for w in "one two ten".split() for a in "small large faint".split() for b in "cyst nodule mass stone".split() for c in "liver kidney spleen pons".split()]
     # one message fills a third of the rows
     df = spark.createDataFrame([("t", 1, p) for p in prose] + [("u", 2, "404 not found")] * 70 + [("u", 3, None)], "kind_of string, n long, text string")
-    assert [(r.n, r.kind) for r in residue.find_residue(df, ["n"]).collect()] == [(2, "message")] * 70
+    assert [(r.n, r.kind) for r in residue.find_residue(df, ["n"]).collect()] == [(2, "notice")] * 70
     assert residue.find_residue(df.limit(0), ["n"]).count() == 0
 
 
@@ -230,6 +230,18 @@ def test_packing_is_whole(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, tokens long"), spark.createDataFrame([(1, 10)], "capacity_id int, capacity_tokens int")).count() == 0
 
 
+def test_all_capacities_are_packed(spark):
+    sizes = spark.createDataFrame([(i, 10 + i) for i in range(5)], "doc_id long, tokens long")
+    out = packing.pack(sizes, spark.createDataFrame([(i, 20 + i) for i in range(1500)], "capacity_id int, capacity_tokens int"))
+    assert out.select("capacity_id").distinct().count() == 1500
+
+
+def test_too_many_capacities_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_CAPACITIES", 3)
+    with pytest.raises(ValueError):
+        packing.pack(spark.createDataFrame([(1, 2)], "doc_id long, tokens long"), spark.createDataFrame([(i, 5) for i in range(4)], "capacity_id int, capacity_tokens int"))
+
+
 def test_token_counts(spark, tmp_path):
     import base64
 
