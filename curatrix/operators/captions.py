@@ -33,7 +33,8 @@ def caption_text(captions: Column, variant: str, granularity: int) -> Column:
     """The text of the caption that ``variant`` prefers.
 
     'bridge': not raw (unmarked counts as raw), raw, granularity 0, 5, first; '' if none; cleaned.
-    'prepare': not marked raw, raw; null if none. 'qna': as prepare, then 0, 5, first.
+    'prepare': not marked raw, raw; null if none. 'qna': as prepare, then 0, 5, first. 'notebook': as qna,
+    but marked raw ones of 0 and 5 are passed over, and the text of 5 loses its tags.
     'generator': not marked raw, then the first text that is not empty; a fixed text if none.
     A chosen caption with a null text ends the search.
     """
@@ -41,13 +42,19 @@ def caption_text(captions: Column, variant: str, granularity: int) -> Column:
     own = lambda x: x["granularity"] == granularity
     raw = lambda x: F.coalesce(x["include_datacomp_raw_cap"], F.lit(variant == "bridge"))
     passes = [_first(c, lambda x: own(x) & ~raw(x))]
-    if variant in ("bridge", "prepare", "qna"):
+    if variant in ("bridge", "prepare", "qna", "notebook"):
         passes.append(_first(c, lambda x: own(x) & raw(x)))
     if variant in ("bridge", "qna"):
         passes += [_first(c, lambda x: x["granularity"] == 0), _first(c, lambda x: x["granularity"] == 5), F.try_element_at(c, F.lit(1))]
+    if variant == "notebook":
+        passes += [_first(c, lambda x: (x["granularity"] == 0) & ~raw(x)), _first(c, lambda x: (x["granularity"] == 5) & ~raw(x)), F.try_element_at(c, F.lit(1))]
     if variant == "generator":
         passes.append(_first(c, lambda x: F.coalesce(x["text"] != "", F.lit(False))))
     text = F.coalesce(*passes)["text"]
+    if variant == "notebook":
+        # only what the fallback to granularity 5 found loses its tags
+        lettering = F.trim(F.regexp_replace(text, r"<ocr>([^<]+)</ocr><bbox>[^<]+</bbox>", "$1"))
+        return F.when(F.coalesce(*passes[:3]).isNull() & passes[3].isNotNull(), F.nullif(lettering, F.lit(""))).otherwise(text)
     if variant == "bridge":
         return clean_ocr_text(text, granularity)
     if variant == "generator":

@@ -53,9 +53,9 @@ def adapted_urls(images: Column) -> Column:
     return F.flatten(F.transform(F.filter(F.map_entries(images), lambda e: ~e["key"].isin("series", "caption") & e["value"].isNotNull()), lambda e: F.coalesce(e["value"]["urls"], F.array().cast("array<string>"))))
 
 
-def image_urls(urls: Column) -> Column:
-    """Image addresses without their query, each once, in order."""
-    return F.array_distinct(F.transform(F.filter(urls, lambda u: F.coalesce(F.contains(u, F.lit("images")), F.lit(False))), lambda u: F.substring_index(u, "?", 1)))
+def image_urls(urls: Column, way: str = "viewer") -> Column:
+    """Image addresses (``image_address``) without their query, each once, in order."""
+    return F.array_distinct(F.transform(F.filter(urls, lambda u: image_address(u, way)), lambda u: F.substring_index(u, "?", 1)))
 
 
 def series_summary(series: Column, default: str = "No series information") -> Column:
@@ -64,9 +64,35 @@ def series_summary(series: Column, default: str = "No series information") -> Co
     return F.when(F.coalesce(F.size(series), F.lit(0)) > 0, F.array_join(parts, ", ")).otherwise(default)
 
 
-def normal_modality(modalities: Column, presentation: Column) -> Column:
-    """The first modality in lower case, x-ray of the chest named so; 'unknown' for none."""
+#: Marks of addresses that show no finding: of the page's furniture, and of previews.
+FURNITURE, PREVIEWS = ("spinner", "logo", "icon"), ("thumb",)
+
+
+def image_address(url: Column, way: str = "viewer") -> Column:
+    """Whether an address shows an image: it holds 'images'; found by 'preload' it is no preview, by 'page' (any image of a
+    page, the last resort) none of the page's furniture. Null is none.
+    """
+    without = {"viewer": (), "preload": PREVIEWS, "page": FURNITURE}[way]
+    good = F.contains(url, F.lit("images")) if way != "page" else url.isNotNull()
+    for mark in without:
+        good = good & ~F.contains(F.lower(url), F.lit(mark))
+    return F.coalesce(good, F.lit(False))
+
+
+def modality_counters(cases: DataFrame, modality: str) -> DataFrame:
+    """One row (modality, processed, filtered, failed): the cases with images that can be grouped, those of them kept and
+    those that failed. A case whose images are null cannot be grouped and is not processed.
+    """
+    processed = cases.where("images is not null").agg(F.count("*").alias("processed"))
+    states = filter_by_modality(cases.where("images is not null"), modality).agg(F.count_if(F.col("status") == "kept").alias("filtered"), F.count_if(F.col("status") == "failed").alias("failed"))
+    return processed.crossJoin(F.broadcast(states)).select(F.lit(modality.upper()).alias("modality"), "processed", "filtered", "failed")  # one row each
+
+
+def normal_modality(modalities: Column, presentation: Column, names: dict[str, str] | None = None) -> Column:
+    """The first modality in lower case, by its name in ``names`` where it has one, x-ray of the chest named so; 'unknown' for none."""
     first = F.lower(F.try_element_at(modalities, F.lit(1)))
+    if names:
+        first = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), first), first)
     return F.coalesce(F.when((first == "x-ray") & F.contains(F.lower(F.coalesce(presentation, F.lit(""))), F.lit("chest")), "chest x-ray").otherwise(first), F.lit("unknown"))
 
 

@@ -16,11 +16,17 @@ def character_accuracy(predicted: Column, truth: Column) -> Column:
 
 
 def word_accuracy(predicted: Column, truth: Column) -> Column:
-    """As character_accuracy, on words: each distinct word of the pair becomes one character. Up to 20,000 distinct words."""
+    """As character_accuracy, on words: each distinct word of the pair becomes one character beyond the basic plane.
+
+    Pairs of more than 2**20 distinct words are an error.
+    """
     words = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), r"(?U)\s+"), lambda w: w != "")
     p, t = words(predicted), words(truth)
     known = F.array_distinct(F.concat(p, t))
-    coded = lambda ws: F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 0x4DFF), 4, "0")), "UTF-16BE")), "")
+    high = lambda i: F.hex(F.shiftright(i, 10) + 0xD800)
+    low = lambda i: F.hex(i.bitwiseAND(F.lit(1023)) + 0xDC00)
+    one = lambda i: F.decode(F.unhex(F.concat(high(i), low(i))), "UTF-16BE")
+    coded = lambda ws: F.array_join(F.transform(ws, lambda w: one(F.array_position(known, w) - 1)), "")
     return character_accuracy(coded(p), coded(t))
 
 
@@ -117,6 +123,26 @@ def rate_band(rate: Column) -> Column:
     return F.when(rate > 80, "excellent").when(rate > 60, "good").when(rate > 40, "moderate").otherwise("low")
 
 
+def attempts_band(average: Column, most: float = 2.5) -> Column:
+    """Whether the attempts a run took are too many."""
+    return F.when(average > most, "many").otherwise("few")
+
+
+def ratio_band(ratio: Column) -> Column:
+    """Responses against truths: under half as long, over twice as long, or even."""
+    return F.when(ratio < 0.5, "short").when(ratio > 2, "long").otherwise("even")
+
+
+def download_stats(images: DataFrame, ok: Column) -> DataFrame:
+    """One row (total, succeeded, percent)."""
+    return images.agg(F.count("*").alias("total"), F.count_if(F.coalesce(ok, F.lit(False))).alias("succeeded")).withColumn("percent", F.round(F.coalesce(100 * F.try_divide("succeeded", "total"), F.lit(0.0)), 6))
+
+
+def head(df: DataFrame, order: list[str], n: int = 3) -> DataFrame:
+    """The first n rows in order, for a look at them. Each task keeps n."""
+    return df.orderBy(*order).limit(n)
+
+
 def blank_share(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: the share of null or blank values of each column."""
     return df.agg(*[F.round(F.avg(is_blank(F.col(c)).cast("double")), 6).alias(c) for c in columns])

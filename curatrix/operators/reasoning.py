@@ -20,6 +20,7 @@ Client = Callable[[str], str]
 #: The strategies in the order in which attempts take them.
 STRATEGIES = ["Backtracking", "Exploring New Paths", "Verification", "Correction"]
 RESULT = "process_id string, question string, ground_truth string, response string, found_correct_answer boolean, guided boolean, query_history array<string>, response_history array<string>, strategies_used array<string>, status string, error string"
+SAMPLE = RESULT + ", complex_cot string, extracted_answer string"
 
 
 @dataclass
@@ -77,27 +78,101 @@ class Search:
                             break
                 tried += 1
             if not found and self.efficient and row["ground_truth"] and self.prompts.get("guided"):
-                current, found = self.extract(self.ask(client, "guided", row, current, log)), True
-                out["guided"] = True
+                # the prompt holds the truth, so its answer counts as right without a check, and is marked as guided; an
+                # error or an empty answer leaves the last one
+                try:
+                    answer = self.ask(client, "guided", row, current, log)
+                    if answer:
+                        current, found = answer, True
+                        out["guided"] = True
+                        log["strategies_used"].append("Guided Analysis")
+                except Exception:
+                    pass
             out |= {"response": current, "found_correct_answer": found}
         except Exception as problem:
             out |= {"status": "error", "error": str(problem)[:1000]}
         return out
 
 
-def search(rows: DataFrame, make_client: Callable[[], Client], settings: Search) -> DataFrame:
-    """RESULT rows of rows (process_id, question, ground_truth), written once to the shared folder.
+NO_STEPS = "No reasoning steps provided."
+
+
+def natural_reasoning(client: Client, template: str, steps: list[str], question: str) -> str:
+    """The steps as running text by a model; a fixed sentence without steps, the steps themselves where the model fails.
+
+    The template has {reasoning_steps} and {question}, or two places {} for them.
+    """
+    if not len(steps):
+        return NO_STEPS
+    joined = "\n---\n".join(steps)
+    named = "{reasoning_steps}" in template and "{question}" in template
+    try:
+        return client(template.format(reasoning_steps=joined, question=question) if named else template.format(joined, question))
+    except Exception:
+        return f"Could not synthesize natural reasoning. Raw history: {joined}"
+
+
+def final_response(client: Client, template: str, reasoning: str, question: str) -> str:
+    """The answer that follows from the reasoning; an empty template and the model's errors are errors."""
+    if not template:
+        raise ValueError("no template for the final response")
+    return client(template.format(reasoning, question))
+
+
+def ground_truth(client: Client, prompts: dict[str, str], case: dict) -> dict:
+    """{'text', 'error', 'requires_manual_review'}: a model's account of a case; where it fails, what the case says itself.
+
+    prompts by modality, '' for all others; their places are the case's fields.
+    """
+    modality = str(case.get("modality") or "")
+    try:
+        return {"text": client((prompts.get(modality) or prompts[""]).format(**case)), "error": None, "requires_manual_review": False}
+    except Exception as problem:
+        told = [case.get(k) for k in ("presentation", "caption", "case_discussion")]
+        return {"text": "\n".join(t for t in told if t), "error": str(problem)[:1000], "requires_manual_review": True}
+
+
+@dataclass
+class Pipeline:
+    """A whole sample: the search, the reasoning as running text, and the final response. An error gives a row of status 'error'."""
+
+    search: Search
+    reasoning_template: str
+    final_template: str
+
+    def run(self, client: Client, row: dict) -> dict:
+        out = self.search.run(client, row) | {"complex_cot": None, "extracted_answer": None}
+        if out["status"] == "error":
+            return out
+        try:
+            out["extracted_answer"] = self.search.extract(out["response"])
+            out["complex_cot"] = natural_reasoning(client, self.reasoning_template, out["response_history"], row["question"])
+            out["response"] = final_response(client, self.final_template, out["complex_cot"], row["question"])
+        except Exception as problem:
+            out |= {"status": "error", "error": str(problem)[:1000]}
+        return out
+
+
+def text_client(send: Callable[..., str], **settings) -> Client:
+    """A client of a function that takes a prompt and settings (model, temperature, tokens)."""
+    return lambda prompt: send(prompt, **settings)
+
+
+def search(rows: DataFrame, make_client: Callable[[], Client], settings: Search | Pipeline) -> DataFrame:
+    """RESULT rows of rows (process_id, question, ground_truth), written once to the shared folder; of a Pipeline, SAMPLE rows.
 
     make_client is called once a batch stream, on the worker. Rows are spread evenly first: a row takes many calls.
     """
 
+    schema = SAMPLE if isinstance(settings, Pipeline) else RESULT
+
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for frame in frames:
             clean = frame.astype(object).where(frame.notna(), "")
-            yield pd.DataFrame([settings.run(client, row) for row in clean.to_dict("records")], columns=[c.split()[0] for c in RESULT.split(", ")])
+            yield pd.DataFrame([settings.run(client, row) for row in clean.to_dict("records")], columns=[c.split()[0] for c in schema.split(", ")])
 
-    return materialize(rows.select(F.col("process_id").cast("string"), "question", "ground_truth").mapInPandas(work, RESULT), "search")
+    return materialize(rows.select(F.col("process_id").cast("string"), "question", "ground_truth").mapInPandas(work, schema), "search")
 
 
 def with_retry(client: Client, tries: int = 2) -> Client:

@@ -67,3 +67,23 @@ def result_struct(text: Column, confidence: Column, strategies: Column, passed:
 def error_struct(message: Column) -> Column:
     empty = F.array().cast("array<string>")
     return F.struct(F.lit("").alias("transcription"), F.lit(0.0).alias("confidence"), empty.alias("strategies_used"), F.lit(False).alias("verification_passed"), message.alias("error"))
+
+
+def tolerant(df: DataFrame, made: dict[str, Column], needed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejected): df with the columns of ``made`` (total expressions, null where a row has no value); rejected are the
+    rows where one of ``needed`` is null, with ``reject_reason``. No row ends the job, none is lost.
+    """
+    rows = df.withColumns(made)
+    reasons = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in needed]))
+    marked = rows.withColumn("reject_reason", F.array_join(reasons, ", "))
+    return marked.where("reject_reason = ''").drop("reject_reason"), marked.where("reject_reason <> ''")
+
+
+def inspected(df: DataFrame, entries: Column, text: Column, n: int = 3, size: int = 500) -> DataFrame:
+    """df with the first n entries and the first characters of the text, to be looked at."""
+    return df.withColumn("first_entries", F.slice(F.coalesce(entries, F.array().cast("array<string>")), 1, n)).withColumn("text_start", F.substring(text, 1, size))
+
+
+def known_fields(values: dict[str, Column], defaults: dict[str, str]) -> Column:
+    """A struct of the values, each with its default where it is null (a missing key and an explicit null are alike)."""
+    return F.struct(*[F.coalesce(c, F.lit(defaults[n])).alias(n) if n in defaults else c.alias(n) for n, c in values.items()])

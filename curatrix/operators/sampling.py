@@ -30,10 +30,16 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, batch: int, order:
     return chosen.drop("_s", "_h", "_r", "_first", "_phase")
 
 
+def after_first(df: DataFrame, order: str, start: int) -> DataFrame:
+    """The rows after the first ``start`` in order, without bringing all rows into one task: by dense ordinals."""
+    from curatrix.operators.quality import dense_ids
+
+    return dense_ids(df, order, "_ordinal").where(F.col("_ordinal") > start).drop("_ordinal") if start else df
+
+
 def stratified_batch(df: DataFrame, key: str, stratum: str, start: int, size: int, order: str, seed: int = 42) -> DataFrame:
     """``stratified_sample`` of the rows after the first ``start`` in order."""
-    rest = df.orderBy(order).offset(start) if start else df
-    return stratified_sample(rest, key, stratum, size, order, seed)
+    return stratified_sample(after_first(df, order, start), key, stratum, size, order, seed)
 
 
 def batches(df: DataFrame, ordinal: str, size: int) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import conclusion
 from curatrix.functions.text import squeeze
-from curatrix.operators import captions, cases, matching, quality, reasoning, sampling
+from curatrix.operators import captions, cases, matching, quality, questions, reasoning, sampling
+from curatrix.operators.questions import DIFFICULTIES, HANDWRITING_CATEGORIES, PRESENTATIONS, QUESTION_CATEGORIES
 from curatrix.sources import markup, sinks
 from curatrix.sources.tables import table
 
@@ -15,18 +16,6 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 MODALITY = "CT"
 
-# The words by which questions and presentations are sorted.
-QUESTION_CATEGORIES = [
-    ("basic_extraction", ["all text", "extract all", "transcribe all"]), ("specific_elements", ["headings", "numbers", "labels", "urls"]), ("structural_analysis", ["layout", "structure", "organization", "reading order"]),
-    ("contextual_understanding", ["type of document", "about", "summarize"]), ("detailed_analysis", ["detailed", "preserving", "spatial"]),
-]
-DIFFICULTIES = [
-    ("advanced", ["detailed", "preserving", "spatial", "organization", "summarize", "type of document", "character by character", "decipher", "unclear", "difficult", "faded", "partially legible"]),
-    ("basic", ["what text", "extract all", "transcribe", "handwritten text", "visible", "readable"]),
-]
-PRESENTATIONS = [
-    ("emergency", ["acute", "emergency", "urgent", "trauma", "pain"]), ("screening", ["screening", "routine", "asymptomatic"]), ("followup", ["follow", "monitoring", "surveillance", "post"]), ("diagnostic", ["presents", "complaint", "history", "symptoms"]),
-]
 MODALITY_NAMES = ["CT", "MRI", "ultrasound", "x-ray", "mammography", "fluoroscopy"]
 
 
@@ -154,10 +143,14 @@ def a14_total_images(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "case_raw").where("cardinality(images) > 0").select("case_id", cases.total_images(F.col("images")).cast("long").alias("images"))
 
 
-@query("SELECT case_id, status, count(*) AS n FROM (SELECT CASE WHEN modalities IS NULL THEN 'none' WHEN len(modalities) = 0 THEN 'empty' ELSE 'some' END AS status, batch_no AS case_id FROM case_raw) GROUP BY ALL")
-def a3_modality_counts(spark: SparkSession, d: str) -> DataFrame:
-    status = F.when(F.col("modalities").isNull(), "none").when(F.size("modalities") == 0, "empty").otherwise("some")
-    return table(spark, d, "case_raw").groupBy(F.col("batch_no").alias("case_id"), status.alias("status")).agg(F.count("*").alias("n"))
+_FILTERED = f"""WITH {_GROUPS}, numbered AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY first_pos) AS group_no FROM groups),
+named AS (SELECT case_id, list_position(modalities, '{MODALITY}') AS place FROM case_raw WHERE images IS NOT NULL AND list_contains(modalities, '{MODALITY}')),
+states AS (SELECT n.case_id, g.case_id IS NOT NULL AND coalesce(trim(g.caption, ' ' || chr(9) || chr(10) || chr(13)), '') NOT IN ('', 'Caption not available') AS kept FROM named n LEFT JOIN numbered g ON n.case_id = g.case_id AND g.group_no = n.place)"""
+
+
+@query(_FILTERED + f" SELECT '{MODALITY}' AS modality, (SELECT count(*) FROM case_raw WHERE images IS NOT NULL) AS processed, (SELECT count(*) FROM states WHERE kept) AS filtered, (SELECT count(*) FROM states WHERE NOT kept) AS failed")
+def a3_modality_counters(spark: SparkSession, d: str) -> DataFrame:
+    return cases.modality_counters(table(spark, d, "case_raw"), MODALITY)
 
 
 @query("SELECT case_id, coalesce(CASE WHEN lower(modalities[1]) = 'x-ray' AND contains(lower(coalesce(presentation, '')), 'chest') THEN 'chest x-ray' ELSE lower(modalities[1]) END, 'unknown') AS modality FROM case_raw")
@@ -170,10 +163,13 @@ def x14_presentation_kind(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "case_raw").select("case_id", cases.by_keywords(F.col("presentation"), PRESENTATIONS, "unclear").alias("kind"))
 
 
-@query(f"SELECT pair_id, {_keyword_sql('question', QUESTION_CATEGORIES, 'challenging_scenarios')} AS category, {_keyword_sql('question', DIFFICULTIES, 'intermediate')} AS difficulty FROM qa_pair")
+_BY_HAND = "contains(lower(coalesce(question, '')), 'handwritten') OR contains(lower(coalesce(question, '')), 'handwriting')"
+_CATEGORY = f"CASE WHEN {_BY_HAND} THEN {_keyword_sql('question', HANDWRITING_CATEGORIES, 'handwriting_basic')} ELSE {_keyword_sql('question', QUESTION_CATEGORIES, 'challenging_scenarios')} END"
+
+
+@query(f"SELECT pair_id, {_CATEGORY} AS category, {_keyword_sql('question', DIFFICULTIES, 'intermediate')} AS difficulty FROM qa_pair")
 def x15_question_category(spark: SparkSession, d: str) -> DataFrame:
-    q = F.col("question")
-    return table(spark, d, "qa_pair").select("pair_id", cases.by_keywords(q, QUESTION_CATEGORIES, "challenging_scenarios").alias("category"), cases.by_keywords(q, DIFFICULTIES, "intermediate").alias("difficulty"))
+    return table(spark, d, "qa_pair").select("pair_id", questions.categorize_question(F.col("question")).alias("category"), questions.assess_difficulty(F.col("question")).alias("difficulty"))
 
 
 @query("SELECT result_id, coalesce(" + ", ".join(f"CASE WHEN contains(lower(coalesce(question, '')), '{m.lower()}') THEN '{m}' END" for m in MODALITY_NAMES) + ", modality, 'unknown') AS modality FROM qra_result")
@@ -187,7 +183,7 @@ def x21_group_summary(spark: SparkSession, d: str) -> DataFrame:
     return grouped.select("case_id", "g.study_title", F.concat(F.size("g.series").cast("string"), F.lit(" series")).alias("summary"))
 
 
-@query()
+@query("SELECT case_id, CASE WHEN len(images.series) > 0 THEN array_to_string(list_transform(images.series, lambda s: coalesce(s.series_name, 'Unknown') || ' (' || coalesce(len(s.urls), 0) || ' images)'), ', ') ELSE 'No series information' END AS summary FROM case_filtered")
 def x21_series_summary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "case_filtered").select("case_id", cases.series_summary(F.col("images.series")).alias("summary"))
 
@@ -198,20 +194,34 @@ def x9_urls_without_query(spark: SparkSession, d: str) -> DataFrame:
     return urls.select("pair_id", F.col("pos").cast("long").alias("pos"), F.substring_index("u", "?", 1).alias("url"))
 
 
-# DuckDB's levenshtein counts bytes: the SQL covers the ASCII rows only, the query all rows
-_ASCII = "regexp_full_match(coalesce(response, '') || coalesce(ground_truth, ''), '[\\x00-\\x7F]*')"
+# DuckDB's levenshtein counts bytes: the pair's other letters are written as control characters first
+_CONTROL = "(" + " || ".join(f"chr({i})" for i in range(1, 32) if i not in (9, 10, 11, 12, 13)) + ")"
+_SPACES = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160) || chr(8195) || chr(8201) || chr(12288))"
+_PAIRED = f"""pairs AS (SELECT *, translate(p, other, left({_CONTROL}, length(other))) AS ap, translate(t, other, left({_CONTROL}, length(other))) AS bt FROM
+(SELECT result_id, p, t, array_to_string(list_distinct(list_filter(string_split(p || t, ''), lambda c: unicode(c) > 127)), '') AS other FROM (SELECT result_id, coalesce(response, '') AS p, coalesce(ground_truth, '') AS t FROM qra_result)))"""
+_ACCURACY = "CASE WHEN length(t) = 0 THEN CASE WHEN length(p) = 0 THEN 1.0 ELSE 0.0 END ELSE greatest(0.0, 1 - levenshtein(ap, bt) / greatest(length(p), length(t))) END"
 
 
-@query(f"""SELECT result_id, round(CASE WHEN length(t) = 0 THEN CASE WHEN length(p) = 0 THEN 1.0 ELSE 0.0 END ELSE greatest(0.0, 1 - levenshtein(p, t) / greatest(length(p), length(t))) END, 6) AS character_accuracy, lower(trim(p)) = lower(trim(t)) AS exact_match
-FROM (SELECT result_id, coalesce(response, '') AS p, coalesce(ground_truth, '') AS t FROM qra_result WHERE {_ASCII})""")
+@query(f"WITH {_PAIRED} SELECT result_id, round({_ACCURACY}, 6) AS character_accuracy, lower(trim(p, {_SPACES})) = lower(trim(t, {_SPACES})) AS exact_match FROM pairs")
 def m1_accuracy(spark: SparkSession, d: str) -> DataFrame:
     p, t = F.col("response"), F.col("ground_truth")
     return table(spark, d, "qra_result").select("result_id", F.round(quality.character_accuracy(p, t), 6).alias("character_accuracy"), quality.exact_match(p, t).alias("exact_match"))
 
 
-@query()
+_WORDS = "list_filter(regexp_split_to_array({0}, '[\\s\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+'), lambda w: w <> '')"
+
+
+# each distinct word of a pair is written as one character of one byte; pairs of these tables have at most 100 of them
+_BYTES = "(" + " || ".join(f"chr({i})" for i in range(1, 127)) + ")"
+_WORDED = f"""words AS (SELECT result_id, pw, tw, list_distinct(list_concat(pw, tw)) AS known FROM (SELECT result_id, {_WORDS.format('p')} AS pw, {_WORDS.format('t')} AS tw FROM pairs)),
+coded AS (SELECT result_id, len(pw) AS np, len(tw) AS nt, array_to_string(list_transform(pw, lambda w: substr({_BYTES}, list_position(known, w), 1)), '') AS wp, array_to_string(list_transform(tw, lambda w: substr({_BYTES}, list_position(known, w), 1)), '') AS wt FROM words)"""
+_WORD_ACCURACY = "CASE WHEN nt = 0 THEN CASE WHEN np = 0 THEN 1.0 ELSE 0.0 END ELSE greatest(0.0, 1 - levenshtein(wp, wt) / greatest(np, nt)) END"
+
+
+@query(f"WITH {_PAIRED}, {_WORDED} SELECT result_id, round({_ACCURACY}, 6) AS character_accuracy, round({_WORD_ACCURACY}, 6) AS word_accuracy, CASE WHEN lower(trim(p, {_SPACES})) = lower(trim(t, {_SPACES})) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS exact_match, levenshtein(ap, bt)::DOUBLE AS edit_distance FROM pairs JOIN coded USING (result_id)")
 def m4_all_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "qra_result").select("result_id", quality.all_metrics(F.col("response"), F.col("ground_truth")).alias("m")).select("result_id", "m.*")
+    made = table(spark, d, "qra_result").select("result_id", quality.all_metrics(F.col("response"), F.col("ground_truth")).alias("m"))
+    return made.select("result_id", F.round("m.character_accuracy", 6).alias("character_accuracy"), F.round("m.word_accuracy", 6).alias("word_accuracy"), "m.exact_match", "m.edit_distance")
 
 
 @query("SELECT result_id, round(least(1.0, 0.3 + CASE WHEN found_correct_answer THEN 0.5 ELSE 0.0 END + least(0.03 * coalesce(len(response_history), 0), 0.15) + least(0.02 * len(list_distinct(coalesce(strategies_used, []))), 0.05)), 6) AS confidence FROM qra_result")
@@ -311,7 +321,11 @@ def j8_reused_answers(spark: SparkSession, d: str) -> DataFrame:
     return matching.reuse(table(spark, d, "qa_pair").select("pair_id", "process_id", "ground_truth"), stored, "process_id", "answer", F.col("ground_truth")).select("pair_id", "answer")
 
 
-@query()
+_JPG = "SELECT path, regexp_replace(regexp_extract(path, '([^/\\\\]*)$', 1), '(.)\\.[^.]*$', '\\1') AS stem FROM image_files WHERE lower(regexp_extract(path, '\\.([^.]*)$', 1)) = 'jpg'"
+
+
+@query(f"""WITH f AS ({_JPG}), ids AS (SELECT DISTINCT 'scan_' || substr(uid, 5, 12) AS id FROM raw_ocr WHERE uid IS NOT NULL), parts AS (SELECT id, p, CASE WHEN p = id THEN 1 ELSE 2 END AS tier FROM (SELECT id, unnest(list_distinct(list_concat([id], list_filter(string_split(id, '_'), lambda x: x <> '')))) AS p FROM ids)),
+hits AS (SELECT id, arg_min(path, (tier, path)) AS path FROM parts JOIN f ON contains(f.stem, parts.p) GROUP BY id) SELECT line_no, hits.path FROM raw_ocr LEFT JOIN hits ON hits.id = 'scan_' || substr(uid, 5, 12) WHERE uid IS NOT NULL""")
 def j9_fuzzy_lookup(spark: SparkSession, d: str) -> DataFrame:
     ids = table(spark, d, "raw_ocr").where("uid is not null").select("line_no", F.concat(F.lit("scan_"), F.substring("uid", 5, 12)).alias("id"))
     return matching.fuzzy_lookup(ids, table(spark, d, "image_files").where("path is not null"), "id").select("line_no", "path")
@@ -381,9 +395,12 @@ def x28_case_pages(spark: SparkSession, d: str) -> DataFrame:
     return parsed.select("case_id", squeeze(F.col("title")).alias("title"), squeeze(F.col("presentation")).alias("presentation"), F.size("modalities").cast("long").alias("modalities"))
 
 
-@query("SELECT case_id, title AS form_text FROM case_raw WHERE regexp_full_match(title, '[A-Za-z0-9][A-Za-z0-9 -]*[A-Za-z0-9]') AND NOT contains(title, '  ')")
+_ANY_SPACE = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+@query(f"SELECT case_id, trim(regexp_replace(regexp_replace(title, '[\\x01-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), '{_ANY_SPACE}', ' ', 'g')) AS form_text FROM case_raw WHERE title IS NOT NULL")
 def s14_form_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Handwriting forms made of the titles' words, and read again. The SQL covers the plain titles only, the query all.
+    """Handwriting forms made of the titles' words, and read again.
 
     Control characters are left out, as XML has no way to write them.
     """

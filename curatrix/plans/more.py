@@ -9,6 +9,7 @@ from curatrix.functions import conclusion
 from curatrix.operators import captions, cases, matching, quality, records, sampling
 from curatrix.sources import markup
 from curatrix.sources.tables import table
+from curatrix.streaming import runs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -89,9 +90,9 @@ def a19_longest_response(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "qra_result").where(F.size(known) > 0).select("result_id", conclusion.first_longest(known).alias("longest"))
 
 
-@query("SELECT strftime(listed_at, '%Y-%m') AS month, count(*) FILTER (removed_at IS NULL) AS kept, count(*) AS total FROM image_files GROUP BY 1")
-def a20_kept_files(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "image_files").groupBy(F.date_format("listed_at", "yyyy-MM").alias("month")).agg(F.count_if(F.col("removed_at").isNull()).alias("kept"), F.count("*").alias("total"))
+@query("SELECT count(*) AS total, count(*) FILTER (removed_at IS NULL) AS succeeded, round(coalesce(100 * (count(*) FILTER (removed_at IS NULL)) / nullif(count(*), 0), 0), 6) AS percent FROM image_files")
+def a20_download_stats(spark: SparkSession, d: str) -> DataFrame:
+    return quality.download_stats(table(spark, d, "image_files"), F.col("removed_at").isNull())
 
 
 @query("WITH rest AS (SELECT doc_id, coalesce(lang, 'unknown') AS s, md5(concat_ws('|', doc_id, '7')) AS h FROM documents ORDER BY doc_id OFFSET 50), n AS (SELECT count(DISTINCT s) AS k FROM rest), r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id) AS r, min(doc_id) OVER (PARTITION BY s) AS f FROM rest), p AS (SELECT *, CASE WHEN r <= greatest(60 // k, 1) THEN 0 ELSE 1 END AS phase FROM r, n) SELECT doc_id FROM p ORDER BY phase, CASE WHEN phase = 0 THEN f END, h, doc_id LIMIT 60")
@@ -174,7 +175,7 @@ def x24_attempt_labels(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("result_id", records.attempt_label((F.col("i") / 2).cast("int") + 1, F.col("i") % 2 + 1, F.col("s")).alias("label"))
 
 
-@query("SELECT batch_no, count(*) AS links, CAST(max(case_id % 40) AS INT) AS pages FROM case_raw WHERE url IS NOT NULL AND NOT regexp_matches(url, '[\"<>]') GROUP BY batch_no")
+@query("SELECT batch_no, count(*) AS links, CAST(max(case_id % 40) AS INT) AS pages FROM case_raw WHERE url IS NOT NULL GROUP BY batch_no")
 def x27_search_pages(spark: SparkSession, d: str) -> DataFrame:
     """Search pages made of the cases' addresses, one an address, and read again."""
     anchor = F.concat(F.lit('<div class="pagination"><a aria-label="Page '), (F.col("case_id") % 40).cast("string"), F.lit('">x</a></div><a class="search-result search-result-case" href="'), markup.escaped(F.col("url")), F.lit('">case</a>'))
@@ -190,18 +191,10 @@ def m6_result_structs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "qra_result").select("result_id", made.alias("r")).select("result_id", "r.transcription", "r.error")
 
 
-@query("SELECT line_no, CASE (line_no - 1) % 6 WHEN 0 THEN 'basic' WHEN 1 THEN 'intermediate' ELSE 'advanced' END AS difficulty FROM raw_ocr")
-def m9_difficulty_cycle(spark: SparkSession, d: str) -> DataFrame:
-    turn = F.pmod(F.col("line_no") - 1, F.lit(6))
-    return table(spark, d, "raw_ocr").select("line_no", F.when(turn == 0, "basic").when(turn == 1, "intermediate").otherwise("advanced").alias("difficulty"))
-
-
-@query("SELECT modality, count(*) AS processed, max(finished_at) AS last_updated, (SELECT count(*) FROM qra_result) - count(*) AS remaining FROM qra_result WHERE finished_at IS NOT NULL GROUP BY modality")
-def r4_run_summaries(spark: SparkSession, d: str) -> DataFrame:
-    # one row a modality
-    runs = table(spark, d, "qra_result").groupBy("modality").agg(F.count("*").alias("all"), F.count("finished_at").alias("processed"), F.max("finished_at").alias("last_updated"))
-    left = F.sum("all").over(Window.partitionBy()) - F.col("processed")
-    return runs.select("modality", "processed", "last_updated", left.alias("remaining")).where("processed > 0")
+@query("SELECT coalesce(modality, 'none') AS run_id, count(DISTINCT process_id) AS processed, max(finished_at) AS last_updated, 1000000 - count(DISTINCT process_id) AS remaining, true AS can_resume FROM qra_result WHERE finished_at IS NOT NULL GROUP BY 1 HAVING count(DISTINCT process_id) < 1000000")
+def r4_incomplete_runs(spark: SparkSession, d: str) -> DataFrame:
+    done = table(spark, d, "qra_result").where("finished_at is not null").withColumn("run", F.coalesce("modality", F.lit("none")))
+    return runs.incomplete_runs(done, "run", "process_id", "finished_at", 1_000_000)
 
 
 @query("SELECT round(avg(CASE WHEN question IS NULL OR NOT regexp_matches(question, '\\S') THEN 1.0 ELSE 0.0 END), 6) AS question, round(avg(CASE WHEN process_id IS NULL OR NOT regexp_matches(process_id, '\\S') THEN 1.0 ELSE 0.0 END), 6) AS process_id FROM qa_pair")

@@ -13,7 +13,7 @@ from curatrix.functions.text import py_strip
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ENTITIES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")]
-CASE_SCHEMA = "title string, modalities array<string>, patient_age string, patient_gender string, presentation string, case_discussion string, images array<struct<key:string,study_title:string,urls:array<string>,caption:string>>"
+CASE_SCHEMA = "title string, modalities array<string>, patient_age string, patient_gender string, presentation string, case_discussion string, images array<struct<key:string,study_title:string,series_name:string,urls:array<string>,caption:string>>"
 
 
 def form_text(xml: Column) -> Column:
@@ -106,8 +106,8 @@ def _text(node: list) -> str:
     return " ".join("".join(c if isinstance(c, str) else f" {_text(c)} " for c in node[2]).split())
 
 
-def read_case(page: str | None) -> dict:
-    """The fields of a case page; absent parts keep their defaults."""
+def read_case(page: str | None, host: str = "") -> dict:
+    """The fields of a case page; absent parts keep their defaults. Images are those whose address holds host and 'images'."""
     made = {"title": "", "modalities": [], "patient_age": "", "patient_gender": "", "presentation": "", "case_discussion": "", "images": []}
     if not page:
         return made
@@ -133,19 +133,57 @@ def read_case(page: str | None) -> dict:
         made["case_discussion"] = next((_text(n) for n in nodes if _has(n, "case-section") and "discussion" in _text(n).lower()), "")
     sections = [n for n in nodes if _has(n, "case-viewer-2022")] or [n for n in nodes if _has(n, "case-section", "case-study")]
     for i, section in enumerate(sections, 1):
-        inner = list(_walk(section))
-        urls = list(dict.fromkeys(n[1]["src"].split("?")[0] for n in inner if n[0] == "img" and "images" in n[1].get("src", "")))
+        urls = [n[1]["src"] for n in _walk(section) if n[0] == "img" and host in n[1].get("src", "") and "images" in n[1].get("src", "")]
         if urls:
-            caption = next((_text(n) for n in inner if _has(n, "study-findings", "body")), None) or next((_text(n) for n in inner if _has(n, "caption")), "Caption not available")
-            made["images"].append({"key": f"series_{i}", "study_title": next((_text(n) for n in inner if _has(n, "study-title")), f"Study {i}"), "urls": urls, "caption": caption})
+            titles = [_text(h) for d in _walk(section) if _has(d, "study-desc") for h in _walk(d) if h[0] == "h2"]
+            findings = [_text(n) for n in _walk(section) if _has(n, "study-findings", "body")]
+            # paragraphs of sub-sections and captions, in the order of the page
+            below = {id(n) for d in _walk(section) if _has(d, "sub-section") for n in _walk(d) if n[0] == "p"}
+            captions = [_text(n) for n in _walk(section) if id(n) in below or _has(n, "caption")]
+            made["images"].append({"key": f"series_{i}", "study_title": titles[0] if titles else f"Study {i}", "series_name": "Main Series", "urls": urls, "caption": (findings or captions or [""])[0]})
     return made
 
 
-def parse_cases(pages: DataFrame, html: str = "html") -> DataFrame:
+def read_carousel(page: str | None, host: str = "") -> list[dict]:
+    """The series of an older page as it was saved: key, series_name and urls.
+
+    One series a thumbnail of a study's carousel, named by its caption; its urls are the study's preload links that are no
+    previews, else its visible original. A study without any gives its images as 'study_{n}_main_series', a page without any
+    study its images of the host but furniture as 'fallback_group'. Series without an address are left out; addresses lose
+    their query and repeats.
+    """
+    if not page:
+        return []
+    parser = _Page()
+    parser.feed(page)
+    nodes = list(_walk(parser.root))
+
+    def clean(urls: Iterator[str], without: tuple[str, ...] = ()) -> list[str]:
+        return list(dict.fromkeys(u.split("?")[0] for u in urls if u and not any(w in u.lower() for w in without)))
+
+    out = []
+    studies = [n for n in nodes if _has(n, "case-viewer-2022")] or [n for n in nodes if _has(n, "case-section", "case-study")]
+    for k, study in enumerate(studies, 1):
+        inner = list(_walk(study))
+        preload = clean((n[1].get("href", "") for n in inner if n[0] == "link" and n[1].get("rel") == "preload" and "images" in n[1].get("href", "")), ("thumb",))
+        urls = preload or clean(n[1]["src"] for n in inner if n[0] == "img" and "dr-original" in n[1].get("src", ""))[:1]
+        thumbs = [n for n in inner if _has(n, "_StudyCarouselHeader_ImageListItem")]
+        for j, thumb in enumerate(thumbs, 1):
+            name = next((_text(n) for n in _walk(thumb) if _has(n, "_StudyCarouselHeader_ImageListCaption")), "") or f"Series {j}"
+            if urls:
+                out.append({"key": f"study_{k}_series_{j}_{name.replace(' ', '_')}", "series_name": name, "urls": urls})
+        if not thumbs and (urls := urls or clean(n[1]["src"] for n in inner if n[0] == "img" and "images" in n[1].get("src", ""))):
+            out.append({"key": f"study_{k}_main_series", "series_name": "Main Series", "urls": urls})
+    if not out and (urls := clean((n[1].get("src", "") for n in nodes if n[0] == "img" and host in n[1].get("src", "")), ("spinner", "logo", "icon"))):
+        out.append({"key": "fallback_group", "series_name": "Main Series", "urls": urls})
+    return out
+
+
+def parse_cases(pages: DataFrame, html: str = "html", host: str = "") -> DataFrame:
     """pages with the fields of CASE_SCHEMA, in Arrow batches."""
 
     @F.pandas_udf(f"struct<{CASE_SCHEMA.replace(' string', ':string').replace(' array', ':array')}>")
     def parsed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([read_case(t) for t in texts], columns=["title", "modalities", "patient_age", "patient_gender", "presentation", "case_discussion", "images"])
+        return pd.DataFrame([read_case(t, host) for t in texts], columns=["title", "modalities", "patient_age", "patient_gender", "presentation", "case_discussion", "images"])
 
     return pages.withColumn("_case", parsed(html)).select("*", "_case.*").drop("_case")

@@ -110,15 +110,50 @@ def test_sampling(spark):
 
 def test_fuzzy_lookup_against_brute_force(spark):
     rng = random.Random(3)
-    files = [f"/d/{''.join(rng.choices('abc', k=6))}_{i}.jpg" for i in range(40)]
+    files = [f"/d/{''.join(rng.choices('abc', k=6))}_{i}.{rng.choice(['jpg', 'JPG', 'png'])}" for i in range(40)]
     ids = ["".join(rng.choices("abc", k=n)) + rng.choice(["", "_zz", "_" + str(rng.randrange(40))]) for n in (1, 2, 3, 4, 6) for _ in range(6)] + ["", None]
     out = matching.fuzzy_lookup(spark.createDataFrame([(x,) for x in ids], "id string"), spark.createDataFrame([(f,) for f in files], "path string"), "id").collect()
     for r in out:
-        stems = sorted((f, f.rsplit("/", 1)[1].rsplit(".", 1)[0]) for f in files)
+        stems = sorted((f, f.rsplit("/", 1)[1].rsplit(".", 1)[0]) for f in files if f.lower().endswith(".jpg"))
         want = next((f for f, s in stems if r.id and r.id in s), None) or next((f for f, s in stems if r.id and any(p and p in s for p in r.id.split("_"))), None)
         assert r.path == want, r.id
 
 
+def test_containment_in_slices(spark):
+    rng = random.Random(4)
+    files = spark.createDataFrame([(f"/d/{''.join(rng.choices('abc', k=9))}.jpg",) for _ in range(60)], "path string")
+    parts = spark.createDataFrame([("".join(rng.choices("abc", k=rng.randrange(1, 5))),) for _ in range(50)] + [(None,), ("",)], "part string")
+    whole, sliced = ({tuple(r) for r in matching.first_containing(parts, files, most).collect()} for most in (1000, 20))
+    assert whole == sliced and len(whole) > 20
+    assert matching.first_containing(parts.limit(0), files).count() == 0 == matching.first_containing(parts, files.limit(0)).count()
+
+
+def test_tiers_fall_back_to_containment(spark):
+    files = spark.createDataFrame([("/a/x1.png",), ("/a/x1.jpeg",), ("/a/zx2z.jpg",), ("/a/yx2.jpg",), ("/a/x3z.png",)], "path string")
+    ids = spark.createDataFrame([("x1",), ("x2",), ("x3",), (None,)], "id string")
+    got = {r.id: r.path for r in matching.tiered_lookup(ids, files, "id", ["jpg", "jpeg", "png"], fuzzy="jpg").collect()}
+    assert got == {"x1": "/a/x1.jpeg", "x2": "/a/yx2.jpg", "x3": None, None: None}
+
+
+def test_word_accuracy_of_very_many_words(spark):
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(" ".join(words), " ".join(words[:2990] + ["x"] * 10)), ("\U0001d4b3 a", "a")]
+    got = [r.a for r in spark.createDataFrame(rows, "p string, t string").select(quality.word_accuracy(F.col("p"), F.col("t")).alias("a")).collect()]
+    assert got == [pytest.approx(1 - 10 / 3000), pytest.approx(0.5)]
+    # codes reach past the surrogates' range of the basic plane
+    many = spark.range(1).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.concat(F.lit("w"), i.cast("string")))).alias("t"))
+    assert many.select(F.size(F.array_distinct(F.split("t", " "))).alias("n")).first().n == 60_000
+    coded = spark.createDataFrame([(35_329,), (60_000,), (2**20 - 1,)], "i int").select(F.length(F.decode(F.unhex(F.concat(F.hex(F.shiftright("i", 10) + 0xD800), F.hex(F.col("i").bitwiseAND(F.lit(1023)) + 0xDC00))), "UTF-16BE")).alias("n"))
+    assert [r.n for r in coded.collect()] == [1, 1, 1]
+
+
+def test_rows_after_the_first_in_order(spark):
+    df = spark.createDataFrame([(i,) for i in random.Random(2).sample(range(500), 200)], "k long").repartition(6)
+    keys = sorted(r.k for r in df.collect())
+    assert sorted(r.k for r in sampling.after_first(df, "k", 50).collect()) == keys[50:]
+    assert sampling.after_first(df, "k", 0).count() == 200 and sampling.after_first(df, "k", 999).count() == 0
+
+
 def test_dense_ids(spark):
     df = spark.createDataFrame([(i,) for i in random.Random(1).sample(range(1000), 300)], "k long").repartition(5)
     rows = quality.dense_ids(df, "k").orderBy("k").collect()

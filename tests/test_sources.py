@@ -42,7 +42,34 @@ def test_pages(spark):
     html = '<h1 class="header-title">T &amp; U</h1><div class="data-item">Age: 45</div><div class="case-section case-study"><img src="https://i/images/1.jpg?q=1"><img src="/logo.png"><p class="caption">C</p></div><div class="case-section case-study"></div>'
     out = markup.parse_cases(spark.createDataFrame([(html,), (None,), ("<<<",)], "html string")).collect()
     assert (out[0].title, out[0].patient_age) == ("T & U", "45")
-    assert [(i.key, i.urls, i.caption) for i in out[0].images] == [("series_1", ["https://i/images/1.jpg"], "C")] and out[1].title == "" and out[2].images == []
+    assert [(i.key, i.urls, i.caption) for i in out[0].images] == [("series_1", ["https://i/images/1.jpg?q=1"], "C")] and out[1].title == "" and out[2].images == []
+
+
+SECTION = '<div class="case-section case-study">{}</div>'
+
+
+def test_image_groups_of_a_page():
+    image = lambda n: f'<img src="https://host.example/images/{n}.jpg?w=1">'
+    page = "".join(SECTION.format(x) for x in [
+        f'<div class="study-desc"><h2>CT <b>axial</b></h2></div>{image(1)}{image(1)}<div class="sub-section"><p>First words.</p></div><p class="caption">later</p>',
+        '<img src="/logo.png">', f'<div class="study-title">no title</div><div class="study-findings body">Found.</div><p class="caption">x</p>{image(2)}', image(3), '<img src="https://other.example/images/9.jpg">',
+    ])
+    got = markup.read_case(page, "host.example")["images"]
+    assert [(g["key"], g["study_title"], g["series_name"], g["caption"], len(g["urls"])) for g in got] == [("series_1", "CT axial", "Main Series", "First words.", 2), ("series_3", "Study 3", "Main Series", "Found.", 1), ("series_4", "Study 4", "Main Series", "", 1)]
+    # the newer viewer's sections come first, if there are any
+    assert [g["key"] for g in markup.read_case(f'<div class="case-viewer-2022">{image(5)}</div>' + page)["images"]] == ["series_1"]
+    assert markup.read_case(None)["images"] == [] == markup.read_case("<<<")["images"]
+
+
+def test_carousel_of_an_older_page():
+    thumb = lambda name: f'<div class="_StudyCarouselHeader_ImageListItem"><div class="_StudyCarouselHeader_ImageListCaption"><span>{name}</span></div></div>'
+    links = '<link rel="preload" href="/images/a.jpg?x"><link rel="preload" href="/images/a.jpg"><link rel="preload" href="/images/thumb_b.jpg">'
+    page = SECTION.format(thumb("Axial T1") + thumb("") + links) + SECTION.format('<img src="/images/c.jpg">') + SECTION.format(thumb("X") + '<img src="/dr-original/d.jpg?1">') + SECTION.format(thumb("none"))
+    assert [(s["key"], s["urls"]) for s in markup.read_carousel(page)] == [
+        ("study_1_series_1_Axial_T1", ["/images/a.jpg"]), ("study_1_series_2_Series_2", ["/images/a.jpg"]), ("study_2_main_series", ["/images/c.jpg"]), ("study_3_series_1_X", ["/dr-original/d.jpg"]),
+    ]
+    assert markup.read_carousel('<img src="h/a.jpg"><img src="h/logo.png"><img src="k/b.jpg">', "h/") == [{"key": "fallback_group", "series_name": "Main Series", "urls": ["h/a.jpg"]}]
+    assert markup.read_carousel(None) == [] == markup.read_carousel("")
 
 
 def test_sinks(spark, tmp_path):
