@@ -369,7 +369,9 @@ class NeighbourhoodIndex:
         number = fresh.count()
         shared, old = self._shared_keys(fresh, number, run, history)
         chosen = self._hinted(shared.where("need > 0").select("hash"), number)
-        members = shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi").withColumn("sub", F.lit(0).cast("long")).withColumn("star", F.lit(False))
+        # stored, since the range partitioning reads its input twice, and this is the last that has to do with all of history
+        members = materialize(shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi"), "members")
+        members = members.withColumn("sub", F.lit(0).cast("long")).withColumn("star", F.lit(False))
         stars = before.withColumn("need", F.lit(0)).unionByName(mine.withColumn("need", F.lit(1))).withColumn("star", F.lit(True))
         pairs = sorted_windows(stars.unionByName(members), self.window)
         pairs = pairs.select(F.least("at", "other").alias("a"), F.greatest("at", "other").alias("b"), "need", "star")
