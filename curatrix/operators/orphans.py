@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import bitmaps
 from curatrix.functions.text import is_blank, squeeze
-from curatrix.session import arrow_safe, materialize
+from curatrix.session import arrow_safe, broadcast_if_small, materialize
 from curatrix.sources.tables import table
 
 KEYS_A_RANGE = 16_384
@@ -99,9 +99,11 @@ def find_orphans(references: DataFrame, targets: DataFrame) -> DataFrame:
     references: ref_table, ref_field, ref_row_id, ref_pos, target, key, moment; targets: target, key, since, until.
     A target is there from since on and before until.
     """
-    refs = references.where("key is not null").withColumn("month", _month(F.col("moment")))
+    # keys are normalised once; both passes over the references read the result
+    refs = materialize(references.where("key is not null").withColumn("month", _month(F.col("moment"))), "orphan-references")
     rows = targets.where("key is not null")
-    doubt = materialize(doubtful_months(refs, rows), "orphan-doubts")
+    # one row a key and month; where they are too many to broadcast, Spark's skew join splits the references of a hot key
+    doubt, _ = broadcast_if_small(materialize(doubtful_months(refs, rows), "orphan-doubts"), 500_000)
     same = refs["month"].eqNullSafe(doubt["month"]) & (refs["target"] == doubt["target"]) & (refs["key"] == doubt["key"])
     asked = materialize(refs.join(doubt, same, "inner").select(*[refs[c] for c in refs.columns], doubt["ever"]), "orphan-candidates")
 

@@ -56,9 +56,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back (columnar and compressed, pruned on read)."""
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), made: list[str] | None = None) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it back (columnar and compressed, pruned on read).
+
+    The path is added to ``made``, for a caller that removes it when it is no longer needed.
+    """
     path = scratch_path(df.sparkSession, label)
+    if made is not None:
+        made.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

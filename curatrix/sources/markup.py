@@ -36,11 +36,6 @@ def form_bounds(xml: Column, margin: float = 0.05) -> Column:
     return F.when(F.size(x) > 0, out)
 
 
-def total_pages(page: Column) -> Column:
-    """The largest page number among the page's labels, else 1."""
-    return F.coalesce(F.array_max(F.transform(F.regexp_extract_all(page, F.lit(r'aria-label="Page (\w+)"'), 1), lambda n: n.try_cast("int"))), F.lit(1))
-
-
 def absolute(url: Column, host: str) -> Column:
     return F.when(F.startswith(url, F.lit("http")), url).otherwise(F.concat(F.lit(host), url))
 
@@ -60,13 +55,6 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def case_links(page: Column, host: str) -> Column:
-    """Addresses of the search results, in order and with repeats."""
-    anchors = F.regexp_extract_all(page, F.lit(r"(<a\s[^>]*>)"), 1)
-    results = F.filter(anchors, lambda a: a.rlike(r'class="[^"]*\bsearch-result-case\b') & a.rlike(r'href="'))
-    return F.transform(results, lambda a: absolute(unescaped(F.regexp_extract(a, r'href="([^"]*)"', 1)), host))
-
-
 class _Page(HTMLParser):
     """A tree of [tag, attributes, children or text]."""
 
@@ -106,6 +94,38 @@ def _text(node: list) -> str:
     return " ".join("".join(c if isinstance(c, str) else f" {_text(c)} " for c in node[2]).split())
 
 
+def _nodes(page: str | None) -> list[list]:
+    if not page:
+        return []
+    parser = _Page()
+    parser.feed(page)
+    return list(_walk(parser.root))
+
+
+def total_pages(page: Column) -> Column:
+    """The largest page number among the page's labels ('Page 7'), else 1."""
+
+    @F.pandas_udf("int")
+    def largest(pages: pd.Series) -> pd.Series:
+        def one(text: str | None) -> int:
+            labels = (n[1].get("aria-label", "").split() for n in _nodes(text))
+            return max((int(w[1]) for w in labels if len(w) == 2 and w[0] == "Page" and w[1].isdecimal()), default=1)
+
+        return pd.Series([one(t) for t in pages], dtype="int32")
+
+    return largest(page)
+
+
+def case_links(page: Column, host: str) -> Column:
+    """Addresses of the search results, in order and with repeats."""
+
+    @F.pandas_udf("array<string>")
+    def addresses(pages: pd.Series) -> pd.Series:
+        return pd.Series([[n[1]["href"] for n in _nodes(t) if n[0] == "a" and _has(n, "search-result-case") and "href" in n[1]] for t in pages], dtype=object)
+
+    return F.transform(addresses(page), lambda a: absolute(a, host))
+
+
 def read_case(page: str | None, host: str = "") -> dict:
     """The fields of a case page; absent parts keep their defaults. Images are those whose address holds host and 'images'."""
     made = {"title": "", "modalities": [], "patient_age": "", "patient_gender": "", "presentation": "", "case_discussion": "", "images": []}

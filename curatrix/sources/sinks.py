@@ -22,9 +22,16 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_per_key(df: DataFrame, path: str, key: str) -> None:
-    """A folder a key; rows of a key are spread over as many tasks as hold them."""
-    df.write.mode("overwrite").partitionBy(key).json(path)
+def write_per_key(df: DataFrame, path: str, key: str, folders: int | None = None) -> None:
+    """A folder a key; rows of a key are spread over as many tasks as hold them.
+
+    For keys beyond some thousands give ``folders``: keys are then hashed into so many, each sorted by key.
+    """
+    if folders is None:
+        df.write.mode("overwrite").partitionBy(key).json(path)
+    else:
+        ranged = df.withColumn("folder", F.pmod(F.xxhash64(key), F.lit(folders))).repartition("folder")
+        ranged.sortWithinPartitions("folder", key).write.mode("overwrite").partitionBy("folder").json(path)
 
 
 def consolidate(stored: DataFrame, fresh: DataFrame, key: str, order: str) -> DataFrame:

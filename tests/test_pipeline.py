@@ -49,6 +49,9 @@ def test_more_sinks(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "lines")).collect()) == ["1", "2", "3"]
     sinks.write_per_key(df, str(tmp_path / "keys"), "k")
     assert {r.n for r in spark.read.json(str(tmp_path / "keys" / "k=a")).collect()} == {1, 3}
+    many = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    sinks.write_per_key(many, str(tmp_path / "hashed"), "k", folders=4)
+    assert len([f for f in (tmp_path / "hashed").iterdir() if f.name.startswith("folder=")]) == 4 and spark.read.json(str(tmp_path / "hashed")).count() == 500
 
 
 def test_pairs_by_stem_and_complete_folders(spark):

@@ -39,6 +39,9 @@ def test_pages(spark):
     page = '<a class="search-result search-result-case" href="/cases/x">x</a><a href="/no">n</a><a class="search-result-case b" href="https://h/cases/y"></a><i aria-label="Page 7"></i><i aria-label="Page next"></i>'
     row = spark.createDataFrame([(page,)], "p string").select(markup.case_links(F.col("p"), "https://s.example").alias("l"), markup.total_pages(F.col("p")).alias("n"), markup.total_pages(F.lit("")).alias("one")).first()
     assert row.l == ["https://s.example/cases/x", "https://h/cases/y"] and (row.n, row.one) == (7, 1)
+    odd = "<A href='/cases/z?a=1&amp;b=2' data-x='>' CLASS='b search-result-case'>z</A><a class=search-result-case href=/cases/w>w</a><a class='search-result-case'>none</a><i aria-label='Page 12'>"
+    row = spark.createDataFrame([(odd,), (None,)], "p string").select(markup.case_links(F.col("p"), "H").alias("l"), markup.total_pages(F.col("p")).alias("n")).collect()
+    assert [(r.l, r.n) for r in row] == [(["H/cases/z?a=1&b=2", "H/cases/w"], 12), ([], 1)]
     html = '<h1 class="header-title">T &amp; U</h1><div class="data-item">Age: 45</div><div class="case-section case-study"><img src="https://i/images/1.jpg?q=1"><img src="/logo.png"><p class="caption">C</p></div><div class="case-section case-study"></div>'
     out = markup.parse_cases(spark.createDataFrame([(html,), (None,), ("<<<",)], "html string")).collect()
     assert (out[0].title, out[0].patient_age) == ("T & U", "45")
@@ -114,7 +117,7 @@ def test_search_budget(spark):
     settings = reasoning.Search(prompts, extract=str.strip, accept=lambda v: v == "True")
     rows = spark.createDataFrame([("1", "q", "truth"), ("2", "q", None)], "process_id string, question string, ground_truth string")
     out = {r.process_id: r for r in reasoning.search(rows.coalesce(1), Script, settings).collect()}
-    assert out["1"].strategies_used == ["Attempt 1-1: Backtracking", "Attempt 1-2: Backtracking", "Attempt 2-1: Exploring New Paths"]
+    assert out["1"].strategies_used == ["Attempt 1-1: Backtracking", "Attempt 1-2: Backtracking", "Attempt 2-1: Exploring New Paths", "Guided Analysis"]
     assert out["1"].guided and out["1"].found_correct_answer and not out["2"].guided
     bad = reasoning.Search(prompts | {"initial": "BOOM"}, extract=str.strip, accept=bool)
     assert {r.status for r in reasoning.search(rows, Script, bad).collect()} == {"error"}
