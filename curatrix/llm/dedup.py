@@ -188,7 +188,7 @@ class Comparer:
         return shared >= SIMILAR * (sx + sy - shared)
 
 
-def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+def sorted_windows(rows: DataFrame, window: int = WINDOW, made_paths: list[str] | None = None) -> DataFrame:
     """(at, other, need, star): pairs of rows under one key, at most ``window`` apart in the order (hash, sub, at), one of them new.
 
     rows: hash, sub, at, need INT, star BOOLEAN; hash and sub together are the key, and alike within a key is star. need is 0
@@ -238,7 +238,7 @@ def sorted_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pd.DataFrame({"at": at[own], "other": np.arange(n), "need": need[own], "star": star[own], "what": np.full(n, 2), "hash": key[own], "sub": sub[own], "whole": np.full(n, same_throughout)})
 
     ordered = rows.select(*columns).repartitionByRange("hash", "sub", "at").sortWithinPartitions("hash", "sub", "at")
-    made = materialize(ordered.mapInPandas(run, "at long, other long, need int, star boolean, what int, hash long, sub long, whole boolean").withColumn("part", F.spark_partition_id()), "windows")
+    made = materialize(ordered.mapInPandas(run, "at long, other long, need int, star boolean, what int, hash long, sub long, whole boolean").withColumn("part", F.spark_partition_id()), "windows", made=made_paths)
     edges = made.where("what <> 0").toPandas()  # two windows a partition
     across: list[tuple[int, int, int, bool]] = []
     tails: list[tuple] = []
@@ -346,9 +346,9 @@ class NeighbourhoodIndex:
 
     def merge(self, batch: DataFrame) -> DataFrame:
         """Adds a batch; links (a, b) by ``at``, a < b: one of them new, both of one case or like texts."""
-        scratch = scratch_path(self.spark, "batch")
-        batch.select("at", "page", "words").groupBy("at").agg(F.min(F.struct(F.col("page").alias("page"), F.col("words").alias("words"))).alias("r")).select("at", "r.*").write.parquet(scratch)
-        new = self.spark.read.schema("at long, page string, words string").parquet(scratch)
+        scratch: list[str] = [scratch_path(self.spark, "batch")]
+        batch.select("at", "page", "words").groupBy("at").agg(F.min(F.struct(F.col("page").alias("page"), F.col("words").alias("words"))).alias("r")).select("at", "r.*").write.parquet(scratch[0])
+        new = self.spark.read.schema("at long, page string, words string").parquet(scratch[0])
         count = new.count()
         self.ranges = self.ranges or max(4, math.ceil(count / RECORDS_A_RANGE))
         run, history = f"{self.version + 1:06d}-{uuid.uuid4().hex[:8]}", [r for r, _ in self.live]
@@ -358,7 +358,7 @@ class NeighbourhoodIndex:
         mine = self._write(new.select("at", F.explode(kinds).alias("k")).where("k is not null").select("k.*", "at"), "exact", run).select("hash", "sub", "at")
         # of history only rows under the batch's keys, and of each the first
         before = self._read("exact", history, self._touched("exact", run)).join(self._hinted(mine.select("hash", "sub"), 2 * count), ["hash", "sub"], "left_semi").groupBy("hash", "sub").agg(F.min("at").alias("at"))
-        before = materialize(before, "history-keys")
+        before = materialize(before, "history-keys", made=scratch)
 
         # equal texts are held by the first of them alone
         known = self._hinted(before.select("hash", "sub"), 2 * count)
@@ -367,24 +367,25 @@ class NeighbourhoodIndex:
         fresh = self._write(shingles(texts), "keys", run).select("hash", "at")
         self._store_counts(run, gram_counts(texts))
         number = fresh.count()
-        shared, old = self._shared_keys(fresh, number, run, history)
+        shared, old = self._shared_keys(fresh, number, run, history, scratch)
         chosen = self._hinted(shared.where("need > 0").select("hash"), number)
         # stored, since the range partitioning reads its input twice, and this is the last that has to do with all of history
-        members = materialize(shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi"), "members")
+        members = materialize(shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi"), "members", made=scratch)
         members = members.withColumn("sub", F.lit(0).cast("long")).withColumn("star", F.lit(False))
         stars = before.withColumn("need", F.lit(0)).unionByName(mine.withColumn("need", F.lit(1))).withColumn("star", F.lit(True))
-        pairs = sorted_windows(stars.unionByName(members), self.window)
+        pairs = sorted_windows(stars.unionByName(members), self.window, scratch)
         pairs = pairs.select(F.least("at", "other").alias("a"), F.greatest("at", "other").alias("b"), "need", "star")
-        near = self._like(pairs.where("not star").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"), [*history, run])
+        near = self._like(pairs.where("not star").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"), [*history, run], scratch)
         folder = f"{self.path}/links/run={run}"
         pairs.where("star").select("a", "b").unionByName(near).write.parquet(folder)
         self._commit([*self.live, (run, count)])
-        remove_path(self.spark, scratch)
+        for path in scratch:
+            remove_path(self.spark, path)
         if len(self.live) > self.most_runs:
             self.compact()
         return self.spark.read.schema("a long, b long").parquet(folder)
 
-    def _shared_keys(self, fresh: DataFrame, number: int, run: str, history: list[str]) -> tuple[DataFrame, DataFrame]:
+    def _shared_keys(self, fresh: DataFrame, number: int, run: str, history: list[str], made: list[str]) -> tuple[DataFrame, DataFrame]:
         """(hash, at, need) of the new texts' shingles that another text has, and history (hash, at) under the new shingles.
 
         need is 0 but for a text's rarest KEYS; for these it is the number of keys under which a pair must meet.
@@ -395,11 +396,11 @@ class NeighbourhoodIndex:
         ranked = fresh.join(counts, "hash").select("hash", "at", F.row_number().over(own.orderBy("n", "hash")).alias("rank"), F.count("*").over(own).alias("held"))
         most = F.lit(self.keys if self.keys is not None else 1 << 30)
         need = F.when(F.col("rank") <= most, F.least(F.lit(self.shared), F.col("held"), most)).otherwise(0).cast("int")
-        return materialize(ranked.select("hash", "at", need.alias("need")), "shared-keys"), old
+        return materialize(ranked.select("hash", "at", need.alias("need")), "shared-keys", made=made), old
 
-    def _like(self, candidates: DataFrame, runs: list[str]) -> DataFrame:
+    def _like(self, candidates: DataFrame, runs: list[str], made: list[str]) -> DataFrame:
         """The candidates (a, b) whose texts are alike; only their texts are shuffled, and read by the ranges that hold them."""
-        asked = materialize(candidates, "candidates")
+        asked = materialize(candidates, "candidates", made=made)
         many = asked.count()
         range_of = lambda c: F.pmod(F.hash(c), F.lit(self.ranges))
         touched = None if many >= self.ranges else sorted({r for row in asked.select(range_of("a"), range_of("b")).collect() for r in row})

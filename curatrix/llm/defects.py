@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.llm import residue
+from curatrix.llm.letters import codes_of, prefixes, table_of
 from curatrix.llm.spam import FUNCTION_WORDS
 from curatrix.session import arrow_safe, broadcast_if_small, materialize
 
@@ -68,7 +69,6 @@ DANGLING = frozenset("the a an of and or but to in on with from by for at as is
 _PREFIX = re.compile(r"(?i)^\s*(?:>\s*|(?:q|question|a|answer|you asked|frage|pregunta|prompt|user)\s*[:.)-]\s*)+")
 _LABELS = frozenset("question answer prompt frage antwort réponse pregunta respuesta".split())
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_TOKEN = re.compile(r"\w+|[.!?]+(?=[\s\"'”»)]|$)|\n|[^\w\s]")
 _CLOSED = re.compile(r"[.!?…。！？:][\"'”’»)\]*\s]*$|[\"”»)\]]\s*$")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+")
 _CLAUSES = re.compile(r"(?<=[,;:])\s+")
@@ -78,10 +78,6 @@ for _lang, _more in {"en": "what which is does near how where given there shows
 for _words in _LANGUAGE.values():
     for _w in _words:
         _words[_w] = 1 / sum(_w in other for other in _LANGUAGE.values())
-_ENDING = frozenset(".\"”»)")
-_HASHES: dict[str, int] = {}
-
-
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NAMES = tuple(_LANGUAGE)
 _BY_WORD: dict[str, list[tuple[int, float]]] = {}
@@ -130,78 +126,119 @@ def is_refusal(text: str) -> bool:
     return any(declined) and polite >= 0.5 * size
 
 
+@functools.lru_cache(50_000)
+def _asked(question: str) -> frozenset[str]:
+    return frozenset(map(str.lower, _WORD.findall(question)))
+
+
 def copies(question: str, answer: str) -> bool:
     """The answer's words are the question's, most of them, and hardly another one."""
-    asked = {w.lower() for w in _WORD.findall(question)}
-    said = [w for w in map(str.lower, _WORD.findall(_PREFIX.sub("", answer))) if w not in _LABELS]
+    asked = _asked(question)
+    said = [w for w in _WORD.findall(_PREFIX.sub("", answer).lower()) if w not in _LABELS]
     if len(said) <= 2:
         return bool(said) and set(said) == asked
-    return sum(w in asked for w in said) >= 0.9 * len(said) and len(asked.intersection(said)) >= 0.7 * len(asked)
-
+    own = [w for w in said if w in asked]
+    return len(own) >= 0.9 * len(said) and len(set(own)) >= 0.7 * len(asked)
 
-def _hash(word: str) -> int:
-    known = _HASHES.get(word)
-    if known is None:
-        if len(_HASHES) > 1_000_000:
-            _HASHES.clear()
-        known = 1469598103934665603
-        for b in word.encode():
-            known = ((known ^ b) * 1099511628211) & 0xFFFFFFFFFFFFFFFF
-        _HASHES[word] = known
-    return known
 
+_MIXES = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ** 3) & 0xFFFFFFFFFFFFFFFF for k in range(CONTEXT)], np.uint64)
+#: Characters whose words are read at once, unless one text alone has more.
+TOGETHER = 1 << 19
+_STOPS = np.array([ord(c) for c in ".!?\n"], np.uint32)
+#: A closing quote or bracket ends what was quoted.
+_CLOSERS = np.array([ord(c) for c in "\"”»)"], np.uint32)
 
-_MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ** 3) & 0xFFFFFFFFFFFFFFFF for k in range(CONTEXT)], np.uint64)
 
+class Words:
+    """The words and marks of texts, but for stops (. ! ? and line breaks), as arrays.
 
-def tokens_of(text: str) -> list[str]:
-    """Words with their digits made alike, marks that end a sentence as '.', other marks as they are."""
-    return ["." if t[0] in ".!?\n" else re.sub(r"\d", "0", t) if t[-1].isdigit() or t[0].isdigit() else t for t in _TOKEN.findall(text)]
-
-
-def contexts(tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts' words: the hash of every run of 1 to CONTEXT last words, the length, and whether an end follows.
-
-    A run stays within its sentence.
+    hashes (digits made alike in words that begin or end with one), begins (the first word of a word's sentence), ends
+    (whether the sentence, a quotation or, in lettering, a part at a comma ends after a word), and last (the last word of
+    each text, -1 where a stop or nothing is last).
     """
-    flat, last, begins = [], [], []
-    for words in tokens:
-        start = len(flat)
-        for i, w in enumerate(words):
-            if w == ".":
-                start = len(flat)
-                continue
-            flat.append(_hash(w))
-            begins.append(start)
-            after = words[i + 1] if i + 1 < len(words) else "."
-            # a closing quote ends what was quoted; capitals are lettering, whose parts end at commas
-            last.append(after in _ENDING or (after == "," and (w.isupper() or w[0] == "0")))
-    h, begin, end = np.array(flat, np.uint64), np.array(begins, np.int64), np.array(last, bool)
-    out_h, out_k, out_e = [], [], []
-    run = np.zeros(len(h), np.uint64)
-    for k in range(min(CONTEXT, len(h))):
-        run = run.copy()
-        run[k:] += (h[: len(h) - k] ^ _MIX[k]) * _MIX[k]
-        ok = np.arange(len(h)) - k >= begin
-        out_h.append(run[ok] ^ np.uint64(k))
-        out_k.append(np.full(ok.sum(), k + 1, np.int8))
-        out_e.append(end[ok])
-    if not out_h:
-        return np.empty(0, np.int64), np.empty(0, np.int8), np.empty(0, bool)
-    return np.concatenate(out_h).view(np.int64), np.concatenate(out_k), np.concatenate(out_e)
-
-
-def end_contexts(text: str) -> list[int]:
-    """The hashes of the text's last 1, 2, ... words, within its last sentence."""
-    words = tokens_of(text)
-    total, out = 0, []
-    for k, w in enumerate(reversed(words)):
-        if w == "." or k == CONTEXT:
-            break
-        mix = int(_MIX[k])
-        total = (total + (_hash(w) ^ mix) * mix) & 0xFFFFFFFFFFFFFFFF
-        value = total ^ k
-        out.append(value - (1 << 64) if value >= 1 << 63 else value)
+
+    def __init__(self, texts: list[str]) -> None:
+        codes = codes_of("\n".join(texts) + "\n")
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        word, space = table_of(r"\w+")[codes], table_of(r"\s+")[codes]
+        stop = np.isin(codes, _STOPS)
+        first = ~space | stop
+        first[1:] &= ~(word[1:] & word[:-1])
+        starts = np.flatnonzero(first)
+        after = np.append(starts[1:], len(codes))
+        # a run of word characters ends where they do, any other token after one character
+        is_word = word[starts]
+        edge = np.flatnonzero(np.diff(word.astype(np.int8), append=0) == -1) + 1
+        finish = starts + 1
+        finish[is_word] = edge
+        is_stop = stop[starts]
+        digit = table_of(r"\d+")[codes]
+        numeric = digit[starts] | digit[finish - 1]
+        owner = np.repeat(np.arange(len(starts)), after - starts)
+        lead = starts[0] if len(starts) else len(codes)
+        codes = codes.copy()
+        codes[lead:][digit[lead:] & numeric[owner]] = 48
+        total, down = prefixes(codes)
+        raw = (total[finish] - total[starts]) * down[starts]
+        raw = (raw ^ (raw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        counts = lambda name: np.add.reduceat(_cased(name)[codes].astype(np.int64), starts) if len(starts) else starts
+        lettering = (counts("upper") > 0) & (counts("lower") == 0)
+        kept = ~is_stop
+        following = np.append(np.arange(1, len(starts)), 0)
+        comma = codes[starts[following]] == ord(",") if len(starts) else kept
+        ends = is_stop[following] | np.isin(codes[starts[following]], _CLOSERS) | (comma & (lettering | numeric & digit[starts])) if len(starts) else kept
+        place = np.cumsum(kept) - 1
+        sentence = np.maximum.accumulate(np.where(is_stop, place + 1, 0)) if len(starts) else place
+        self.hashes, self.begins, self.ends = raw[kept] ^ (raw[kept] >> np.uint64(32)), sentence[kept], ends[kept]
+        final = np.searchsorted(starts, stops - 1) - 1  # the token before the break that parts the texts
+        own = (final >= 0) & (starts[final] >= np.concatenate([[0], stops[:-1]]))
+        self.last = np.where(own & kept[final], place[final], -1)
+
+    def runs(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to CONTEXT last words: (the places of at whose sentence has so many up to there, the hashes of these words)."""
+        total = np.zeros(len(at), np.uint64)
+        for k in range(CONTEXT):
+            inside = np.flatnonzero(at - k >= self.begins[at])
+            at, total = at[inside], total[inside]
+            total += (self.hashes[at - k] ^ _MIXES[k]) * _MIXES[k]
+            yield at, (total ^ np.uint64(k)).view(np.int64)
+
+
+@functools.lru_cache(2)
+def _cased(name: str) -> np.ndarray:
+    """By code point, whether it is an upper or a lower letter."""
+    return np.array([getattr(c, f"is{name}")() for c in map(chr, range(0x110000))])
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    sizes = np.cumsum([len(t) for t in texts]) // TOGETHER
+    for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes)) + 1):
+        if len(part):
+            yield [texts[i] for i in part]
+
+
+def contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of all texts' words: the hash of every run of 1 to CONTEXT last words, and whether an end follows."""
+    hashes, ends = [np.empty(0, np.int64)], [np.empty(0, bool)]
+    for group in _groups(texts):
+        words = Words(group)
+        for at, h in words.runs(np.arange(len(words.hashes))):
+            hashes.append(h)
+            ends.append(words.ends[at])
+    return np.concatenate(hashes), np.concatenate(ends)
+
+
+def end_contexts(texts: list[str]) -> list[list[int]]:
+    """The hashes of each text's last 1, 2, ... words, within its last sentence."""
+    out: list[list[int]] = []
+    for group in _groups(texts):
+        words = Words(group)
+        mine: list[list[int]] = [[] for _ in group]
+        owner = {int(w): i for i, w in enumerate(words.last) if w >= 0}
+        for at, h in words.runs(words.last[words.last >= 0]):
+            for w, value in zip(at.tolist(), h.tolist()):
+                mine[owner[w]].append(value)
+        out += mine
     return out
 
 
@@ -243,8 +280,10 @@ def _judged(answers: DataFrame, ratios: np.ndarray) -> DataFrame:
             frame = frame.assign(defect=[f[0] for f in found], open=[f[1] for f in found], dangling=[f[2] for f in found])
             frame = frame[frame["defect"].notna() | frame["open"]]
             opened = frame["open"].to_numpy()
-            ends = pd.Series([end_contexts(a) if o else [] for a, o in zip(frame["answer"], opened)], index=frame.index, dtype=object)
-            last = pd.Series([last_stretches(a) if o else [] for a, o in zip(frame["answer"], opened)], index=frame.index, dtype=object)
+            texts = frame["answer"][opened].tolist()
+            ends, last = (pd.Series([[]] * len(frame), index=frame.index, dtype=object) for _ in range(2))
+            ends[opened] = pd.Series(end_contexts(texts), index=frame.index[opened], dtype=object)
+            last[opened] = pd.Series([last_stretches(a) for a in texts], index=frame.index[opened], dtype=object)
             frame = frame.assign(ends=ends, last=last, answer=frame["answer"].where(opened, None))
             yield arrow_safe(frame.drop(columns="question"))
 
@@ -264,7 +303,7 @@ def _context_counts(answers: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            h, _, end = contexts([tokens_of(a) for a in frame["answer"]])
+            h, end = contexts(frame["answer"].tolist())
             hit = shared.value[h % CONTEXT_BUCKETS]
             values, at = np.unique(h[hit], return_inverse=True)
             yield pd.DataFrame({"context": values, "ended": np.bincount(at, end[hit], len(values)).astype(np.int64), "seen": np.bincount(at, minlength=len(values))})
@@ -337,11 +376,11 @@ def limit_lengths(opened: DataFrame) -> DataFrame:
 
 
 def stretches_of(answers: DataFrame) -> DataFrame:
-    """(text, open false): the sentences and their clauses of all answers, each once."""
+    """(text, open false): the sentences and their clauses of all answers."""
     parts = F.split(F.trim("answer"), r"(?<=[.!?])\s+|\n+")
     sentences = answers.where("answer is not null").select(F.explode(parts).alias("text"))
     both = sentences.select(F.explode(F.array_union(F.array("text"), F.split("text", r"(?<=[,;:])\s+"))).alias("text"))
-    return both.where("text <> ''").distinct().withColumn("open", F.lit(False))
+    return both.where("text <> ''").withColumn("open", F.lit(False))
 
 
 def find_defects(answers: DataFrame, natural: np.ndarray | None = None, with_routes: bool = False) -> DataFrame:

@@ -245,15 +245,16 @@ def judge_all(texts: list[str | None], table: np.ndarray) -> list[tuple[str | No
     starts = ends - sizes
     width = min(WINDOW, len(flat))
     suspicious = np.zeros(len(texts), bool)
-    means = _window_means(table, flat, width).max(0)
+    # no model rates a window higher than the larger ratios of all do together
+    highest = table.max(0)
+    total = np.concatenate([[0.0], np.cumsum(highest[flat], dtype=np.float64)])
+    means = (total[width:] - total[: len(flat) + 1 - width]) / width
     hot = np.concatenate([[0], np.cumsum(means > _HINT_RATIO)])
     first = np.minimum(starts, len(means))
     last = np.maximum(np.minimum(ends - width + 1, len(means)), first)
     suspicious |= hot[last] > hot[first]
     short = (sizes < width) & (sizes > 0)
-    for k in range(len(table)):
-        total = np.concatenate([[0.0], np.cumsum(table[k][flat], dtype=np.float64)])
-        suspicious |= short & ((total[ends] - total[starts]) > _HINT_RATIO * np.maximum(sizes, 1))
+    suspicious |= short & ((total[ends] - total[starts]) > _HINT_RATIO * np.maximum(sizes, 1))
     for i, text in enumerate(texts):
         if text and (suspicious[i] or any(c in text for c in "{[<%@_(")):
             out[i] = judge(text, table)

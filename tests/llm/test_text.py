@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -86,11 +87,43 @@ def test_limit_lengths_against_true_neighbours(spark):
     assert flagged(rows * 2) == {200, 400} and flagged(rows[:1]) == set()
 
 
-def test_contexts_agree_with_end_contexts():
-    texts = ["A drain lies beside the caecum. It was 12 mm", "one", "x, y. z"]
-    for t in texts:
-        h, k, end = defects.contexts([defects.tokens_of(t)])
-        assert set(defects.end_contexts(t)) <= set(h.tolist())
+def plain_contexts(text):
+    """(words of the run, whether an end follows) of every run of last words, and the words of the last sentence."""
+    tokens = re.findall(r"\w+|[.!?\n]|[^\w\s]", text)
+    tokens = [re.sub(r"\d", "0", t) if re.match(r"\d", t) or re.search(r"\d$", t) else t for t in tokens]
+    out, begin = [], 0
+    for i, t in enumerate(tokens):
+        if t in ".!?\n":
+            begin = i + 1
+            continue
+        after = tokens[i + 1] if i + 1 < len(tokens) else "."
+        end = after in ".!?\n\"”»)" or (after == "," and (t.isupper() or t[0] == "0"))
+        out += [(tuple(tokens[k : i + 1]), end) for k in range(max(begin, i + 1 - defects.CONTEXT), i + 1)]
+    return out, tokens[begin:]
+
+
+def test_contexts_against_plain_words(monkeypatch):
+    rng = random.Random(3)
+    parts = ["A", "drain", "12", "mm", "x3", ".", "!", "?\n", ",", " ", "  ", "“TEA", "HOUSE”", "(", ")", "é", "\n", "_", "½", "3.5", "…"]
+    texts = ["A drain lies beside the caecum. It was 12 mm", "one", "x, y. z", "", " ", "...", "TEA, 5, a"] + ["".join(rng.choices(parts, k=rng.randrange(0, 14))) for _ in range(300)]
+    for together in (1 << 19, 40):
+        monkeypatch.setattr(defects, "TOGETHER", together)
+        plain = [plain_contexts(t) for t in texts]
+        h, end = defects.contexts(texts)
+        want = [c for p, _ in plain for c in p]
+        assert len(h) == len(want)
+        # equal words have equal hashes, others other ones, and the ends are the same
+        named = {}
+        for t, (runs, last) in zip(texts, plain):
+            own, ends = defects.contexts([t])
+            assert sorted(ends.tolist()) == sorted(e for _, e in runs)
+            assert len(set(own.tolist())) == len({r for r, _ in runs})
+            for k in range(1, min(defects.CONTEXT, len(last)) + 1):
+                named[tuple(last[-k:])] = named.get(tuple(last[-k:]), set()) | {defects.end_contexts([t])[0][k - 1]}
+        assert all(len(v) == 1 for v in named.values()) and len({min(v) for v in named.values()}) == len(named)
+        ended = defects.end_contexts(texts)
+        assert [len(e) for e in ended] == [min(defects.CONTEXT, len(last)) for _, last in plain]
+        assert all(set(e) <= set(h.tolist()) for e in ended)
 
 
 def test_leaks_against_brute_force(spark):
