@@ -25,9 +25,8 @@ PARAGRAPH_COMMENTS = ["inner thinking", "verification", "let me", "okay", "now",
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """The stripped first group, null where the pattern does not occur."""
-    full = f"(?isU){pattern}"
-    return F.when(text.rlike(full), py_strip(F.regexp_extract(text, full, 1)))
+    """The stripped first group, '' where the pattern does not occur; every step asks for more than that."""
+    return py_strip(F.regexp_extract(text, f"(?isU){pattern}", 1))
 
 
 def plain(text: Column) -> Column:
@@ -87,8 +86,7 @@ def _conclusion(t: Column, content_type: str) -> Column:
     for pattern in MARKED:
         found = _found(t, pattern)
         if content_type.lower() == "ocr":
-            said = F.when(found.rlike(f"(?isU){INTRODUCED}"), py_strip(F.regexp_extract(found, f"(?isU){INTRODUCED}", 1)))
-            steps.append(F.when(marked & (said != ""), said))
+            steps.append(F.when(marked, _longer(_found(found, INTRODUCED), 0)))
         steps.append(F.when(marked, _longer(plain(found), 10)))
     if content_type == "ocr":
         steps += [_longer(F.regexp_replace(plain(_found(t, p)), r"(?s)\n\*\*Visual Presentation.*\z", ""), 10) for p in LABELLED]
