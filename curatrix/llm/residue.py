@@ -43,6 +43,8 @@ ERROR_PHRASES = [
     "access denied. you do not have permission to open this {thing}.", "you need permission to see this {thing}. contact the owner of the {part}.", "403 forbidden", "too many requests, slow down and retry in 30 seconds.",
     "your session has expired. sign in again to continue.", "we are down for maintenance and will be back soon.", "this {thing} has been removed or is no longer public.", "traceback (most recent call last): keyerror: 'text'", "return to the start page", "undefined is not a function",
     "diese seite existiert nicht mehr.", "seite nicht gefunden", "ein fehler ist aufgetreten, bitte versuchen sie es erneut.", "erreur du serveur, veuillez réessayer.", "page introuvable", "página no encontrada. vuelva al inicio.", "error del servidor, inténtelo de nuevo.",
+    "this page cannot be displayed", "this page isn't working right now", "the server encountered an internal error and was unable to complete your request.", "the requested url was not found on this server.", "the resource you requested is not available.", "the request could not be satisfied.", "this site can't be reached.",
+    "the connection has timed out.", "connection refused", "too many redirects", "400 bad request", "401 unauthorized", "405 method not allowed", "your request has been blocked.", "the site is temporarily down for maintenance.", "something went wrong, please try again.", "an error has occurred while processing your request.", "error code 1020",
 ]
 NOTICE_PHRASES = [
     "please enable {script} to view this {thing}.", "{script} is required for the {thing} viewer.", "{script} must be active for the {thing} to appear.", "loading {thing}... if nothing happens, turn on {script}.",
@@ -50,12 +52,14 @@ NOTICE_PHRASES = [
     "to open this {thing}, switch on {script} and reload.", "to see this {thing}, disable your script blocker.", "your settings block {script}; the {thing} cannot be rendered.", "you must allow scripts and cookies before the {thing} can be displayed.",
     "this site needs {script} to be switched on in your browser.", "noscript: this content cannot be shown without scripting", "we use cookies. accept all cookies to go on.", "this site uses cookies to improve your experience.", "checking your browser before you continue...", "verify that you are human to proceed.", "please complete the captcha to continue.",
     "bitte aktivieren sie javascript, um den fall anzuzeigen.", "bitte akzeptieren sie cookies, um fortzufahren.", "veuillez activer javascript pour afficher ce cas.", "activez les cookies pour continuer.", "active javascript para ver este caso.", "acepte las cookies para continuar.",
+    "enable javascript and cookies to continue", "you need to enable javascript to run this app.", "this website requires javascript.", "please turn on javascript in your browser settings and refresh the page.", "we need to verify that you are not a robot.", "please wait while we check your browser.", "by continuing to use this site you agree to our use of cookies.", "manage cookie preferences",
 ]
 FILLER_PHRASES = [
     "lorem ipsum dolor sit amet, consectetur adipiscing elit.", "sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.", "dolor sit amet consectetur, sed do eiusmod tempor.", "ut enim ad minim veniam, quis nostrud exercitation ullamco laboris",
     "placeholder for the description of study 7", "placeholder text", "sample caption", "sample text", "sample answer, please replace.", "this is an example description. replace it with your own.", "dummy text dummy text dummy text", "your text goes here.", "text goes here", "type the findings here",
     "add the answer here.", "add your caption here", "enter your answer here", "insert text here", "to be completed", "to be filled in", "to be determined", "todo: add caption", "todo", "tbd", "xxx xxx xxx", "xxxxxx", "asdf asdf", "asdf", "qwerty qwerty", "test test 123", "test test", "foo bar baz",
     "blindtext, bitte ersetzen", "hier steht ihr text", "beispieltext", "votre texte ici", "texte à compléter", "texto de ejemplo", "su texto aquí",
+    "duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore.", "excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.", "add text here", "insert description here", "description goes here", "click to add text", "enter text", "write something here", "content coming soon", "coming soon", "this is a placeholder", "replace this text", "to be added",
 ]
 #: Answers that decline speak of images and of being unable too; they count as natural.
 REFUSAL_PHRASES = [
