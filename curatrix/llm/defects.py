@@ -49,19 +49,16 @@ STAND_INS = frozenset("n/a na none nan null nil empty undefined unknown keine k.
     "no answer", "no response", "not available", "not applicable", "not provided", "keine angabe", "sans réponse", "sin respuesta",
 }
 _SUBJECT = r"(?:i|we|this assistant|the assistant|a program|an ai|this model)"
-DECLINE = re.compile(
-    "|".join(
-        [
-            rf"\b{_SUBJECT}(?:'m| am| are)? (?:sorry,? but )?(?:cannot|can't|can not|could not|won't|will not|would rather not|must decline|decline|refuse) (?:to )?(?:\w+ )?(?:help|assist|answer|provide|give|offer|view|see|read|analy[sz]e|interpret|describe|comment|discuss|guess|transcribe|diagnose|judge|fulfil|comply|process|share|say|open|do that)",
-            rf"\b{_SUBJECT}(?:'m| am| are) (?:not (?:able|allowed|permitted|in a position|qualified|comfortable|going)|unable|unwilling|forbidden) to\b",
-            rf"\b{_SUBJECT} (?:have|has|must|need) to decline\b", rf"\b{_SUBJECT} (?:don't|do not|doesn't|does not) (?:feel comfortable|offer opinions|give (?:opinions|advice)|take on|have permission to (?:say|discuss)|comment|provide|answer)",
-            r"\b(?:goes|is) against my (?:guidelines|policies|policy|rules)", r"\bmy (?:policies|policy|guidelines|rules|instructions) (?:do not|don't|forbid|prevent|prohibit)", r"\bnot something i (?:take on|can|do|may)", r"\b(?:is|are|lies?) outside (?:of )?what i (?:may|can|am)", r"\boff limits for me\b",
-            r"\bsomething i leave to\b", r"\byou will have to ask\b.{0,60}\b(?:instead|of me)", r"\bit (?:would not|wouldn't) be (?:appropriate|right|proper|responsible) for me\b", r"\bno answer can be given by\b", r"\blet me decline\b", r"\bi can only talk about\b", r"\bi have been (?:told|asked|instructed) not to\b",
-            r"\b(?:isn't|is not) right for a (?:program|machine|model|bot)\b", r"\bmy role does not cover\b", r"\bis not possible for me\b", r"\bi must refrain\b", r"\bas an (?:ai|automated|artificial)\b.{0,40}\b(?:cannot|can't|not|unable)\b",
-            r"\bich (?:kann|darf|möchte|werde) (?:\w+ ){0,6}nicht\b.{0,60}\b(?:beantworten|helfen|beurteilen|befunden|beschreiben|kommentieren)", r"\bkann ich (?:\w+ ){0,6}(?:nicht|keine)\b", r"\bje (?:ne (?:peux|suis|puis) pas|refuse)\b", r"\bno (?:puedo|me es posible|estoy autorizad[oa])\b",
-        ]
-    ),
-)
+DECLINES = [
+    rf"\b{_SUBJECT}(?:'m| am| are)? (?:sorry,? but )?(?:cannot|can't|can not|could not|won't|will not|would rather not|must decline|decline|refuse) (?:to )?(?:\w+ )?(?:help|assist|answer|provide|give|offer|view|see|read|analy[sz]e|interpret|describe|comment|discuss|guess|transcribe|diagnose|judge|fulfil|comply|process|share|say|open|do that)",
+    rf"\b{_SUBJECT}(?:'m| am| are) (?:not (?:able|allowed|permitted|in a position|qualified|comfortable|going)|unable|unwilling|forbidden) to\b",
+    rf"\b{_SUBJECT} (?:have|has|must|need) to decline\b", rf"\b{_SUBJECT} (?:don't|do not|doesn't|does not) (?:feel comfortable|offer opinions|give (?:opinions|advice)|take on|have permission to (?:say|discuss)|comment|provide|answer)",
+    r"\b(?:goes|is) against my (?:guidelines|policies|policy|rules)", r"\bmy (?:policies|policy|guidelines|rules|instructions) (?:do not|don't|forbid|prevent|prohibit)", r"\bnot something i (?:take on|can|do|may)", r"\b(?:is|are|lies?) outside (?:of )?what i (?:may|can|am)", r"\boff limits for me\b",
+    r"\bsomething i leave to\b", r"\byou will have to ask\b.{0,60}\b(?:instead|of me)", r"\bit (?:would not|wouldn't) be (?:appropriate|right|proper|responsible) for me\b", r"\bno answer can be given by\b", r"\blet me decline\b", r"\bi can only talk about\b", r"\bi have been (?:told|asked|instructed) not to\b",
+    r"\b(?:isn't|is not) right for a (?:program|machine|model|bot)\b", r"\bmy role does not cover\b", r"\bis not possible for me\b", r"\bi must refrain\b", r"\bas an (?:ai|automated|artificial)\b.{0,40}\b(?:cannot|can't|not|unable)\b",
+    r"\bich (?:kann|darf|möchte|werde) (?:\w+ ){0,6}nicht\b.{0,60}\b(?:beantworten|helfen|beurteilen|befunden|beschreiben|kommentieren)", r"\bkann ich (?:\w+ ){0,6}(?:nicht|keine)\b", r"\bje (?:ne (?:peux|suis|puis) pas|refuse)\b", r"\bno (?:puedo|me es posible|estoy autorizad[oa])\b",
+]
+DECLINE = re.compile("|".join(DECLINES))
 #: Words of which every form of declining has one.
 _MAY_DECLINE = re.compile(r"\b(?:i|i'm|we|me|my|you|it|ai|program|model|machine|bot|assistant|automated|ich|je|no|is|are|goes)\b.{0,80}?\b(?:not|cannot|can't|won't|isn't|wouldn't|unable|unwilling|forbidden|decline|refuse|don't|doesn't|against|policies|policy|guidelines|rules|instructions|outside|limits|leave|ask|only|told|refrain|nicht|keine|pas|puedo|posible|possible|estoy|given|rather|program|model)\b", re.S)
 COURTESY = re.compile(r"(?i)^(?:please (?:consult|see|ask|contact|talk)|is there anything else|a doctor can|you (?:may|should) (?:consult|see|ask)|thank you|sorry\.?$|i hope|let me know|bitte wenden|veuillez consulter|consulte a)")
@@ -253,8 +250,8 @@ def classify(question: str | None, answer: str | None, is_residue: bool = False)
     if question and copies(question, answer):
         return "copies_question", False, False
     if question and any(c.islower() for c in answer):
-        asked, said = _question_language(question), language_of(answer, 2.0)
-        if asked and said and asked != said:
+        asked = _question_language(question)
+        if asked and language_of(answer, 2.0) not in (None, asked):
             return "other_language", False, False
     if _CLOSED.search(answer) and not re.search(r":\s*$", answer):
         return None, False, False
@@ -399,19 +396,18 @@ def find_defects(answers: DataFrame, natural: np.ndarray | None = None, with_rou
     short, _ = broadcast_if_small(shortened(sorted_texts))
     cut, _ = broadcast_if_small(limit_lengths(opened).withColumn("at_limit", F.lit(True)))
 
-    # judged once a distinct text: equal answers share their ends
-    texts = opened.groupBy("answer").agg(F.first("ends").alias("ends"), F.first("last").alias("last"), F.first("dangling").alias("dangling"), F.count("*").alias("own"))
-    rated = texts.select("answer", "own", F.posexplode("ends").alias("k", "context")).join(counts, "context", "left")
+    # equal answers are judged together, by two hashes of them: their texts are not shuffled
+    keyed = opened.withColumn("_a", F.xxhash64("answer")).withColumn("_b", F.xxhash64("answer", F.lit(1)))
+    key = ["_a", "_b"]
+    rated = keyed.select(*key, F.posexplode("ends").alias("k", "context")).groupBy(*key, "k", "context").agg(F.count("*").alias("own")).join(counts, "context", "left")
     others = F.coalesce(F.col("seen"), F.lit(0)) - F.col("own")
     ended = F.coalesce(F.col("ended"), F.lit(0)) - F.col("own")
-    longest = rated.groupBy("answer").agg(F.max(F.when(others >= SEEN, F.struct("k", others.alias("others"), ended.alias("ended")))).alias("best"))
-    share = F.col("best.ended") / F.col("best.others")
-    every = texts.select("answer", "dangling").join(longest, "answer", "left")
-    cut_short = texts.select("answer", F.explode("last").alias("text")).join(short, "text", "left_semi").select("answer", F.lit(True).alias("shorter")).distinct()
-    marked = every.join(cut_short, "answer", "left").join(cut, F.length("answer") == F.col("n"), "left")
-    unusual = F.col("best").isNull() | (share < ENDS)
+    # the longest run that was seen often enough, and whether it seldom ends: one number, so that the greatest has both
+    longest = rated.groupBy(*key).agg(F.max(F.when(others >= SEEN, 2 * F.col("k") + (ended < ENDS * others).cast("int"))).alias("best"))
+    cut_short = keyed.select(*key, F.explode("last").alias("text")).join(short, "text", "left_semi").select(*key, F.lit(True).alias("shorter")).distinct()
+    marked = keyed.join(longest, key, "left").join(cut_short, key, "left").join(cut, F.length("answer") == F.col("n"), "left")
+    unusual = F.col("best").isNull() | (F.col("best") % 2 == 1)
     route = F.when(F.col("shorter"), "neighbours").when(F.col("at_limit"), "limit").when(unusual, "endings").when(F.col("dangling"), "dangling")
-    broken = marked.select("answer", route.alias("route")).where("route is not null")
-    truncated = opened.join(broken, "answer").select("record_table", "pair_id", "answer_pos", F.lit("truncated").alias("defect"), "route")
+    truncated = marked.withColumn("route", route).where("route is not null").select("record_table", "pair_id", "answer_pos", F.lit("truncated").alias("defect"), "route")
     found = judged.where("defect is not null").select("record_table", "pair_id", "answer_pos", "defect", F.lit(None).cast("string").alias("route")).unionByName(truncated)
     return found if with_routes else found.drop("route")

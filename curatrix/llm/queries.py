@@ -66,6 +66,15 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_totals": p7_totals, "p8_found": p8_found, "p9_found": p9_found}
+# The definition again, without any index: every run of fifteen words of every item in every document's letters.
+_LETTERS = "regexp_replace({0}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+_PLAIN = "lower(" + _UNESCAPED.format("regexp_replace(text, '</?[a-zA-Z][^<>]*>', ' ', 'g')") + ")"
+_LEAKS = f"""WITH d AS (SELECT doc_id, {_LETTERS.format(_PLAIN)} AS s FROM documents WHERE text IS NOT NULL),
+w AS (SELECT item_id, list_filter(list_transform(regexp_split_to_array({_PLAIN}, '\\s+'), lambda x: {_LETTERS.format('x')}), lambda x: x <> '') AS words FROM eval_items WHERE text IS NOT NULL),
+runs AS (SELECT DISTINCT item_id, array_to_string(list_slice(words, k, k + 14), '') AS run FROM (SELECT item_id, words, unnest(range(1, len(words) - 13)) AS k FROM w WHERE len(words) >= 15))
+SELECT DISTINCT doc_id, item_id FROM d JOIN runs ON contains(d.s, runs.run)"""
 SQL = {
+    "p8_found": _LEAKS,
     "p7_totals": "SELECT capacity_id, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0 AS overfull FROM pack_capacity WHERE capacity_tokens > 0",
 }
