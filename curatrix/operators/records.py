@@ -69,6 +69,11 @@ def error_struct(message: Column) -> Column:
     return F.struct(F.lit("").alias("transcription"), F.lit(0.0).alias("confidence"), empty.alias("strategies_used"), F.lit(False).alias("verification_passed"), message.alias("error"))
 
 
+def outcome(status: Column, right: Column) -> Column:
+    """STRUCT<succeeded, correct>: a run succeeded by its status; it is correct only if it says so."""
+    return F.struct((status.eqNullSafe("success")).alias("succeeded"), F.coalesce(right, F.lit(False)).alias("correct"))
+
+
 def tolerant(df: DataFrame, made: dict[str, Column], needed: list[str]) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected): df with the columns of ``made`` (total expressions, null where a row has no value); rejected are the
     rows where one of ``needed`` is null, with ``reject_reason``. No row ends the job, none is lost.

@@ -62,3 +62,24 @@ def accumulate(existing: DataFrame, found: DataFrame, key: str, order: str, limi
     known = existing.select(key).distinct()
     room = max(0, limit - known.count())
     return first_seen(found, key, order).join(known, key, "left_anti").orderBy(order).limit(room)
+
+
+def newest(df: DataFrame, at: str, key: str, n: int) -> DataFrame:
+    """The n latest rows, ties by key; rows without a time come last. Each task keeps n."""
+    return df.orderBy(F.col(at).desc_nulls_last(), key).limit(n)
+
+
+def latest_of(df: DataFrame, group: str, at: str, key: str) -> DataFrame:
+    """(group, key): of every group the key of its latest row, ties to the greater key; rows without a time do not count."""
+    return df.where(F.col(at).isNotNull()).groupBy(group).agg(F.max_by(key, F.struct(at, key)).alias(key))
+
+
+def union_all(parts: dict[str, DataFrame], name: str = "part") -> DataFrame:
+    """All rows of all parts, with the part's name; columns that a part lacks are null."""
+    out = None
+    for label, df in parts.items():
+        own = df.withColumn(name, F.lit(label))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no parts")
+    return out

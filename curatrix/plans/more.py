@@ -27,9 +27,9 @@ def query(sql: str | None = None):
     return register
 
 
-@query("SELECT result_id, status = 'success' AS succeeded, coalesce(found_correct_answer, false) AS correct FROM qra_result")
+@query("SELECT result_id, coalesce(status = 'success', false) AS succeeded, coalesce(found_correct_answer, false) AS correct FROM qra_result")
 def f8_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "qra_result").select("result_id", (F.col("status") == "success").alias("succeeded"), F.coalesce("found_correct_answer", F.lit(False)).alias("correct"))
+    return table(spark, d, "qra_result").select("result_id", records.outcome(F.col("status"), F.col("found_correct_answer")).alias("o")).select("result_id", "o.*")
 
 
 @query("SELECT pair_id FROM qa_pair WHERE coalesce(nullif(process_id, ''), metadata.uid) IN (SELECT uid FROM raw_ocr WHERE deleted_at IS NOT NULL)")
@@ -108,20 +108,19 @@ def sa5_hashed_choices(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "qa_pair").select("pair_id", captions.pick(["one", "two", "three"], F.col("pair_id"), 3).alias("choice"), captions.chance(F.col("pair_id"), 9, 0.3).alias("chosen"))
 
 
-@query("SELECT file_id FROM image_files ORDER BY listed_at DESC, file_id LIMIT 25")
+@query("SELECT file_id FROM image_files ORDER BY listed_at DESC NULLS LAST, file_id LIMIT 25")
 def o1_newest_files(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "image_files").orderBy(F.desc("listed_at"), "file_id").limit(25).select("file_id")
+    return sampling.newest(table(spark, d, "image_files"), "listed_at", "file_id", 25).select("file_id")
 
 
 @query("SELECT modality, arg_max(result_id, (finished_at, result_id)) AS result_id FROM qra_result WHERE finished_at IS NOT NULL GROUP BY modality")
 def t1_latest_result(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "qra_result").where("finished_at is not null").groupBy("modality").agg(F.max_by("result_id", F.struct("finished_at", "result_id")).alias("result_id"))
+    return sampling.latest_of(table(spark, d, "qra_result"), "modality", "finished_at", "result_id")
 
 
 @query("SELECT case_id, 'raw' AS part, title FROM case_raw UNION ALL SELECT case_id, 'filtered', NULL FROM case_filtered")
 def u2_union_all(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "case_raw").select("case_id", F.lit("raw").alias("part"), "title")
-    return raw.unionByName(table(spark, d, "case_filtered").select("case_id", F.lit("filtered").alias("part")), allowMissingColumns=True)
+    return sampling.union_all({"raw": table(spark, d, "case_raw").select("case_id", "title"), "filtered": table(spark, d, "case_filtered").select("case_id")})
 
 
 @query("SELECT DISTINCT url FROM case_raw WHERE url IS NOT NULL AND url NOT IN (SELECT case_url FROM case_filtered WHERE case_url IS NOT NULL)")
