@@ -103,7 +103,7 @@ def find_orphans(references: DataFrame, targets: DataFrame) -> DataFrame:
     refs = materialize(references.where("key is not null").withColumn("month", _month(F.col("moment"))), "orphan-references")
     rows = targets.where("key is not null")
     # one row a key and month; where they are too many to broadcast, Spark's skew join splits the references of a hot key
-    doubt, _ = broadcast_if_small(materialize(doubtful_months(refs, rows), "orphan-doubts"), 500_000)
+    doubt, _ = broadcast_if_small(materialize(doubtful_months(refs, rows), "orphan-doubts"))
     same = refs["month"].eqNullSafe(doubt["month"]) & (refs["target"] == doubt["target"]) & (refs["key"] == doubt["key"])
     asked = materialize(refs.join(doubt, same, "inner").select(*[refs[c] for c in refs.columns], doubt["ever"]), "orphan-candidates")
 
