@@ -386,13 +386,26 @@ def _escaped(c) -> F.Column:
 _SQUEEZED = "trim(regexp_replace(coalesce({0}, ''), '[\\s' || chr(160) || ']+', ' ', 'g'))"
 
 
-@query(f"SELECT case_id, {_SQUEEZED.format('title')} AS title, {_SQUEEZED.format('presentation')} AS presentation, coalesce(len(modalities), 0) AS modalities FROM case_raw")
+_SHOWN = "list_filter(v.urls, lambda u: contains(u, 'images'))"
+
+
+@query(f"""WITH {_ENTRIES}, shown AS (SELECT case_id, count(*) AS series, CAST(sum(len({_SHOWN})) AS BIGINT) AS urls, arg_min({_SQUEEZED.format('v.caption')}, pos) AS caption FROM entries WHERE len({_SHOWN}) > 0 GROUP BY case_id)
+SELECT case_id, {_SQUEEZED.format('title')} AS title, {_SQUEEZED.format('presentation')} AS presentation, coalesce(len(modalities), 0) AS modalities, {_SQUEEZED.format("replace(coalesce(patient_age, ''), 'Age:', '')")} AS patient_age,
+{_SQUEEZED.format("replace(coalesce(patient_gender, ''), 'Gender:', '')")} AS patient_gender, {_SQUEEZED.format('case_discussion')} AS case_discussion, coalesce(series, 0) AS series, coalesce(urls, 0) AS urls, coalesce(caption, '') AS caption FROM case_raw LEFT JOIN shown USING (case_id)""")
 def x28_case_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Case pages made of the records' fields, and parsed again."""
-    labels = F.array_join(F.transform(F.coalesce("modalities", F.array().cast("array<string>")), lambda m: F.concat(F.lit('<span class="label">'), _escaped(m), F.lit("</span>"))), "")
-    page = F.concat(F.lit('<html><h1 class="header-title">'), _escaped(F.col("title")), F.lit('</h1><div class="study-modality">'), labels, F.lit('</div><div id="case-patient-presentation"><p>'), _escaped(F.col("presentation")), F.lit("</p></div></html>"))
+    """Case pages made of the records' fields and images, and parsed again."""
+    strings = "array<string>"
+    wrap = lambda before, value, after: F.concat(F.lit(before), _escaped(value), F.lit(after))
+    labels = F.array_join(F.transform(F.coalesce("modalities", F.array().cast(strings)), lambda m: wrap('<span class="label">', m, "</span>")), "")
+    facts = F.concat(wrap('<div class="data-item">Age: ', F.col("patient_age"), "</div>"), wrap('<div class="data-item">Gender: ', F.col("patient_gender"), "</div>"))
+    pictures = lambda e: F.array_join(F.transform(F.coalesce(e["urls"], F.array().cast(strings)), lambda u: wrap('<img src="', u, '">')), "")
+    section = lambda e: F.concat(wrap('<div class="case-viewer-2022"><div class="study-desc"><h2>', e["study_title"], "</h2></div>"), pictures(e), wrap('<div class="study-findings body"><p>', e["caption"], "</p></div></div>"))
+    sections = F.coalesce(F.array_join(F.transform(F.map_values("images"), section), ""), F.lit(""))
+    page = F.concat(wrap('<html><h1 class="header-title">', F.col("title"), '</h1><div class="study-modality">'), labels, F.lit("</div>"), facts, wrap('<div id="case-patient-presentation"><p>', F.col("presentation"), "</p></div>"), wrap('<div class="case-discussion">', F.col("case_discussion"), "</div>"), sections, F.lit("</html>"))
     parsed = markup.parse_cases(table(spark, d, "case_raw").select("case_id", page.alias("html")))
-    return parsed.select("case_id", squeeze(F.col("title")).alias("title"), squeeze(F.col("presentation")).alias("presentation"), F.size("modalities").cast("long").alias("modalities"))
+    texts = [squeeze(F.col(c)).alias(c) for c in ("title", "presentation", "patient_age", "patient_gender", "case_discussion")]
+    urls = F.aggregate("images", F.lit(0).cast("long"), lambda n, i: n + F.size(i["urls"]))
+    return parsed.select("case_id", *texts, F.size("modalities").cast("long").alias("modalities"), F.size("images").cast("long").alias("series"), urls.alias("urls"), F.coalesce(squeeze(F.try_element_at("images", F.lit(1))["caption"]), F.lit("")).alias("caption"))
 
 
 _ANY_SPACE = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
