@@ -43,6 +43,8 @@ BLOCK, PART = 1 << 19, 20_000_000
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 _TERM = re.compile(r"[^\W_]+")
 _NONE = np.uint64((1 << 32) - 1)
+#: Words of diagonals that are compared at once.
+_CELLS = 2_000_000
 BLOCKS = "docs binary, ends binary, letters string, terms binary, counts binary, frequencies binary, positions binary, grams binary, places binary"
 FOUND = "doc_id long, item_id long, run_words long, near_terms long"
 
@@ -211,6 +213,12 @@ class Wanted:
             table = np.array(sorted(rows), np.int64).reshape(-1, 3)
             keys, starts, counts = np.unique(table[:, 0].astype(np.uint64), return_index=True, return_counts=True)
             self.lists.append((keys, starts, counts, table[:, 1], table[:, 2]))
+        self.places = []
+        for words, letters in zip(self.words, self.letters):
+            ends = np.cumsum([len(w) for w in words]).astype(np.int64)
+            starts = np.concatenate([[0], ends])[: len(words)]
+            total, down = prefixes(letters)
+            self.places.append((starts, ends, (total[ends] - total[starts]) * down[starts]))
         del self.terms, self.hashes, self.letters, self.offsets
 
     def _aligned(self, kind: int, keys: np.ndarray, begins: np.ndarray, counts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,11 +260,29 @@ class Wanted:
         near = np.add.reduceat(is_term.astype(np.int64), heads)
         whole = np.diff(np.append(heads, len(item)))
         kept = np.flatnonzero((near >= agree) | (whole > near))
-        out = []
-        for k in kept.tolist():
-            i, d = int(item[heads[k]]), int(doc[heads[k]])
-            run = longest_run(stream, self.words[i], int(start[heads[k]]), int(ends[d - 1]) if d else 0, int(ends[d]))
-            out.append((int(docs[d]), self.ids[i], run, int(near[k])))
+        near, heads = near[kept], heads[kept]
+        item, start, doc = item[heads], start[heads], doc[heads]
+        low = np.concatenate([[0], ends])[doc]
+        runs = self._longest_runs(codes_of(stream), item, start, low, ends[doc])
+        # found by hashes; an exact match is one of letters
+        for k in np.flatnonzero(runs >= self.min_words).tolist():
+            runs[k] = longest_run(stream, self.words[item[k]], int(start[k]), int(low[k]), int(ends[doc[k]]))
+        return list(zip(docs[doc].tolist(), [self.ids[i] for i in item], runs.tolist(), near.tolist()))
+
+    def _longest_runs(self, letters: np.ndarray, item: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Of each diagonal the most running words of its item whose hashes equal those of the letters there."""
+        total, down = prefixes(letters)
+        out = np.zeros(len(item), np.int64)
+        for i in np.unique(item).tolist():
+            first, last, hashes = self.places[i]
+            mine = np.flatnonzero(item == i)
+            for part in np.array_split(mine, max(1, len(mine) * len(first) // _CELLS)):
+                at, end = start[part, None] + first, start[part, None] + last
+                inside = (at >= low[part, None]) & (end <= high[part, None])
+                at, end = np.where(inside, at, 0), np.where(inside, end, 0)
+                hit = inside & ((total[end] - total[at]) * down[at] == hashes)
+                count = np.cumsum(hit, 1)
+                out[part] = (count - np.maximum.accumulate(np.where(hit, 0, count), 1)).max(1, initial=0)
         return out
 
 
