@@ -51,6 +51,8 @@ SIMILAR = 0.37
 #: Unweighted similarity that is enough alone: where copies of one text are many, what they share is not rare.
 PLAINLY_SIMILAR = 0.65
 WEIGHT_BITS = 18
+#: Tasks that count word runs at most: each hands on up to 2**WEIGHT_BITS counts.
+COUNTERS = 1024
 
 def case_page(url: Column, site: Column) -> Column:
     """The page that a case url leads to: site and path; null for null and blank.
@@ -141,7 +143,7 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    rows = texts.select("words").mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select("words").coalesce(COUNTERS).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size + 1, np.int64)
     out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out

@@ -24,6 +24,8 @@ from curatrix.session import arrow_safe
 ORDER = 5
 BUCKETS = 1 << 17
 EVEN = 0.15
+#: Tasks that count n-grams at most: each hands on up to BUCKETS counts.
+COUNTERS = 2048
 WINDOW = 24
 #: Mean log likelihood ratio of a window from which it counts as residue.
 LEAST_RATIO = 1.0
@@ -172,7 +174,7 @@ def count_grams(texts: DataFrame, text_col: str) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    rows = texts.select(F.col(text_col).alias("text")).where("text is not null").distinct().mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select(F.col(text_col).alias("text")).where("text is not null").distinct().coalesce(COUNTERS).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS)
     counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return counts
