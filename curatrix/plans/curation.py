@@ -109,16 +109,28 @@ def v5_metadata_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "raw_ocr").select("line_no", captions.metadata_text(F.col("metadata")).alias("text"))
 
 
-@query()
+_KEPT = " + ".join("CASE WHEN coalesce(" + ", ".join(_PASS.format(f"x.granularity = {g} AND {no}coalesce(x.include_datacomp_raw_cap, false)") for no in ("NOT ", "")) + ").text <> '' THEN 1 ELSE 0 END" for g in range(6))
+
+
+@query(f"{_CAPTIONS} SELECT line_no, texts FROM (SELECT line_no, {_KEPT} AS texts FROM caps WHERE c IS NOT NULL) WHERE texts > 0")
 def v_repacked_captions(spark: SparkSession, d: str) -> DataFrame:
     return captions.repacked(table(spark, d, "raw_ocr").select("line_no", "captions")).select("line_no", F.size("captions").alias("texts"))
 
 
-@query()
+_BRIDGED = "coalesce(" + ", ".join(_PASS.format(p) for p in ("x.granularity = 0 AND NOT coalesce(x.include_datacomp_raw_cap, true)", "x.granularity = 0 AND coalesce(x.include_datacomp_raw_cap, true)", "x.granularity = 0", "x.granularity = 5", "true")) + ").text"
+_ASKED = ["What does the text say?", "Please read the sign."]
+
+
+@query(f"""{_CAPTIONS}, last AS (SELECT uid, max(line_no) AS line_no FROM raw_ocr WHERE uid IS NOT NULL GROUP BY uid),
+t AS (SELECT last.uid, r.url, trim(regexp_replace(coalesce({_BRIDGED}, ''), '\\s+', ' ', 'g')) AS text FROM last JOIN caps USING (line_no) JOIN raw_ocr r USING (line_no)),
+f AS (SELECT uid, min(path) AS path FROM image_files WHERE uid IS NOT NULL AND removed_at IS NULL GROUP BY uid)
+SELECT t.uid AS process_id, {_ASKED}[(('0x' || substr(md5(concat_ws('|', t.uid, '42')), 1, 8))::BIGINT % 2) + 1] AS question, text AS ground_truth, coalesce(f.path, nullif(t.url, '')) AS image, t.url AS original_url
+FROM t LEFT JOIN f ON f.uid = t.uid WHERE text <> '' AND coalesce(f.path, nullif(t.url, '')) IS NOT NULL""")
 def m8_build_qa_pairs(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "image_files").where("uid is not null and removed_at is null").select("uid", "path")
     rows = sampling.last_written(table(spark, d, "raw_ocr").where("uid is not null").select("uid", "url", "captions", "line_no"), "uid", "line_no")
-    return captions.build_qa_pairs(rows, files, ["What does the text say?", "Please read the sign."], granularity=0)
+    made = captions.build_qa_pairs(rows, files, _ASKED, granularity=0)
+    return made.select("process_id", "question", "ground_truth", F.col("img_urls")[0].alias("image"), "metadata.original_url")
 
 
 _ENTRIES = "entries AS (SELECT case_id, unnest(map_values(images)) AS v, unnest(range(CAST(cardinality(images) AS BIGINT))) AS pos FROM case_raw)"
