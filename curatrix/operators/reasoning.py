@@ -7,7 +7,10 @@ answers are not repeatable.
 
 from __future__ import annotations
 
+import json
+import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -158,6 +161,31 @@ def text_client(send: Callable[..., str], **settings) -> Client:
     return lambda prompt: send(prompt, **settings)
 
 
+def rest_client(url: str, make: Callable[[str], dict], read: Callable[[dict], str], headers: dict[str, str] | None = None, timeout: float = 60.0) -> Client:
+    """A client of a service that takes and gives JSON: make the request of a prompt, read the answer's text."""
+
+    def ask(prompt: str) -> str:
+        body = json.dumps(make(prompt)).encode()
+        request = urllib.request.Request(url, body, {"Content-Type": "application/json", **(headers or {})})
+        with urllib.request.urlopen(request, timeout=timeout) as answer:
+            return read(json.loads(answer.read()))
+
+    return ask
+
+
+def ask_all(client: Client, prompts: list[str], at_once: int = 5) -> list[str | Exception]:
+    """The answers to all prompts in their order, ``at_once`` asked at a time; an error stands in its prompt's place."""
+
+    def one(prompt: str) -> str | Exception:
+        try:
+            return client(prompt)
+        except Exception as problem:
+            return problem
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(one, prompts))
+
+
 def search(rows: DataFrame, make_client: Callable[[], Client], settings: Search | Pipeline) -> DataFrame:
     """RESULT rows of rows (process_id, question, ground_truth), written once to the shared folder; of a Pipeline, SAMPLE rows.
 
