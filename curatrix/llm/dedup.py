@@ -51,8 +51,8 @@ SIMILAR = 0.37
 #: Unweighted similarity that is enough alone: where copies of one text are many, what they share is not rare.
 PLAINLY_SIMILAR = 0.65
 WEIGHT_BITS = 18
-#: Tasks that count word runs at most: each hands on up to 2**WEIGHT_BITS counts.
-COUNTERS = 1024
+#: Tasks that count word runs at most, and texts of each at least: each hands on up to 2**WEIGHT_BITS counts.
+COUNTERS, COUNTED = 1024, 10_000
 
 def case_page(url: Column, site: Column) -> Column:
     """The page that a case url leads to: site and path; null for null and blank.
@@ -123,12 +123,13 @@ def shingles(texts: DataFrame) -> DataFrame:
     return texts.select("at", "words").mapInPandas(run, "hash long, at long")
 
 
-def gram_counts(texts: DataFrame) -> np.ndarray:
+def gram_counts(texts: DataFrame, number: int | None = None) -> np.ndarray:
     """The number of texts that hold a three-word shingle of each bucket, and last the number of texts.
 
-    The driver gets at most 2**WEIGHT_BITS + 1 rows.
+    number: how many texts there are at most, if known. The driver gets at most 2**WEIGHT_BITS + 1 rows.
     """
     size = 1 << WEIGHT_BITS
+    tasks = COUNTERS if number is None else max(1, min(COUNTERS, number // COUNTED))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -143,7 +144,7 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    rows = texts.select("words").coalesce(COUNTERS).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select("words").coalesce(tasks).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size + 1, np.int64)
     out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out
@@ -367,7 +368,7 @@ class NeighbourhoodIndex:
         first = new.where("words is not null").select("at", "words", *value("words")).groupBy("hash", "sub").agg(F.min_by(F.struct("at", "words"), "at").alias("r"))
         texts = self._write(first.join(known, ["hash", "sub"], "left_anti").select("r.*"), "texts", run)
         fresh = self._write(shingles(texts), "keys", run).select("hash", "at")
-        self._store_counts(run, gram_counts(texts))
+        self._store_counts(run, gram_counts(texts, count))
         number = fresh.count()
         shared, old = self._shared_keys(fresh, number, run, history, scratch)
         chosen = self._hinted(shared.where("need > 0").select("hash"), number)
