@@ -7,7 +7,9 @@ answers are not repeatable.
 
 from __future__ import annotations
 
+import base64
 import json
+import mimetypes
 import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -161,6 +163,20 @@ def text_client(send: Callable[..., str], **settings) -> Client:
     return lambda prompt: send(prompt, **settings)
 
 
+def content_parts(prompt: str, images: list[str]) -> list[dict]:
+    """A prompt and its images as parts of a message: addresses as they are, files of this machine in base64; files that are
+    not there are an error.
+    """
+    parts: list[dict] = [{"type": "text", "text": prompt}]
+    for image in images:
+        if not image.startswith(("http://", "https://", "data:")):
+            with open(image, "rb") as source:
+                kind = mimetypes.guess_type(image)[0] or "image/jpeg"
+                image = f"data:{kind};base64,{base64.b64encode(source.read()).decode()}"
+        parts.append({"type": "image_url", "image_url": {"url": image}})
+    return parts
+
+
 def rest_client(url: str, make: Callable[[str], dict], read: Callable[[dict], str], headers: dict[str, str] | None = None, timeout: float = 60.0) -> Client:
     """A client of a service that takes and gives JSON: make the request of a prompt, read the answer's text."""
 

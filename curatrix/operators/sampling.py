@@ -10,9 +10,13 @@ def shuffled(key: Column | str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), F.lit(str(seed))))
 
 
-def simple_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows without replacement, all rows if there are fewer. Each task keeps its n least, then the least of those."""
-    return df.orderBy(shuffled(key, seed), key).limit(n)
+def simple_sample(df: DataFrame, key: str, n: int, seed: int = 42, order: str | None = None) -> DataFrame:
+    """n rows without replacement, all rows if there are fewer; in the order of a column if one is given.
+
+    Each task keeps its n least, then the least of those.
+    """
+    chosen = df.orderBy(shuffled(key, seed), key).limit(n)
+    return chosen.orderBy(order) if order else chosen
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, batch: int, order: str, seed: int = 42) -> DataFrame:

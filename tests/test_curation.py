@@ -106,6 +106,8 @@ def test_sampling(spark):
     assert sampling.stratified_sample(df.limit(0), "id", "kind", 5, "id").count() == 0
     assert sampling.stratified_sample(df, "id", "kind", 2, "id").count() == 2
     assert sampling.simple_sample(df, "id", 1000).count() == 100
+    ordered = [r.id for r in sampling.simple_sample(df, "id", 10, order="id").collect()]
+    assert ordered == sorted(ordered) and set(ordered) == {r.id for r in sampling.simple_sample(df, "id", 10).collect()}
 
 
 def test_fuzzy_lookup_against_brute_force(spark):

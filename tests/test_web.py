@@ -74,3 +74,11 @@ def test_a_service_is_asked_for_all_prompts(site):
 
     answers = reasoning.ask_all(sometimes, [f"p{i}" for i in range(8)], at_once=5)
     assert [str(a) for a in answers] == [f"P{i}|k" if i != 3 else "no" for i in range(8)]
+
+
+def test_prompts_with_images(tmp_path):
+    (tmp_path / "a.png").write_bytes(b"\x01")
+    parts = reasoning.content_parts("look", ["http://h/x.jpg", str(tmp_path / "a.png")])
+    assert parts[0] == {"type": "text", "text": "look"} and [p["image_url"]["url"] for p in parts[1:]] == ["http://h/x.jpg", "data:image/png;base64,AQ=="]
+    with pytest.raises(FileNotFoundError):
+        reasoning.content_parts("look", [str(tmp_path / "none.png")])
