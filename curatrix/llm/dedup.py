@@ -1,7 +1,7 @@
 """New batches against all history, by multi-key sorted-neighbourhood runs.
 
 A ``NeighbourhoodIndex`` lives in a folder of the shared file system: a catalogue of runs, each with its keys sorted by key
-within key ranges (one folder a range), its texts by ranges of arrival, and counts of its word runs. ``merge`` sorts a batch's
+within key ranges (one folder a range), its texts' word runs by ranges of arrival, and counts of these. ``merge`` sorts a batch's
 keys into the ranges, reads of history only the ranges that the batch touches and of these only rows under its keys, compares
 the windows around new records, and appends the batch as a run; after every ``RUNS`` runs the newest are rewritten as one
 (``compact``), each record about as often as the runs double. A new object on the same folder goes on where the last ended.
@@ -103,28 +103,29 @@ def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return np.unique(total)
 
 
-def shingles(texts: DataFrame) -> DataFrame:
-    """(hash, at) of all shingles of texts (at, words); texts of fewer than SHINGLE words have none."""
+def signatures(texts: DataFrame) -> DataFrame:
+    """(at, grams BINARY, hashes ARRAY<BIGINT>) of texts (at, words), read once.
+
+    grams: the distinct three-word shingles by hashes of 32 bits, sorted; hashes: those of SHINGLE words, none of shorter texts.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for frame in frames:
-            hashes, owners = [], []
-            for i, words in enumerate(frame["words"]):
+            grams, hashes = [], []
+            for words in frame["words"]:
                 if len(known) > 1_000_000:
                     known.clear()
-                own = words.split()
-                if len(own) >= SHINGLE:
-                    hashes.append(shingle_hashes(_word_hashes(own, known), SHINGLE).view(np.int64))
-                    owners.append(np.full(len(hashes[-1]), i))
-            if hashes:
-                yield pd.DataFrame({"hash": np.concatenate(hashes), "at": frame["at"].to_numpy()[np.concatenate(owners)]})
+                own = _word_hashes(words.split(), known)
+                grams.append(np.unique(shingle_hashes(own, 3) >> np.uint64(32)).astype("<u4").tobytes())
+                hashes.append(shingle_hashes(own, SHINGLE).view(np.int64) if len(own) >= SHINGLE else np.empty(0, np.int64))
+            yield pd.DataFrame({"at": frame["at"], "grams": grams, "hashes": pd.Series(hashes, dtype=object)})
 
-    return texts.select("at", "words").mapInPandas(run, "hash long, at long")
+    return texts.select("at", "words").mapInPandas(run, "at long, grams binary, hashes array<long>")
 
 
 def gram_counts(texts: DataFrame, number: int | None = None) -> np.ndarray:
-    """The number of texts that hold a three-word shingle of each bucket, and last the number of texts.
+    """The number of texts (grams) that hold a three-word shingle of each bucket, and last the number of texts.
 
     number: how many texts there are at most, if known. The driver gets at most 2**WEIGHT_BITS + 1 rows.
     """
@@ -132,19 +133,16 @@ def gram_counts(texts: DataFrame, number: int | None = None) -> np.ndarray:
     tasks = COUNTERS if number is None else max(1, min(COUNTERS, number // COUNTED))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
         counts = np.zeros(size + 1, np.int64)
         for frame in frames:
-            parts = [np.unique(shingle_hashes(_word_hashes(w.split(), known), 3) >> np.uint64(64 - WEIGHT_BITS)) for w in frame["words"]]
-            counts[size] += len(parts)
-            if len(known) > 1_000_000:
-                known.clear()
-            if parts:
-                counts[:size] += np.bincount(np.concatenate(parts).astype(np.int64), minlength=size)
+            counts[size] += len(frame)
+            for grams in frame["grams"]:
+                # of a text each bucket once
+                counts[np.unique(_bucket(np.frombuffer(grams, "<u4")))] += 1
         at = np.flatnonzero(counts)
         yield pd.DataFrame({"bucket": at, "n": counts[at]})
 
-    rows = texts.select("words").coalesce(tasks).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.select("grams").coalesce(tasks).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size + 1, np.int64)
     out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out
@@ -155,40 +153,36 @@ def weights_of(counts: np.ndarray) -> np.ndarray:
     return np.log((max(1, counts[-1]) + 1) / np.maximum(counts[:-1], 1)).astype(np.float32) + np.float32(0.05)
 
 
-class Comparer:
-    """Compares texts; what it computes of a text is kept while the text comes up again and again."""
-
-    def __init__(self, weights: np.ndarray, keep: int = 20_000) -> None:
-        self.weights, self.keep = weights, keep
-        self.hashes: dict[str, int] = {}
-        self.texts: dict[str, tuple[np.ndarray, np.ndarray, float]] = {}
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, float]:
-        """The three-word shingles, sorted, their weights and the sum of these."""
-        known = self.texts.get(text)
-        if known is None:
-            if len(self.texts) >= self.keep:
-                self.texts.clear()
-            if len(self.hashes) > 1_000_000:
-                self.hashes.clear()
-            grams = shingle_hashes(_word_hashes(text.split(), self.hashes), 3)
-            own = self.weights[(grams >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64)]
-            known = self.texts[text] = grams, own, float(own.sum())
-        return known
-
-    def similar(self, a: str, b: str) -> bool:
-        """By the Jaccard similarity of three-word shingles, each counted by its weight, or each as one."""
-        (x, wx, sx), (y, _, sy) = self.of(a), self.of(b)
-        if not len(x) or not len(y):
-            return False
-        at = np.searchsorted(y, x)
-        at[at == len(y)] = 0
-        hit = y[at] == x
-        both = int(hit.sum())
-        if not both or both >= PLAINLY_SIMILAR * (len(x) + len(y) - both):
-            return bool(both)
-        shared = float(wx[hit].sum())
-        return shared >= SIMILAR * (sx + sy - shared)
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return grams >> np.uint32(32 - WEIGHT_BITS)
+
+
+def alike(left: list[bytes], right: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Whether the texts of each pair (by their grams) are alike: by the Jaccard similarity of their three-word shingles, each
+    counted by its weight, or each as one.
+    """
+    n = len(left)
+
+    def joined(side: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.array([len(g) // 4 for g in side], np.int64)
+        grams = np.frombuffer(b"".join(side), "<u4")
+        pair = np.repeat(np.arange(n), sizes)
+        own = weights[_bucket(grams)].astype(np.float64)
+        return (pair.astype(np.uint64) << np.uint64(32)) | grams, own, sizes, np.bincount(pair, own, n)
+
+    x, wx, many_x, sum_x = joined(left)
+    y, _, many_y, sum_y = joined(right)
+    if not len(x) or not len(y):
+        return np.zeros(n, bool)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    hit = np.flatnonzero(y[at] == x)
+    pair = (x[hit] >> np.uint64(32)).astype(np.int64)
+    both, shared = np.bincount(pair, minlength=n), np.bincount(pair, wx[hit], n)
+    return (both > 0) & ((both >= PLAINLY_SIMILAR * (many_x + many_y - both)) | (shared >= SIMILAR * (sum_x + sum_y - shared)))
+
+
+#: Pairs that are compared at once.
+PAIRS = 4096
 
 
 def sorted_windows(rows: DataFrame, window: int = WINDOW, made_paths: list[str] | None = None) -> DataFrame:
@@ -291,7 +285,7 @@ class NeighbourhoodIndex:
     """Runs of sorted keys below a folder of the shared file system.
 
     Records have at BIGINT (arrival order, unique), page STRING, words STRING (normalised); null pages and words have no key.
-    Tables of a run: exact (hash, sub, at) of pages and whole texts, keys (hash, at) of shingles, texts (at, words), counts.
+    Tables of a run: exact (hash, sub, at) of pages and whole texts, keys (hash, at) of shingles, texts (at, grams), counts.
     Links (a, b) of all merges stay in the folder too.
     """
 
@@ -311,7 +305,7 @@ class NeighbourhoodIndex:
         write_text(self.spark, f"{self.path}/catalogue/{self.version:09d}.json", json.dumps({"version": self.version, "ranges": self.ranges, "runs": live}))
         remove_path(self.spark, f"{self.path}/catalogue/{before:09d}.json")
 
-    _SCHEMAS = {"exact": "hash long, sub long, at long, range int", "keys": "hash long, at long, range int", "texts": "at long, words string, range int"}
+    _SCHEMAS = {"exact": "hash long, sub long, at long, range int", "keys": "hash long, at long, range int", "texts": "at long, grams binary, range int"}
 
     def _read(self, name: str, runs: list[str], touched: list[int] | None = None) -> DataFrame:
         """A table of the given runs, of the given ranges only."""
@@ -366,8 +360,9 @@ class NeighbourhoodIndex:
         # equal texts are held by the first of them alone
         known = self._hinted(before.select("hash", "sub"), 2 * count)
         first = new.where("words is not null").select("at", "words", *value("words")).groupBy("hash", "sub").agg(F.min_by(F.struct("at", "words"), "at").alias("r"))
-        texts = self._write(first.join(known, ["hash", "sub"], "left_anti").select("r.*"), "texts", run)
-        fresh = self._write(shingles(texts), "keys", run).select("hash", "at")
+        signed = materialize(signatures(first.join(known, ["hash", "sub"], "left_anti").select("r.*")), "signatures", made=scratch)
+        texts = self._write(signed.select("at", "grams"), "texts", run)
+        fresh = self._write(signed.select(F.explode("hashes").alias("hash"), "at"), "keys", run).select("hash", "at")
         self._store_counts(run, gram_counts(texts, count))
         number = fresh.count()
         shared, old = self._shared_keys(fresh, number, run, history, scratch)
@@ -407,16 +402,16 @@ class NeighbourhoodIndex:
         many = asked.count()
         range_of = lambda c: F.pmod(F.hash(c), F.lit(self.ranges))
         touched = None if many >= self.ranges else sorted({r for row in asked.select(range_of("a"), range_of("b")).collect() for r in row})
-        texts = self._read("texts", runs, touched).select("at", "words")
-        left = texts.join(self._hinted(asked, many), texts["at"] == asked["a"]).select("a", "b", F.col("words").alias("words_a"))
-        right = texts.join(self._hinted(asked.select(F.col("b").alias("at")), many), "at", "left_semi").select(F.col("at").alias("b"), F.col("words").alias("words_b"))
+        texts = self._read("texts", runs, touched).select("at", "grams")
+        left = texts.join(self._hinted(asked, many), texts["at"] == asked["a"]).select("a", "b", F.col("grams").alias("grams_a"))
+        right = texts.join(self._hinted(asked.select(F.col("b").alias("at")), many), "at", "left_semi").select(F.col("at").alias("b"), F.col("grams").alias("grams_b"))
         weights = self.spark.sparkContext.broadcast(weights_of(sum(self._counts(r) for r in runs)))  # 2**WEIGHT_BITS floats
 
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            comparer = Comparer(weights.value)
             for frame in frames:
-                near = [comparer.similar(x, y) for x, y in zip(frame["words_a"], frame["words_b"])]
-                yield frame.loc[np.array(near, bool), ["a", "b"]]
+                for k in range(0, len(frame), PAIRS):
+                    part = frame.iloc[k : k + PAIRS]
+                    yield part.loc[alike(part["grams_a"].tolist(), part["grams_b"].tolist(), weights.value), ["a", "b"]]
 
         return left.join(right, "b").mapInPandas(check, "a long, b long")
 

@@ -94,8 +94,8 @@ def test_long_texts_keep_all_their_shingles(spark, tmp_path):
     long = [rng.choice(WORDS) for _ in range(5000)]
     edited = [w if i % 40 else "typo" for i, w in enumerate(long)]
     rows = [(1, "a", " ".join(long)), (2, "b", " ".join(edited)), (3, "c", " ".join(rng.choices(WORDS, k=5000)))]
-    counts = dedup.shingles(spark.createDataFrame(rows, SCHEMA)).groupBy("at").count().collect()
-    assert {r["count"] for r in counts if r.at != 2} == {4993}
+    sizes = {r.at: (len(r.hashes), len(r.grams) // 4) for r in dedup.signatures(spark.createDataFrame([*rows, (4, "d", "too short"), (5, "e", "w1")], SCHEMA)).collect()}
+    assert sizes[1][0] == sizes[3][0] == 4993 and sizes[1][1] >= 4990 and sizes[4] == (0, 1) and sizes[5] == (0, 1)
     assert roots(dedup.NeighbourhoodIndex(spark, str(tmp_path / "l")).merge(spark.createDataFrame(rows, SCHEMA))) == {2: 1}
 
 
@@ -105,8 +105,18 @@ def test_the_exact_way_against_all_pairs(spark, tmp_path):
     texts = sorted({" ".join(rng.choice(phrases) for _ in range(rng.randrange(2, 6))) for _ in range(70)})
     df = spark.createDataFrame([(i, f"p{i}", t) for i, t in enumerate(texts)], SCHEMA)
     got = {(r.a, r.b) for r in dedup.NeighbourhoodIndex(spark, str(tmp_path / "x"), keys=None, window=len(texts), shared=1).merge(df).collect()}
-    comparer = dedup.Comparer(dedup.weights_of(dedup.gram_counts(df)))
-    want = {(i, j) for j in range(len(texts)) for i in range(j) if comparer.similar(texts[i], texts[j])}
+    signed = dedup.signatures(df)
+    grams = {r.at: r.grams for r in signed.collect()}
+    weights = dedup.weights_of(dedup.gram_counts(signed))
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if dedup.alike([grams[i]], [grams[j]], weights)[0]}
+    every = [(i, j) for j in range(len(texts)) for i in range(j)]
+    assert {p for p, good in zip(every, dedup.alike([grams[i] for i, _ in every], [grams[j] for _, j in every], weights)) if good} == want
+
+    def plain(a, b):
+        x, y = ({tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for t in (texts[a], texts[b]))
+        return len(x & y) >= dedup.PLAINLY_SIMILAR * len(x | y)
+
+    assert {p for p in every if plain(*p)} <= want
     assert got == want and len(want) > 20
 
 
