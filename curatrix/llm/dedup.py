@@ -25,6 +25,7 @@ Records with one arrival number are one record, the least of them.
 from __future__ import annotations
 
 import base64
+import gc
 import json
 import math
 import uuid
@@ -293,6 +294,7 @@ class NeighbourhoodIndex:
         self.spark, self.path, self.keys, self.window, self.shared, self.most_runs = spark, path.rstrip("/"), keys, window, shared, runs
         self.version, self.ranges, self.live = 0, 0, []
         self._known: dict[str, np.ndarray] = {}
+        self._shared: list = []
         versions = [n for n in names_in(spark, f"{self.path}/catalogue") if n.endswith(".json")]
         if versions:
             stored = json.loads(read_text(spark, f"{self.path}/catalogue/{versions[-1]}"))
@@ -379,6 +381,12 @@ class NeighbourhoodIndex:
         self._commit([*self.live, (run, count)])
         for path in scratch:
             remove_path(self.spark, path)
+        for shared in self._shared:
+            shared.destroy()
+        self._shared.clear()
+        # else broadcasts and shuffle files of all merges stay until the driver's memory is full
+        gc.collect()
+        self.spark._jvm.System.gc()
         if len(self.live) > self.most_runs:
             self.compact()
         return self.spark.read.schema("a long, b long").parquet(folder)
@@ -406,6 +414,7 @@ class NeighbourhoodIndex:
         left = texts.join(self._hinted(asked, many), texts["at"] == asked["a"]).select("a", "b", F.col("grams").alias("grams_a"))
         right = texts.join(self._hinted(asked.select(F.col("b").alias("at")), many), "at", "left_semi").select(F.col("at").alias("b"), F.col("grams").alias("grams_b"))
         weights = self.spark.sparkContext.broadcast(weights_of(sum(self._counts(r) for r in runs)))  # 2**WEIGHT_BITS floats
+        self._shared.append(weights)
 
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
