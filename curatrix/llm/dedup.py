@@ -25,7 +25,6 @@ Records with one arrival number are one record, the least of them.
 from __future__ import annotations
 
 import base64
-import gc
 import json
 import math
 import uuid
@@ -38,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import is_blank, squeeze
-from curatrix.session import materialize, names_in, read_text, remove_path, scratch_path, write_text
+from curatrix.session import give_back_memory, materialize, names_in, read_text, remove_path, scratch_path, write_text
 
 SHINGLE = 8
 KEYS = 24
@@ -371,6 +370,7 @@ class NeighbourhoodIndex:
         chosen = self._hinted(shared.where("need > 0").select("hash"), number)
         # stored, since the range partitioning reads its input twice, and this is the last that has to do with all of history
         members = materialize(shared.select("hash", "at", "need").unionByName(old.withColumn("need", F.lit(0))).join(chosen, "hash", "left_semi"), "members", made=scratch)
+        give_back_memory(self.spark)  # the broadcasts of keys are done with before those of texts are made
         members = members.withColumn("sub", F.lit(0).cast("long")).withColumn("star", F.lit(False))
         stars = before.withColumn("need", F.lit(0)).unionByName(mine.withColumn("need", F.lit(1))).withColumn("star", F.lit(True))
         pairs = sorted_windows(stars.unionByName(members), self.window, scratch)
@@ -384,9 +384,7 @@ class NeighbourhoodIndex:
         for shared in self._shared:
             shared.destroy()
         self._shared.clear()
-        # else broadcasts and shuffle files of all merges stay until the driver's memory is full
-        gc.collect()
-        self.spark._jvm.System.gc()
+        give_back_memory(self.spark)
         if len(self.live) > self.most_runs:
             self.compact()
         return self.spark.read.schema("a long, b long").parquet(folder)

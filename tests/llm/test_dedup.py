@@ -1,3 +1,4 @@
+import platform
 import random
 
 import numpy as np
@@ -63,6 +64,18 @@ def test_batches_find_what_one_merge_finds(spark, tmp_path):
     assert {(r.a, r.b) for r in again.collect()} >= {(3, 9000), (5, 9001)}
 
 
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="only glibc's allocator can be told to give back memory")
+def test_a_merge_gives_back_native_memory(spark, tmp_path, monkeypatch):
+    said, give_back = [], dedup.give_back_memory
+    monkeypatch.setattr(dedup, "give_back_memory", lambda session: said.append(give_back(session)))
+    rows, truth = records(n=20)
+    index = dedup.NeighbourhoodIndex(spark, str(tmp_path / "g"))
+    for part in (rows[:20], rows[20:]):
+        index.merge(spark.createDataFrame(part, SCHEMA))
+    assert len(said) == 4 and all("RSS" in report for report in said), said
+    assert roots(index.links()) == truth
+
+
 def test_only_touched_ranges_are_read(spark, tmp_path):
     rows, _ = records()
     index = dedup.NeighbourhoodIndex(spark, str(tmp_path / "t"))
